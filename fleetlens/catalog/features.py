@@ -79,13 +79,13 @@ def sensor_stats_long(spark, sf_dir):
     return rounded(X.long_statistics(roles.readouts_long(table(spark, sf_dir, "events"))))
 
 
-@query("sensor_state_merge", rounded_sql(long_statistics_sql(), _DOUBLES, 4))
+@query("sensor_state_merge", rounded_sql(long_statistics_sql(), _DOUBLES, 7))
 def sensor_state_merge(spark, sf_dir):
     """States of two halves of the readouts, merged, equal the statistics of the whole."""
     long = roles.readouts_long(table(spark, sf_dir, "events"))
     even = X.running_state(long.where(F.col("time_step") % 2 == 0))
     odd = X.running_state(long.where(F.col("time_step") % 2 != 0))
-    return rounded(X.finish_states(X.merge_states(even.unionByName(odd))), 4)
+    return rounded(X.finish_states(X.merge_states(even.unionByName(odd))), 7)
 
 
 @query("sensor_running_state", rounded_sql("""

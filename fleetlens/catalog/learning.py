@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
@@ -13,8 +15,9 @@ from fleetlens.operators import joins as J
 from fleetlens.operators import scoring as G
 from fleetlens.operators import splits as S
 from fleetlens.plans import models as M
-from fleetlens.session import scratch_path
+from fleetlens.session import scratch_path, shared_dir
 from fleetlens.sources import roles
+from fleetlens.sources.materialize import load_or_build
 from fleetlens.sources.roles import table
 
 # Tree counts of the registered queries; the library defaults are the full settings.
@@ -32,6 +35,16 @@ def order_readouts(orders):
 
 
 def training_table(spark, sf_dir):
+    """The labelled feature table, materialised in the shared folder and rebuilt when a source is newer.
+
+    Training makes many passes over it; each reads the written columns instead of repeating the aggregation.
+    """
+    target = f"{shared_dir(spark)}/fleetlens/training-{zlib.crc32(sf_dir.encode())}"
+    sources = [f"{sf_dir}/{name}.parquet" for name in ("customer", "orders", "events")]
+    return load_or_build(spark, target, sources, lambda: build_training_table(spark, sf_dir))
+
+
+def build_training_table(spark, sf_dir):
     """All customers as labelled vehicles with order statistics, event statistics, specification and account."""
     customer = table(spark, sf_dir, "customer")
     ordered = X.wide_features(order_readouts(table(spark, sf_dir, "orders")))

@@ -5,9 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from fleetlens.functions.numeric import round_even
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +24,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Every double column rounded, so that the order of parallel sums does not show."""
-    return df.select(*[
-        round_even(F.col(f"`{f.name}`"), digits).alias(f.name) if f.dataType.typeName() == "double"
-        else F.col(f"`{f.name}`")
+    scale = "1" + "0" * digits + "D"
+    return df.selectExpr(*[
+        f"rint(`{f.name}` * {scale}) / {scale} AS `{f.name}`" if f.dataType.typeName() == "double" else f"`{f.name}`"
         for f in df.schema.fields
     ])
 

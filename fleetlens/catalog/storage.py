@@ -103,10 +103,10 @@ def streaming_stats(spark, sf_dir):
     return rounded(latest_statistics(spark, target))
 
 
-@query("streaming_states", rounded_sql(long_statistics_sql(), _DOUBLES, 4))
+@query("streaming_states", rounded_sql(long_statistics_sql(), _DOUBLES, 7))
 def streaming_states(spark, sf_dir):
     """Per-batch states, folded at read time, equal the batch statistics."""
     source, schema = _arrivals(spark, sf_dir)
     target = scratch_path(spark, "stream-states")
     run_state_deltas(spark, source, schema, roles.readouts_long, target, scratch_path(spark, "stream-checkpoint"))
-    return rounded(states_so_far(spark, target), 4)
+    return rounded(states_so_far(spark, target), 7)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import params as P
 from fleetlens.functions.numeric import bucket_of, ratio_or_zero, round_even
-from fleetlens.operators.running import quantile_boundaries, running_totals
+from fleetlens.operators.running import quantile_boundaries, running_totals, with_range_bucket
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
@@ -54,21 +54,21 @@ def ranking_metrics(
     by: Sequence[str] = (),
     label: str = P.LABEL,
     probability: str = "probability",
-    parts: int = 256,
+    parts: int | None = None,
 ) -> DataFrame:
     """Exact, tie-aware ROC AUC and average precision per group; NULL where a class is absent.
 
     Rows are first collapsed to one per distinct score, so a hot score costs one row. Scores are then cut into
-    ``parts`` ranges of equal row count and cumulated range by range.
+    ``parts`` ranges of equal row count (default: one per shuffle partition) and cumulated range by range.
     """
     by = list(by)
     rows = df.where(F.col(label).isNotNull())
     scores = rows.groupBy(*by, F.col(probability).alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    bucket = bucket_of(F.col("_score"), quantile_boundaries(rows, probability, parts))
+    ranged = with_range_bucket(scores, "_score", quantile_boundaries(rows, probability, parts), "_range")
     curve = running_totals(
-        scores, by, bucket, [F.col("_score").desc()], {"_tp": "_pos", "_fp": "_neg"}, descending=True
+        ranged, by, F.col("_range"), [F.col("_score").desc()], {"_tp": "_pos", "_fp": "_neg"}, descending=True
     )
     area = F.sum(F.col("_neg") * (F.col("_tp") - F.col("_pos") / 2.0))
     gain = F.sum(F.col("_pos") * ratio_or_zero(F.col("_tp"), F.col("_tp") + F.col("_fp")))

@@ -8,7 +8,7 @@ and task, whatever share of the rows it has. The (vehicle_id, time_step) pair is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +85,7 @@ def _aggregates(tie_break: Sequence[str] = ()) -> list[Column]:
     ]
 
 
-def _finish(n: Column, col) -> dict[str, Column]:
+def _finish(n: Column, col: Callable[[str], Column]) -> dict[str, Column]:
     """The nine published statistics from aggregated columns ``col(name)``.
 
     A sensor that was never valid reports no missing rows and a flat trend.
@@ -106,6 +106,19 @@ def _finish(n: Column, col) -> dict[str, Column]:
     }
 
 
+def _finished(aggregated: DataFrame, *keys: str | Column) -> DataFrame:
+    return aggregated.select(P.ID, *keys, "n", *[c.alias(k) for k, c in _finish(F.col("n"), F.col).items()])
+
+
+def _pivoted(statistics: DataFrame, sensors: Sequence[str]) -> DataFrame:
+    """Finished long statistics, keyed by ``_prefix`` = ``s_<sensor>``, to ``s_<sensor>_<statistic>`` columns.
+
+    Statistics are finished before the pivot, so the wide plan holds nothing but column references.
+    """
+    prefixes = [feature_name(s, "")[:-1] for s in sensors]
+    return statistics.groupBy(P.ID).pivot("_prefix", prefixes).agg(*[F.first(s).alias(s) for s in P.STATISTICS])
+
+
 def long_statistics(long: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """One row per (vehicle_id, sensor): valid count ``n`` and the nine statistics."""
     aggregated = (
@@ -113,30 +126,33 @@ def long_statistics(long: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame
         .withColumn("value", finite_or_null(F.col("value").cast("double")))
         .groupBy(P.ID, "sensor").agg(*_aggregates(tie_break))
     )
-    return aggregated.select(P.ID, "sensor", "n", *[c.alias(k) for k, c in _finish(F.col("n"), F.col).items()])
-
-
-def _published(pivoted: DataFrame, sensors: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
-    """Pivoted aggregates to ``s_<sensor>_<statistic>``; a vehicle that never reported a sensor reads as never valid."""
-    columns = []
-    for sensor, prefix in zip(sensors, prefixes):
-        cell = lambda name, prefix=prefix: F.col(f"`{prefix}_{name}`")
-        n = F.coalesce(cell("n"), F.lit(0))
-        columns += [c.alias(feature_name(sensor, stat)) for stat, c in _finish(n, cell).items()]
-    return pivoted.select(P.ID, *columns)
+    return _finished(aggregated, "sensor")
 
 
 def features_from_long(long: DataFrame, sensors: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
-    """Wide feature table from long readouts, for an explicit sensor list."""
+    """Wide feature table from long readouts, for an explicit sensor list.
+
+    A vehicle without any row for a sensor reads as if the sensor was never valid: no missing rows, flat trend.
+    """
     sensors = list(sensors)
     if not sensors:
         return long.select(P.ID).limit(0)
-    pivoted = (
-        long.where(F.col(P.ID).isNotNull())
-        .withColumn("value", finite_or_null(F.col("value").cast("double")))
-        .groupBy(P.ID).pivot("sensor", sensors).agg(*_aggregates(tie_break))
+    statistics = long_statistics(long, tie_break).withColumn("_prefix", F.concat(F.lit("s_"), "sensor"))
+    absent = {feature_name(s, "missing_count"): 0 for s in sensors} | {
+        feature_name(s, "trend_slope"): 0.0 for s in sensors
+    }
+    return _pivoted(statistics, sensors).fillna(absent)
+
+
+def wide_statistics(wide: DataFrame, sensors: Sequence[str] | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``long_statistics`` of wide readouts."""
+    sensors = list(sensors) if sensors else sensor_columns(wide.columns)
+    aggregated = (
+        _numbered(wide, sensors, *tie_break)
+        .withColumn("value", finite_or_null(F.col("value")))
+        .groupBy(P.ID, _POSITION).agg(*_aggregates(tie_break))
     )
-    return _published(pivoted, sensors, sensors)
+    return _finished(aggregated, F.array(*[F.lit(s) for s in sensors])[F.col(_POSITION)].alias("sensor"))
 
 
 def wide_features(
@@ -150,13 +166,8 @@ def wide_features(
     sensors = list(sensors) if sensors is not None else sensor_columns(wide.columns)
     if not sensors:
         return wide.select(P.ID).limit(0)
-    positions = list(range(len(sensors)))
-    pivoted = (
-        _numbered(wide, sensors, *tie_break)
-        .withColumn("value", finite_or_null(F.col("value")))
-        .groupBy(P.ID).pivot(_POSITION, positions).agg(*_aggregates(tie_break))
-    )
-    return _published(pivoted, sensors, [str(p) for p in positions])
+    statistics = wide_statistics(wide, sensors, tie_break)
+    return _pivoted(statistics.withColumn("_prefix", F.concat(F.lit("s_"), "sensor")), sensors)
 
 
 def rename_specs(df: DataFrame, count: int = 8) -> DataFrame:
@@ -225,4 +236,4 @@ def finish_states(states: DataFrame) -> DataFrame:
         (F.col("sum_xy") / n - F.col("sum_x") * F.col("sum") / (n * n)).alias("covariance"),
         (F.col("sum_x_sq") / n - (F.col("sum_x") / n) * (F.col("sum_x") / n)).alias("time_variance"),
     )
-    return derived.select(P.ID, "sensor", "n", *[c.alias(k) for k, c in _finish(F.col("n"), F.col).items()])
+    return _finished(derived, "sensor")

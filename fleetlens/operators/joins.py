@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
-from fleetlens.functions.numeric import bucket_of, unit_hash
-from fleetlens.operators.running import quantile_boundaries, running_totals
+from fleetlens.functions.numeric import unit_hash
+from fleetlens.operators.running import quantile_boundaries, running_totals, with_range_bucket
 
 
 def specs_with_labels(specs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -70,15 +70,15 @@ def distinct_ids(df: DataFrame, key: str = P.ID) -> DataFrame:
     return df.select(key).distinct().orderBy(key)
 
 
-def account_intervals(weights: DataFrame, buckets: int = 256) -> DataFrame:
+def account_intervals(weights: DataFrame, buckets: int | None = None) -> DataFrame:
     """(account_id, low, high): the share of [0, 1) each account owns, in account order.
 
     ``weights`` has integer ``weight`` so the cumulative sum is exact in any order of addition.
     """
     positive = weights.where(F.col("weight") > 0).withColumn("_w", F.col("weight").cast("long"))
     total = positive.agg(F.sum("_w")).first()[0]
-    bucket = bucket_of(F.col(P.ACCOUNT), quantile_boundaries(positive, P.ACCOUNT, buckets))
-    cumulated = running_totals(positive, [], bucket, [F.col(P.ACCOUNT)], {"upper": "_w"})
+    ranged = with_range_bucket(positive, P.ACCOUNT, quantile_boundaries(positive, P.ACCOUNT, buckets), "_range")
+    cumulated = running_totals(ranged, [], F.col("_range"), [F.col(P.ACCOUNT)], {"upper": "_w"})
     return cumulated.select(
         P.ACCOUNT,
         ((F.col("upper") - F.col("_w")) / F.lit(total)).alias("low"),

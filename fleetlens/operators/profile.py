@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from fleetlens import params as P
 from fleetlens.functions.domain import sensor_role
 from fleetlens.functions.naming import family_of, sensor_columns
-from fleetlens.functions.numeric import bucket_of, finite_or_null
-from fleetlens.operators.running import quantile_boundaries, with_previous
+from fleetlens.functions.numeric import finite_or_null
+from fleetlens.operators.running import quantile_boundaries, with_previous, with_range_bucket
 
 
 def first_rows(readouts: DataFrame, n: int = 15_000) -> DataFrame:
@@ -19,30 +19,34 @@ def first_rows(readouts: DataFrame, n: int = 15_000) -> DataFrame:
     return readouts.orderBy(P.TIME, P.ID).limit(n)
 
 
-def _segment(readouts: DataFrame, segments: int):
-    boundaries = quantile_boundaries(readouts, P.TIME, segments)
-    return bucket_of(F.col(P.TIME), boundaries) if boundaries else None
+def _paired(rows: DataFrame, by: Sequence[str], payload: str, segments: int | None) -> DataFrame:
+    boundaries = quantile_boundaries(rows, P.TIME, segments)
+    if not boundaries:
+        return with_previous(rows, by, [P.TIME], payload)
+    ranged = with_range_bucket(rows, P.TIME, boundaries, "_segment")
+    return with_previous(ranged, by, [P.TIME], payload, F.col("_segment")).drop("_segment")
 
 
-def step_differences(long: DataFrame, segments: int = 64) -> DataFrame:
+def step_differences(long: DataFrame, segments: int | None = None) -> DataFrame:
     """(vehicle_id, sensor, time_step, difference) between consecutive rows of one series.
 
     NULL where either side is missing; missing rows are not skipped. A long series is cut into ``segments`` time
-    ranges of equal row count, so one vehicle with a third of all rows is not one task.
+    ranges of equal row count (default: one per shuffle partition), so one vehicle with a third of all rows is not
+    one task.
     """
     rows = long.where(F.col(P.ID).isNotNull()).select(
         P.ID, "sensor", P.TIME, finite_or_null(F.col("value").cast("double")).alias("value")
     )
-    paired = with_previous(rows, [P.ID, "sensor"], [P.TIME], "value", _segment(long, segments))
+    paired = _paired(rows, [P.ID, "sensor"], "value", segments)
     return paired.select(P.ID, "sensor", P.TIME, (F.col("value") - F.col("previous")).alias("difference"))
 
 
-def wide_step_differences(wide: DataFrame, sensors: Sequence[str] | None = None, segments: int = 64) -> DataFrame:
+def wide_step_differences(wide: DataFrame, sensors: Sequence[str] | None = None, segments: int | None = None) -> DataFrame:
     """``step_differences`` of wide readouts: one look-back per readout for all sensors, unfolded afterwards."""
     sensors = list(sensors) if sensors else sensor_columns(wide.columns)
     values = F.array(*[finite_or_null(F.col(f"`{s}`").cast("double")) for s in sensors])
     rows = wide.where(F.col(P.ID).isNotNull()).select(P.ID, P.TIME, values.alias("_values"))
-    paired = with_previous(rows, [P.ID], [P.TIME], "_values", _segment(wide, segments))
+    paired = _paired(rows, [P.ID], "_values", segments)
     names = F.array(*[F.lit(s) for s in sensors])
     return (
         paired.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(sensors) - 1))).alias("_i"))
@@ -83,12 +87,12 @@ def _profile(differences: DataFrame, sensors: DataFrame) -> DataFrame:
     ).orderBy(F.col("family").cast("int"))
 
 
-def sensor_profile(long: DataFrame, segments: int = 64) -> DataFrame:
+def sensor_profile(long: DataFrame, segments: int | None = None) -> DataFrame:
     """One row per family: bins, mean monotonicity over bins, role and its sensors (a handful per family)."""
     return _profile(step_differences(long, segments), long.select("sensor").distinct())
 
 
-def wide_sensor_profile(wide: DataFrame, segments: int = 64) -> DataFrame:
+def wide_sensor_profile(wide: DataFrame, segments: int | None = None) -> DataFrame:
     sensors = sensor_columns(wide.columns)
     listed = wide.sparkSession.createDataFrame([(s,) for s in sensors], "sensor string")
     return _profile(wide_step_differences(wide, sensors, segments), listed)

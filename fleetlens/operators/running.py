@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,16 +17,33 @@ from pyspark.sql import functions as F
 _BUCKET = "_bucket"
 
 
-def quantile_boundaries(df: DataFrame, column: str, parts: int, error: float = 0.001) -> list[float]:
+def default_parts(df: DataFrame) -> int:
+    """As many ranges as the session shuffles into, so ranges grow with the cluster the job was sized for."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def quantile_boundaries(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
     """At most ``parts - 1`` ascending cut points holding about equal row counts between them.
 
     Rows are what is balanced, so a vehicle with a third of all rows is cut into about a third of the parts.
     Only the cut points reach the driver.
     """
+    parts = parts or default_parts(df)
     if parts <= 1:
         return []
     probabilities = [i / parts for i in range(1, parts)]
-    return sorted(set(df.approxQuantile(column, probabilities, error)))
+    numeric = df.select(F.col(column).cast("double").alias(column))
+    return sorted(set(numeric.approxQuantile(column, probabilities, min(0.001, 0.25 / parts))))
+
+
+def with_range_bucket(df: DataFrame, column: str, boundaries: Sequence[float], output: str) -> DataFrame:
+    """Add the number of ``boundaries`` at or below the column."""
+    if not boundaries:
+        return df.withColumn(output, F.lit(0.0))
+    infinity = float("inf")
+    return Bucketizer(
+        splits=[-infinity, *boundaries, infinity], inputCol=column, outputCol=output, handleInvalid="keep"
+    ).transform(df)
 
 
 def running_totals(

@@ -70,7 +70,10 @@ def random_forest(train: P.TrainParams = P.TRAIN) -> RandomForestClassifier:
 
 
 def logistic_regression(iterations: int = 2000) -> LogisticRegression:
-    return LogisticRegression(maxIter=iterations, regParam=1e-4, elasticNetParam=0.0, **_columns())
+    """L2 strength is left open: ``fit`` sets it to 1 / n, a unit penalty against the sum of n losses."""
+    return LogisticRegression(
+        maxIter=iterations, tol=1e-4, elasticNetParam=0.0, standardization=False, **_columns()
+    )
 
 
 @dataclass(frozen=True)
@@ -188,6 +191,8 @@ def fit(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> FittedMod
         estimator = estimator.copy({estimator.getParam(k): v for k, v in params.items()})
     weighted = with_weight(prepared, spec.weight).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if isinstance(estimator, LogisticRegression) and not estimator.isSet("regParam"):
+            estimator.setRegParam(1.0 / max(1, weighted.count()))
         pipeline = Pipeline(stages=[*_stages(categorical, list(medians), spec.scaled), estimator]).fit(weighted)
     finally:
         weighted.unpersist()
