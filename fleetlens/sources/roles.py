@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table for work that unfolds each row many times, spread over all cores if it has fewer files than cores.
+
+    A Parquet row group is read by one task, so a one-file table would otherwise be unfolded by one core. A table
+    with many files is read as it is, without a shuffle.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def readouts_long(events: DataFrame) -> DataFrame:
     """Every eleventh reading is missing."""
     sensor = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_SENSORS.items()])
