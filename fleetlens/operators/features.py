@@ -113,10 +113,13 @@ def _finished(aggregated: DataFrame, *keys: str | Column) -> DataFrame:
 def _pivoted(statistics: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """Finished long statistics, keyed by ``_prefix`` = ``s_<sensor>``, to ``s_<sensor>_<statistic>`` columns.
 
-    Statistics are finished before the pivot, so the wide plan holds nothing but column references.
+    Statistics are finished before the pivot, so the wide plan holds nothing but column references. Their narrow
+    rows are brought together by vehicle first: the pivot is then local, instead of shuffling one full-width,
+    mostly empty row per vehicle and sensor. The result stays partitioned by vehicle for the joins that follow.
     """
     prefixes = [feature_name(s, "")[:-1] for s in sensors]
-    return statistics.groupBy(P.ID).pivot("_prefix", prefixes).agg(*[F.first(s).alias(s) for s in P.STATISTICS])
+    together = statistics.select(P.ID, "_prefix", *P.STATISTICS).repartition(P.ID)
+    return together.groupBy(P.ID).pivot("_prefix", prefixes).agg(*[F.first(s).alias(s) for s in P.STATISTICS])
 
 
 def long_statistics(long: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
