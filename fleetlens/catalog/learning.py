@@ -17,7 +17,7 @@ from fleetlens.operators import splits as S
 from fleetlens.plans import models as M
 from fleetlens.session import scratch_path, shared_dir
 from fleetlens.sources import roles
-from fleetlens.sources.materialize import load_or_build
+from fleetlens.sources.materialize import load_or_build, written
 from fleetlens.sources.roles import table
 
 # Tree counts of the registered queries; the library defaults are the full settings.
@@ -66,7 +66,7 @@ def logistic() -> M.ModelSpec:
 
 
 def held_out_scores(spark, sf_dir, spec):
-    split = S.stratified_split(training_table(spark, sf_dir))
+    split = written(S.stratified_split(training_table(spark, sf_dir)), "split")
     model = M.fit(split.where(~F.col("is_test")).drop("is_test"), spec)
     return model.score(split.where("is_test")).select(P.ID, P.LABEL, "probability", "predicted")
 

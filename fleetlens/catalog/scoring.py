@@ -222,6 +222,6 @@ def risk_tier_summary(spark, sf_dir):
          count(*) FILTER (WHERE risk_percentage >= 3.0 AND risk_percentage < 5.0) AS medium_risk_vehicles,
          sum(expected_co2_saved_kg) AS expected_co2_saved_kg, sum(net_savings_jpy) AS net_savings_jpy
   FROM ({SCORES_SQL.format(relation=roles.SCORED)})""",
-    ("average_risk_percentage", "expected_co2_saved_kg", "net_savings_jpy"), 4))
+    ("average_risk_percentage", "expected_co2_saved_kg", "net_savings_jpy")))
 def fleet_risk_summary(spark, sf_dir):
-    return rounded(G.fleet_risk_summary(fleet_scores_of(roles.scored(table(spark, sf_dir, "customer")))), 4)
+    return rounded(G.fleet_risk_summary(fleet_scores_of(roles.scored(table(spark, sf_dir, "customer")))))

@@ -14,7 +14,6 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -29,6 +28,7 @@ from fleetlens.operators import evaluate as E
 from fleetlens.operators import preprocess as X
 from fleetlens.operators import splits as S
 from fleetlens.session import ensure_checkpoint_dir
+from fleetlens.sources.materialize import written
 from fleetlens.sources.readers import exists
 
 WEIGHT = "_weight"
@@ -189,13 +189,10 @@ def fit(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> FittedMod
     estimator = spec.estimator()
     if params:
         estimator = estimator.copy({estimator.getParam(k): v for k, v in params.items()})
-    weighted = with_weight(prepared, spec.weight).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if isinstance(estimator, LogisticRegression) and not estimator.isSet("regParam"):
-            estimator.setRegParam(1.0 / max(1, weighted.count()))
-        pipeline = Pipeline(stages=[*_stages(categorical, list(medians), spec.scaled), estimator]).fit(weighted)
-    finally:
-        weighted.unpersist()
+    weighted = written(with_weight(prepared, spec.weight), "training-rows")
+    if isinstance(estimator, LogisticRegression) and not estimator.isSet("regParam"):
+        estimator.setRegParam(1.0 / max(1, weighted.count()))
+    pipeline = Pipeline(stages=[*_stages(categorical, list(medians), spec.scaled), estimator]).fit(weighted)
     return FittedModel(medians, categorical, kept, pipeline, dict(params or {}))
 
 
@@ -204,6 +201,7 @@ def fit(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> FittedMod
 
 def out_of_fold(folded: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
     """Score each row with the model that did not train on its ``fold``."""
+    folded = written(folded, "folds")
     folds = sorted(r[0] for r in folded.select("fold").distinct().collect())
     parts = []
     for k in folds:
@@ -219,7 +217,7 @@ def out_of_fold(folded: DataFrame, spec: ModelSpec, params: dict | None = None)
 
 def cross_validated_metrics(folded: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
     """One row: the six metrics averaged over the folds, with the model name."""
-    scored = out_of_fold(folded, spec, params).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = written(out_of_fold(folded, spec, params), "out-of-fold")
     per_fold = E.evaluation(scored, by=["fold"])
     return E.mean_over_folds(per_fold.withColumn("model", F.lit(spec.name)))
 
@@ -252,20 +250,16 @@ def randomized_search(
     medians, categorical, kept = _preparation(folded, spec)
     prepared = with_weight(X.cap_categories(X.impute(folded, medians, categorical), kept), spec.weight)
     features = Pipeline(stages=_stages(categorical, list(medians), spec.scaled)).fit(prepared)
-    vectors = features.transform(prepared).select("features", P.LABEL, WEIGHT, "fold")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = written(features.transform(prepared).select("features", P.LABEL, WEIGHT, "fold"), "search-vectors")
     estimator = spec.estimator()
     settings = sample_grid(grid, n, seed)
     folds = folded.agg(F.max("fold")).first()[0] + 1
-    try:
-        search = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=[{estimator.getParam(k): v for k, v in s.items()} for s in settings],
-            evaluator=BinaryClassificationEvaluator(labelCol=P.LABEL, metricName="areaUnderROC"),
-            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
-        ).fit(vectors)
-    finally:
-        vectors.unpersist()
+    search = CrossValidator(
+        estimator=estimator,
+        estimatorParamMaps=[{estimator.getParam(k): v for k, v in s.items()} for s in settings],
+        evaluator=BinaryClassificationEvaluator(labelCol=P.LABEL, metricName="areaUnderROC"),
+        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
+    ).fit(vectors)
     scores = list(zip(settings, search.avgMetrics))
     best, score = max(scores, key=lambda pair: pair[1])
     return best, score, scores
@@ -273,7 +267,7 @@ def randomized_search(
 
 def optimal_threshold(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
     """Best F2 threshold on a stratified hold-out of labelled rows."""
-    split = S.stratified_split(df)
+    split = written(S.stratified_split(df), "threshold-split")
     model = fit(split.where(~F.col("is_test")).drop("is_test"), spec, params)
     held_out = model.score(split.where("is_test").drop("is_test"))
     return E.best_threshold(E.threshold_sweep(held_out))
@@ -319,7 +313,7 @@ def champion_challenger(
 
     Both train on the same training rows. The challenger wins with a strictly higher ROC AUC, or without a champion.
     """
-    split = S.stratified_split(df)
+    split = written(S.stratified_split(df), "comparison-split")
     train, test = split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
     scored = None
     for role, spec, params in (("champion", champion, None), ("challenger", challenger, challenger_params)):
@@ -328,7 +322,7 @@ def champion_challenger(
         part = fit(train, spec, params).score(test).select(P.ID, P.LABEL, "probability", "predicted")
         part = part.withColumn("model", F.lit(role))
         scored = part if scored is None else scored.unionByName(part)
-    metrics = E.evaluation(scored.persist(StorageLevel.MEMORY_AND_DISK), by=["model"])
+    metrics = E.evaluation(written(scored, "hold-out-scores"), by=["model"])
     areas = {r["model"]: r["roc_auc"] for r in metrics.select("model", "roc_auc").collect()}
     promoted = champion is None or (areas["challenger"] or 0.0) > (areas["champion"] or 0.0)
     return metrics.withColumn("promoted", (F.col("model") == "challenger") & F.lit(promoted)), promoted

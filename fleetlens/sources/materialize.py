@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlens.session import scratch_path
 from fleetlens.sources.readers import exists, modified_at
 
 
@@ -28,3 +29,14 @@ def load_or_build(
     if force or not is_fresh(spark, target, sources):
         build().write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For relations that are passed over many times: later passes start from the written columns, so a lost executor
+    costs a re-read, not a recomputation, and iterative training ships short task descriptions.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
