@@ -17,7 +17,7 @@ def labelled(spark):
     rows = []
     for i in range(200):
         y = int(i % 4 == 0)
-        rows.append((i, y, 100.0, "A" if i % 2 else "B", rng.gauss(2.0 * y, 1.0), None if i % 10 == 0 else rng.random(), None))
+        rows.append((i, y, 100.0, "A" if (i // 4) % 2 else "B", rng.gauss(2.0 * y, 1.0), None if i % 10 == 0 else rng.random(), None))
     return spark.createDataFrame(
         rows, "vehicle_id long, in_study_repair int, length_of_study_time_step double, cat1 string, num1 double, num2 double, void double"
     ).cache()
