@@ -59,14 +59,18 @@ def fleet_sensors(count: int = FLEET_SENSOR_COUNT) -> list[str]:
 
 
 def fleet_readouts(lineitem: DataFrame, count: int = FLEET_SENSOR_COUNT) -> DataFrame:
-    """Production-width readouts: suppliers as vehicles, four measures scaled into ``count`` sensors."""
+    """Production-width readouts: suppliers as vehicles, four measures scaled into ``count`` sensors.
+
+    Line numbers repeat within an order, so part and quantity complete the time to a key.
+    """
     columns = []
     for i, name in enumerate(fleet_sensors(count)):
         measure = F.col(_BENCH_MEASURES[i % 4]) / F.lit(1000.0 if i % 4 == 1 else 1.0)
         columns.append(F.when((F.col("l_partkey") + i) % 11 != 0, measure * F.lit(_GAIN * (1.0 + i))).alias(name))
     return lineitem.select(
         F.col("l_suppkey").alias("vehicle_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.col("l_partkey") / F.lit(1048576.0)).alias("time_step"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.col("l_partkey") / F.lit(1048576.0)
+         + F.col("l_quantity") / F.lit(1073741824.0)).alias("time_step"),
         *columns,
     )
 
@@ -79,7 +83,8 @@ def fleet_readouts_sql(count: int = FLEET_SENSOR_COUNT) -> str:
         columns.append(f'CASE WHEN (l_partkey + {i}) % 11 <> 0 THEN {measure} END AS "{name}"')
     return (
         "SELECT l_suppkey AS vehicle_id, l_orderkey * 10 + l_linenumber "
-        "+ CAST(l_partkey AS DOUBLE) / CAST(1048576.0 AS DOUBLE) AS time_step, "
+        "+ CAST(l_partkey AS DOUBLE) / CAST(1048576.0 AS DOUBLE) "
+        "+ l_quantity / CAST(1073741824.0 AS DOUBLE) AS time_step, "
         + ", ".join(columns) + " FROM lineitem"
     )
 
