@@ -1,13 +1,18 @@
-"""Model training queries. Their results depend on the learner, so they are checked by properties, not by SQL."""
+"""Model training queries.
+
+Scores depend on the learner, so they are checked by properties in the tests. What does not depend on it (which rows
+are scored by which fold, how categories are encoded) is checked by SQL.
+"""
 
 from __future__ import annotations
 
 import zlib
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
-from fleetlens.catalog.fleet import features, vehicles
+from fleetlens.catalog.fleet import _POSITIONS, vehicles
 from fleetlens.catalog.registry import query
 from fleetlens.catalog.scoring import scored_at
 from fleetlens.operators import features as X
@@ -96,6 +101,43 @@ def cv_search(spark, sf_dir):
     return spark.createDataFrame(rows, schema).orderBy(F.col("roc_auc").desc())
 
 
+_ROWS_SQL = f"""
+  SELECT vehicle_id, in_study_repair, CAST(r % 5 AS INTEGER) AS fold, r <= ceil(CAST(0.2 AS DOUBLE) * n) AS is_test
+  FROM ({_POSITIONS})"""
+
+
+@query("oof_coverage", f"SELECT vehicle_id, in_study_repair, fold, true AS in_range FROM ({_ROWS_SQL})")
+def oof_coverage(spark, sf_dir):
+    """Every labelled row once, under its own fold, with a probability."""
+    scored = M.out_of_fold(S.stratified_folds(training_table(spark, sf_dir)), forest())
+    return scored.select(P.ID, P.LABEL, "fold", F.col("probability").between(0.0, 1.0).alias("in_range"))
+
+
+@query("hold_out_rows", f"SELECT vehicle_id, in_study_repair, true AS consistent FROM ({_ROWS_SQL}) WHERE is_test")
+def hold_out_rows(spark, sf_dir):
+    """The rows scored on the hold-out, and that the label follows the probability."""
+    scored = held_out_scores(spark, sf_dir, forest())
+    consistent = F.col("predicted") == (F.col("probability") >= 0.5).cast("int")
+    return scored.select(P.ID, P.LABEL, consistent.alias("consistent"))
+
+
+@query("one_hot", """
+  WITH k AS (
+    SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) AS INTEGER) AS slot FROM customer
+    WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_mktsegment)
+  SELECT c_custkey AS vehicle_id, coalesce(slot, 0) AS slot, CASE WHEN slot IS NULL THEN 0.0 ELSE 1.0 END AS ones
+  FROM customer LEFT JOIN k USING (c_mktsegment)""")
+def one_hot(spark, sf_dir):
+    """One-hot slots, most frequent category first; a category unseen in fitting is all zeros."""
+    specs = X.rename_specs(roles.specs(table(spark, sf_dir, "customer")))
+    encoded = M.one_hot(specs.where(F.col("spec_0") != "MACHINERY"), specs, ["spec_0"])
+    cells = vector_to_array("features")
+    return encoded.select(
+        P.ID, F.array_position(cells, F.lit(1.0)).cast("int").alias("slot"),
+        F.aggregate(cells, F.lit(0.0), lambda a, b: a + b).alias("ones"),
+    )
+
+
 @query("oof_scores")
 def oof_scores(spark, sf_dir):
     return M.out_of_fold(S.stratified_folds(training_table(spark, sf_dir)), forest())

@@ -6,6 +6,7 @@ the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -48,26 +49,24 @@ def fit_medians(df: DataFrame, columns: Sequence[str], error: float = 0.001) ->
     """Exact medians, None for an all-missing column.
 
     An approximate quantile pass brackets each median; a second pass counts the values below, above and, one by one,
-    inside the bracket (a share of about ``4 * error`` of the rows). A median that falls outside its bracket widens
-    it to the whole range, so the result never depends on the quality of the sketch.
+    inside the bracket (a share of about ``4 * error`` of the rows). A median that falls outside its bracket is
+    looked for in a four times wider one, in the end in the whole range, so the result never depends on the sketch.
     """
     columns = list(columns)
     numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(str(i)) for i, c in enumerate(columns)])
-    sketch = numeric.approxQuantile(numeric.columns, [max(0.0, 0.5 - 2 * error), min(1.0, 0.5 + 2 * error)], error)
-    brackets = {i: (q[0], q[1]) for i, q in enumerate(sketch) if q}
     medians: dict[str, float | None] = dict.fromkeys(columns)
-    while brackets:
-        found = _medians_within(df, columns, brackets)
-        retry = {}
-        for position in brackets:
-            value = found[position]
-            if value is None or value in (float("inf"), float("-inf")) or value != value:
-                if brackets[position] == (None, None):
-                    raise ValueError(f"no finite median for {columns[position]}")
-                retry[position] = (None, None)
-            else:
-                medians[columns[position]] = value
-        brackets = retry
+    pending, width = list(range(len(columns))), 2 * error
+    while pending:
+        if width < 0.5:
+            names = [str(i) for i in pending]
+            sketch = numeric.approxQuantile(names, [0.5 - width, 0.5 + width], error)
+            brackets = {i: (q[0], q[1]) for i, q in zip(pending, sketch) if q}
+        else:
+            brackets = {i: (None, None) for i in pending}
+        found = _medians_within(df, columns, brackets) if brackets else {}
+        medians |= {columns[i]: m for i, m in found.items() if math.isfinite(m)}
+        pending = [i for i in brackets if width < 0.5 and medians[columns[i]] is None]
+        width *= 4
     return medians
 
 

@@ -173,6 +173,12 @@ def _stages(categorical: Sequence[str], numeric: Sequence[str], scaled: bool) ->
     return stages
 
 
+def one_hot(fitted_on: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with a ``features`` vector of one-hot ``columns``; categories come from ``fitted_on``."""
+    known = X.impute(fitted_on, {}, columns)
+    return Pipeline(stages=_stages(columns, [], False)).fit(known).transform(X.impute(df, {}, columns))
+
+
 def _preparation(df: DataFrame, spec: ModelSpec) -> tuple[dict, list[str], dict]:
     categorical, numeric = X.column_kinds(df, (*P.NON_FEATURES, WEIGHT, "fold", "is_test"))
     medians = X.fit_medians(df, numeric) if numeric else {}
