@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,18 +26,13 @@ def build_session(app_name: str = "fleetlens", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only for a local master, where driver and executors are one process.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else a folder beside the warehouse tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="fleetlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
