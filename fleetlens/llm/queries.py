@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, sharding
+from fleetlens.llm import exact_dedup, language, packing, sharding
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# The public tokenizers' folder; a file's path is an argument of the operator.
+TOKENIZER = "word_bpe_49k.json"
 SHARDS = tuple(f"shard-{k:03d}" for k in range(128))
 
 
@@ -43,3 +45,21 @@ def op5(spark, sf_dir):
     docs = documents(spark, sf_dir)
     middle = exact_dedup.middle_id(docs)
     return exact_dedup.exact_dedup(docs, F.col("doc_id") <= F.lit(middle))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op3_harmonic_packing")
+def op3(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), tokenizer_path())
+
+
+@query("op10_language_id")
+def op10(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs, ~language.held_out())
+    return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
