@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, language, packing, sharding
+from fleetlens.llm import exact_dedup, language, mixing, packing, sharding
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ def op10(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = language.fit(docs, ~language.held_out())
     return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_entropy_mixing")
+def op6(spark, sf_dir):
+    mixed = mixing.mix_sources(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
