@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, language, mixing, packing, sharding
+from fleetlens.llm import exact_dedup, html, language, mixing, packing, sharding
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op10(spark, sf_dir):
 def op6(spark, sf_dir):
     mixed = mixing.mix_sources(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op7_html_extraction")
+def op7(spark, sf_dir):
+    return html.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
