@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, html, language, mixing, packing, sharding
+from fleetlens.llm import exact_dedup, html, language, mixing, packing, sharding, substrings
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,23 @@ def op6(spark, sf_dir):
 @query("op7_html_extraction")
 def op7(spark, sf_dir):
     return html.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op2_substring_dedup", r"""
+  WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+  s AS (
+    SELECT doc_id, unnest(range(1, len(words) - 33)) AS pos,
+           unnest(list_transform(range(1, len(words) - 33), lambda i: sha256(array_to_string(words[i:i + 34], ' ')))) AS run
+    FROM w WHERE len(words) >= 35),
+  r AS (SELECT doc_id, pos FROM s QUALIFY count(*) OVER (PARTITION BY run) > 1),
+  c AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS gone FROM r),
+  g AS (SELECT doc_id, list(gone) AS gone FROM c GROUP BY doc_id),
+  k AS (
+    SELECT doc_id, words, coalesce(gone, []) AS gone,
+           list_filter(words, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS kept
+    FROM w LEFT JOIN g USING (doc_id))
+  SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""")
+def op2(spark, sf_dir):
+    cleaned = substrings.remove_repeats(documents(spark, sf_dir))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return cleaned.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
