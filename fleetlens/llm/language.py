@@ -140,18 +140,26 @@ def labelled_sample(docs: DataFrame, usable: Column, text_col: str = "text", lan
                     id_col: str = "doc_id") -> dict[str, str]:
     """At most SAMPLE_CHARS characters of words per language, from at most SAMPLE_DOCS documents each.
 
-    Documents of at most DOC_CHARS characters come first; a longer one gives its first DOC_CHARS characters. Only this
-    bounded sample reaches the driver. The order is a hash of the id, so reruns and clusters agree.
+    A language with enough documents of at most DOC_CHARS characters is learned from those, any other from all of its
+    own, of each the first DOC_CHARS characters. Which ones is decided by a hash of the id, so reruns and clusters
+    agree. A few hundred documents per language pass the threshold on the hash and reach the driver, at any size.
     """
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("doc_id"),
-        F.substring(F.col(text_col), 1, DOC_CHARS).alias("text"),
-        (F.length(text_col) > DOC_CHARS).cast("int").alias("long"), F.xxhash64(id_col).alias("order"))
-    languages = [r["lang"] for r in rows.select("lang").distinct().collect()]
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+        (F.length(text_col) <= DOC_CHARS).alias("short"),
+        (F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)).alias("order"))
+    counts = rows.groupBy("lang").agg(F.count(F.when(F.col("short"), 1)).alias("short"), F.count(F.lit(1)).alias("all"))
+    wanted = F.lit(False)
+    for row in counts.collect():
+        few = row["short"] < SAMPLE_DOCS
+        reach = 4.0 * SAMPLE_DOCS / row["all" if few else "short"]
+        wanted = wanted | ((F.col("lang") == row["lang"]) & (F.lit(few) | F.col("short")) & (F.col("order") < reach))
+    picked: dict[str, list] = {}
+    for row in rows.where(wanted).select("lang", "order", F.substring("text", 1, DOC_CHARS).alias("text")).collect():
+        picked.setdefault(row["lang"], []).append((row["order"], row["text"]))
     texts = {}
-    for name in sorted(languages):
-        picked = rows.where(F.col("lang") == name).orderBy("long", "order", "text").limit(SAMPLE_DOCS).collect()
-        words = [w for row in picked for w in _LETTERS.findall(row["text"].lower())]
+    for name, found in sorted(picked.items()):
+        words = [w for _, text in sorted(found)[:SAMPLE_DOCS] for w in _LETTERS.findall(text.lower())]
         sample = " ".join(words)[:SAMPLE_CHARS]
         if sample:
             texts[name] = f" {sample} "

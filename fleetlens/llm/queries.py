@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, html, language, mixing, packing, sharding, substrings
+from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, substrings
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op2(spark, sf_dir):
     cleaned = substrings.remove_repeats(documents(spark, sf_dir))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return cleaned.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query("op8_jaccard_join")
+def op8(spark, sf_dir):
+    return jaccard.jaccard_components(documents(spark, sf_dir), length=4, percent=85)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-WORD_CAP = 500_000
+WORD_CAP = 300_000
 
 # Letters whose lower case and normal form are letter by letter; words with anything else, or with the start of a
 # special token, go through the tokenizer as a whole.
