@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, substrings
+from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,11 @@ def op2(spark, sf_dir):
 @query("op8_jaccard_join")
 def op8(spark, sf_dir):
     return jaccard.jaccard_components(documents(spark, sf_dir), length=4, percent=85)
+
+
+@query("op1_spotsigs")
+def op1(spark, sf_dir):
+    report = spotsigs.edit_report(documents(spark, sf_dir))
+    return report.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
