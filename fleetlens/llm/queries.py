@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings
+from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings, token_counts
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 
 # The public tokenizers' folder; a file's path is an argument of the operator.
 TOKENIZER = "word_bpe_49k.json"
+VOCABULARY = "piece_bpe_32k.model"
 SHARDS = tuple(f"shard-{k:03d}" for k in range(128))
 
 
@@ -47,10 +48,10 @@ def op5(spark, sf_dir):
     return exact_dedup.exact_dedup(docs, F.col("doc_id") <= F.lit(middle))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op3_harmonic_packing")
@@ -107,3 +108,8 @@ def op1(spark, sf_dir):
     return report.select(
         "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next")
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path(VOCABULARY))
