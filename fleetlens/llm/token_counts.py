@@ -39,19 +39,25 @@ def zipf_scores(path: str) -> dict[str, int]:
 
 
 class TrieCounter:
-    """Token counts of pre-tokens under the scores. A character in no piece costs one token per byte of UTF-8."""
+    """Token counts of pre-tokens under the scores. A character in no piece costs one token per byte of UTF-8.
+
+    A cut is one number, its score in the high part less its tokens in the low part, so the larger number is the
+    better score and, of equal scores, the cut with fewer tokens.
+    """
+
+    _LOW = 1 << 40
 
     def __init__(self, scores: Mapping[str, int]):
-        self._scores = dict(scores)
+        self._steps = {piece: score * self._LOW - 1 for piece, score in scores.items()}
         self._longest = max(map(len, scores), default=1)
-        self._byte = min(scores.values(), default=0) - 10 * UNIT
+        self._byte = (min(scores.values(), default=0) - 10 * UNIT) * self._LOW - 1
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Number of tokens of each word; words may come in any order."""
         texts = [SPACE_MARK + w.decode("utf-8", "replace") for w in words]
         out = np.zeros((len(words), 1), dtype=np.int32)
-        # best[d]: (score, minus tokens) of the best cut of the current path's first d characters
-        path, best = "", [(0, 0)]
+        step, longest, byte = self._steps.get, self._longest, self._byte
+        path, best = "", [0]  # best[d]: the best cut of the current path's first d characters
         for at in sorted(range(len(texts)), key=texts.__getitem__):
             text = texts[at]
             shared, limit = 0, min(len(path), len(text))
@@ -59,25 +65,17 @@ class TrieCounter:
                 shared += 1
             del best[shared + 1:]
             for depth in range(shared + 1, len(text) + 1):
-                best.append(self._forward(text, depth, best))
+                last = text[depth - 1]
+                found = best[-1] + byte * (1 if last.isascii() else len(last.encode("utf-8", "replace")))
+                for start in range(depth - longest if depth > longest else 0, depth):
+                    piece = step(text[start:depth])
+                    if piece is not None and best[start] + piece > found:
+                        found = best[start] + piece
+                best.append(found)
             path = text
-            out[at] = -best[len(text)][1]
+            out[at] = -best[-1] % self._LOW
         return out
 
-    def _forward(self, text: str, depth: int, best: list[tuple[int, int]]) -> tuple[int, int]:
-        """The best cut that ends at ``depth``; of equal scores, the one with fewer tokens."""
-        size = len(text[depth - 1].encode("utf-8", "replace"))
-        score, tokens = best[depth - 1]
-        found = (score + size * self._byte, tokens - size)
-        scores = self._scores
-        for start in range(max(0, depth - self._longest), depth):
-            piece = scores.get(text[start:depth])
-            if piece is not None:
-                score, tokens = best[start]
-                if (score + piece, tokens - 1) > found:
-                    found = (score + piece, tokens - 1)
-        return found
-
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_tokens) of every row; a pre-token is a word with the space mark before it.
