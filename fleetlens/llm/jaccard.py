@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import components
-from fleetlens.llm.text import RollingHashes, as_bytes, joined_words, mix, shuffle_parts, slices, stored, word_hashes
+from fleetlens.llm.text import (
+    RollingHashes, as_bytes, bit_filter, joined_words, may_be_in, mix, shuffle_parts, slices, stored, word_hashes,
+)
 
 SHINGLE = 5
 PERCENT = 80
@@ -33,7 +35,6 @@ COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
 PIVOTS = 16
 SALT_ROWS = 4_000
-FILTER_BITS = 1 << 23
 GROUP_BYTES = 32_000_000
 _NO_ID = (1 << 63) - 1
 _MASK = np.uint64((1 << 48) - 1)
@@ -151,29 +152,6 @@ def band_of(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / -np.log(percent / 100.0) + 1e-9).astype(np.int64)
 
 
-def _positions(column):
-    """Where a hash falls in a bit filter of FILTER_BITS bits, from 1."""
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
-
-
-def _filter_of(rows: DataFrame, column: str) -> np.ndarray:
-    """A bit filter of fixed size over a column. It lets through everything that is in the column, and some more."""
-    parts = rows.select(_positions(column).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in parts:
-        lo = (row["b"] - 1) * len(row["bits"])
-        bits[lo:lo + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return bits
-
-
-def _passes(bits: np.ndarray, column):
-    """Whether the column's value may be in the filter; the filter travels as one literal of fixed size."""
-    position = _positions(column) - 1
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    return F.bit_get(byte.cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
-
-
 def _links(overlap, a, b, percent: int):
     """Whether 100 * intersection >= percent * union."""
     return overlap * (100 + percent) >= percent * (a + b)
@@ -227,7 +205,7 @@ def pivot_links(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     salts = F.lit(1)
     for row in many:
         salts = F.when(F.col("shingle") == row["shingle"], F.lit(-(-row["n"] // SALT_ROWS))).otherwise(salts)
-    return led.where(_passes(_filter_of(counts, "shingle"), "shingle")) \
+    return led.where(may_be_in(bit_filter(counts, "shingle"), "shingle")) \
         .withColumn("salt", F.pmod(F.xxhash64("id"), salts)) \
         .groupBy("shingle", "salt").applyInArrow(_pivot_links(percent), "a long, b long")
 
@@ -420,7 +398,7 @@ def _intersect(percent: int):
 
 def _sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """The sets whose ids may be among ``ids``; most others do not reach the shuffle."""
-    return sets.where("set IS NOT NULL").where(_passes(_filter_of(ids, "id"), "id")).select("id", "set")
+    return sets.where("set IS NOT NULL").where(may_be_in(bit_filter(ids, "id"), "id")).select("id", "set")
 
 
 CHUNK_ROWS = 20_000

@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.text import RollingHashes, as_bytes, joined_words, mix, shuffle_parts, slices, stored, word_hashes
+from fleetlens.llm.text import (
+    RollingHashes, as_bytes, bit_filter, joined_words, may_be_in, mix, shuffle_parts, slices, stored, word_hashes,
+)
 
 DEPTH = 35
 ANCHOR = 12
@@ -40,8 +42,9 @@ _BLOBS = ("keys", "checks", "owners", "places", "ids", "sums")
 _ENTRIES = "group long, settled boolean, " + ", ".join(f"{name} binary" for name in _BLOBS)
 _ENTRY_SCHEMA = pa.schema(
     [("group", pa.int64()), ("settled", pa.bool_()), *((name, pa.binary()) for name in _BLOBS)])
-_FOUND = "id_key long, sum long, places binary, total long"
-_FOUND_SCHEMA = pa.schema([("id_key", pa.int64()), ("sum", pa.int64()), ("places", pa.binary()), ("total", pa.int64())])
+_FOUND = "home long, ids binary, sums binary, counts binary, places binary, total long"
+_FOUND_SCHEMA = pa.schema([
+    ("home", pa.int64()), *((name, pa.binary()) for name in ("ids", "sums", "counts", "places")), ("total", pa.int64())])
 _NO_ID = -(1 << 63)
 _KEYS = ["id_key", "sum"]
 
@@ -88,7 +91,7 @@ class _Batch:
         return mine, value[mine]
 
 
-def _rows(batch: _Batch, group, key, check, owner, place) -> list[tuple]:
+def _rows(batch: _Batch, group, key, check, owner, place, homes: int) -> list[tuple]:
     """What a batch sends into the shuffle: see the module text. Negative groups carry settled places home."""
     if not len(key):
         return []
@@ -114,14 +117,24 @@ def _rows(batch: _Batch, group, key, check, owner, place) -> list[tuple]:
         rows.append((int(group[part[0]]), True, key[part].tobytes(), check[part].tobytes(),
                      sizes[run[part]].astype(np.int64).tobytes(), b"", b"", b""))
     own = np.flatnonzero(several)
-    own = own[np.lexsort((place[own], owner[own]))]
-    for lo, hi in _spans(owner[own]):
-        at = owner[own[lo]]
-        rows.append((-1 - (int(batch.ids[at]) & 0xFFF), True, b"", b"", b"", place[own[lo:hi]].astype(np.uint32).tobytes(),
-                     batch.ids[at:at + 1].tobytes(), batch.sums[at:at + 1].tobytes()))
+    for home, *blobs in _by_home(batch.ids, batch.sums, owner[own], place[own], homes):
+        ids, sums, counts, places = blobs
+        rows.append((-1 - home, True, b"", b"", counts, places, ids, sums))
     return rows
 
 
+def _by_home(ids: np.ndarray, sums: np.ndarray, owner: np.ndarray, place: np.ndarray, homes: int):
+    """Places by document, packed by the home its results are gathered at: (home, ids, sums, counts, places)."""
+    home = (mix(ids[owner].view(np.uint64), 13) % np.uint64(homes)).astype(np.int64)
+    order = np.lexsort((place, owner, home))
+    owner, place, home = owner[order], place[order].astype(np.uint32), home[order]
+    for lo, hi in _spans(home):
+        first = _starts(owner[lo:hi])
+        documents = owner[lo:hi][first]
+        counts = np.diff(np.append(first, hi - lo)).astype(np.uint32)
+        yield (int(home[lo]), ids[documents].tobytes(), sums[documents].tobytes(), counts.tobytes(), place[lo:hi].tobytes())
+
+
 def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -131,7 +144,7 @@ def _blob(rows: list[dict], name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), dtype=dtype)
 
 
-def _subtree(frequent: int):
+def _subtree(frequent: int, homes: int):
     """The work on one group: its leaves in order, and the places of those under an internal node of full depth.
 
     Keys that occur ``frequent`` times or more are given out as well, as rows without a document.
@@ -139,10 +152,7 @@ def _subtree(frequent: int):
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        out = [
-            (int(_blob([r], "ids", np.int64)[0]), int(_blob([r], "sums", np.int64)[0]), r["places"], None)
-            for r in rows if r["group"] < 0
-        ]
+        out = [(-1 - r["group"], r["ids"], r["sums"], r["owners"], r["places"], None) for r in rows if r["group"] < 0]
         leaves = [r for r in rows if r["group"] >= 0 and not r["settled"]]
         settled = [r for r in rows if r["group"] >= 0 and r["settled"]]
         owners, base = [], 0
@@ -164,18 +174,34 @@ def _subtree(frequent: int):
             total = np.add.reduceat(count, heads)
             run_of = np.cumsum(new) - 1
             hit = np.flatnonzero((total[run_of] > 1) & (owner >= 0))
-            hit = hit[np.argsort(owner[hit], kind="stable")]
-            for lo, hi in _spans(owner[hit]):
-                at = owner[hit[lo]]
-                out.append((int(ids[at]), int(sums[at]), place[hit[lo:hi]].tobytes(), None))
+            out += [(*row, None) for row in _by_home(ids, sums, owner[hit], place[hit], homes)]
             if frequent:
                 for head, n in zip(heads[total >= frequent], total[total >= frequent]):
-                    out.append((None, None, key[head:head + 1].tobytes(), int(n)))
+                    out.append((-1, b"", b"", b"", key[head:head + 1].tobytes(), int(n)))
         return pa.Table.from_batches([_record_batch(out, _FOUND_SCHEMA)])
 
     return run
 
 
+def _gather(table: pa.Table) -> pa.Table:
+    """One row per document with all the places found for it."""
+    rows = table.to_pylist()
+    ids, sums = _blob(rows, "ids", np.int64), _blob(rows, "sums", np.int64)
+    counts = _blob(rows, "counts", np.uint32).astype(np.int64)
+    places = _blob(rows, "places", np.uint32)
+    ends = np.cumsum(counts)
+    order = np.lexsort((sums, ids))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(ids[order]) != 0) | (np.diff(sums[order]) != 0)
+    starts = np.flatnonzero(new)
+    found = [
+        b"".join([places[ends[k] - counts[k]:ends[k]].tobytes() for k in order[lo:hi]])
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(order)])
+    ]
+    first = order[starts]
+    return pa.table({"id_key": pa.array(ids[first]), "sum": pa.array(sums[first]), "places": pa.array(found, pa.binary())})
+
+
 def _batches(stream: Iterator[pa.RecordBatch], depth: int, hashes) -> Iterator[tuple[_Batch, pa.RecordBatch]]:
     for part in slices(stream):
         yield _Batch(
@@ -185,13 +211,12 @@ def _batches(stream: Iterator[pa.RecordBatch], depth: int, hashes) -> Iterator[t
 
 def _given(batch: _Batch, part: pa.RecordBatch) -> np.ndarray:
     """The places found for the batch's documents, counted from the batch's first word."""
-    lists = part.column("places").to_pylist()
-    blobs = [b"".join(x) if x else b"" for x in lists]
+    blobs = [x or b"" for x in part.column("places").to_pylist()]
     lengths = np.array([len(b) // 4 for b in blobs])
     return np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64) + np.repeat(batch.offsets[:-1], lengths)
 
 
-def _anchor_entries(depth: int, anchor: int, groups: int):
+def _anchor_entries(depth: int, anchor: int, groups: int, homes: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch, _ in _batches(stream, depth, hashes):
@@ -200,13 +225,13 @@ def _anchor_entries(depth: int, anchor: int, groups: int):
             group = (mix(value[new], 3) % np.uint64(groups)).astype(np.int64)
             owner = batch.owner[new]
             rows = _rows(batch, group, value[new], np.zeros(len(new), np.uint32), owner,
-                         mine[new] - batch.offsets[:-1][owner])
+                         mine[new] - batch.offsets[:-1][owner], homes)
             yield _record_batch(rows, _ENTRY_SCHEMA)
 
     return run
 
 
-def _suffix_entries(depth: int, anchor: int, long: int, groups: int, frequent: np.ndarray):
+def _suffix_entries(depth: int, anchor: int, long: int, groups: int, frequent: np.ndarray, homes: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch, part in _batches(stream, depth, hashes):
@@ -220,7 +245,7 @@ def _suffix_entries(depth: int, anchor: int, long: int, groups: int, frequent: n
             prefix = np.where(
                 np.isin(value[chosen], frequent), batch.rolling.runs(at, long, 2), batch.rolling.runs(at, anchor, 2))
             rows = _rows(batch, (prefix % np.uint64(groups)).astype(np.int64), key, check,
-                         batch.owner[chosen], batch.place[chosen])
+                         batch.owner[chosen], batch.place[chosen], homes)
             yield _record_batch(rows, _ENTRY_SCHEMA)
 
     return run
@@ -235,7 +260,7 @@ def _removal(depth: int, keep: list[str]):
             change = np.zeros(len(words) + 1, dtype=np.int32)
             for start, found in zip(offsets[:-1].tolist(), lists):
                 if found:
-                    at = np.frombuffer(b"".join(found), np.uint32).astype(np.int64) + start
+                    at = np.frombuffer(found, np.uint32).astype(np.int64) + start
                     np.add.at(change, at, 1)
                     np.add.at(change, at + depth, -1)
             gone = np.cumsum(change)[:-1] > 0
@@ -277,23 +302,29 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR, lo
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("sum"))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     least = shuffle_parts(spark)
-    anchor_groups = max(least, size // 3 // group_bytes + 1)
+    anchor_groups = homes = max(least, size // 3 // group_bytes + 1)
     suffix_groups = max(least, 3 * size // group_bytes + 1)
     frequent = max(100, size // 80 // FREQUENT_SHARE)
 
     counted = stored(
-        keyed.select("id_key", "sum", "text").mapInArrow(_anchor_entries(depth, anchor, anchor_groups), _ENTRIES)
-        .groupBy("group").applyInArrow(_subtree(frequent), _FOUND), "anchors")
-    often = counted.where("id_key IS NULL").orderBy(F.col("total").desc()).limit(2 * FREQUENT_SHARE).select("places")
+        keyed.select(*_KEYS, "text").mapInArrow(_anchor_entries(depth, anchor, anchor_groups, homes), _ENTRIES)
+        .groupBy("group").applyInArrow(_subtree(frequent, homes), _FOUND), "anchors")
+    often = counted.where("home < 0").orderBy(F.col("total").desc()).limit(2 * FREQUENT_SHARE).select("places")
     often = np.frombuffer(b"".join(bytes(r[0]) for r in often.collect()), dtype=np.uint64)
 
-    def with_places(found: DataFrame) -> DataFrame:
-        gathered = found.where("id_key IS NOT NULL").groupBy(*_KEYS).agg(F.collect_list("places").alias("places"))
-        return keyed.join(gathered, _KEYS, "left")
+    def gathered(found: DataFrame, name: str) -> tuple[DataFrame, np.ndarray]:
+        places = stored(found.where("home >= 0").groupBy("home").applyInArrow(
+            _gather, "id_key long, sum long, places binary"), name)
+        return places, bit_filter(places, "id_key")
 
+    candidates, among = gathered(counted, "candidates")
     repeated = stored(
-        with_places(counted).select(*_KEYS, "text", "places").where("places IS NOT NULL")
-        .mapInArrow(_suffix_entries(depth, anchor, long, suffix_groups, often), _ENTRIES)
-        .groupBy("group").applyInArrow(_subtree(0), _FOUND), "repeats")
-    return with_places(repeated).select("doc_id", "text", "places").mapInArrow(
+        keyed.where(may_be_in(among, "id_key")).join(candidates, _KEYS).select(*_KEYS, "text", "places")
+        .mapInArrow(_suffix_entries(depth, anchor, long, suffix_groups, often, homes), _ENTRIES)
+        .groupBy("group").applyInArrow(_subtree(0, homes), _FOUND), "repeats")
+    places, among = gathered(repeated, "places")
+    # Most documents without a finding need not meet the findings.
+    asked = keyed.where(may_be_in(among, "id_key")).join(places, _KEYS, "left").select("doc_id", "text", "places")
+    others = keyed.where(~may_be_in(among, "id_key")).select("doc_id", "text", F.lit(None).cast("binary").alias("places"))
+    return asked.unionByName(others).mapInArrow(
         _removal(depth, ["doc_id"]), "doc_id long, n_words long, n_removed long, text string")

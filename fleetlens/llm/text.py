@@ -19,6 +19,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 8 << 20
 MEMO_WORDS = 400_000
+FILTER_BITS = 1 << 23
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,29 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _positions(column):
+    """Where a hash falls in a bit filter of FILTER_BITS bits, from 1."""
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+
+
+def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
+    """A bit filter of fixed size over a column. It lets through everything that is in the column, and some more."""
+    parts = rows.select(_positions(column).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in parts:
+        lo = (row["b"] - 1) * len(row["bits"])
+        bits[lo:lo + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return bits
+
+
+def may_be_in(bits: np.ndarray, column):
+    """Whether the column's value may be in the filter; the filter travels as one literal of fixed size."""
+    position = _positions(column) - 1
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.bit_get(byte.cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a slice holds about ``limit`` bytes of the column, one row at least."""
     for batch in batches:
