@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import components
 from fleetlens.llm.text import (
-    RollingHashes, as_bytes, bit_filter, joined_words, may_be_in, mix, shuffle_parts, slices, stored, word_hashes,
+    RollingHashes, as_bytes, bit_filter, joined_words, mix, shuffle_parts, slices, stored, with_filter,
+    word_hashes,
 )
 
 SHINGLE = 5
@@ -201,12 +202,11 @@ def pivot_links(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
     led = sets.where("set IS NOT NULL").select("id", "set").mapInArrow(first, "shingle long, id long, set binary")
     counts = stored(led.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
-    many = counts.where(F.col("n") > SALT_ROWS).orderBy(F.col("n").desc(), "shingle").limit(COMMON_SHARE).collect()
-    salts = F.lit(1)
-    for row in many:
-        salts = F.when(F.col("shingle") == row["shingle"], F.lit(-(-row["n"] // SALT_ROWS))).otherwise(salts)
-    return led.where(may_be_in(bit_filter(counts, "shingle"), "shingle")) \
-        .withColumn("salt", F.pmod(F.xxhash64("id"), salts)) \
+    many = counts.where(F.col("n") > SALT_ROWS).orderBy(F.col("n").desc(), "shingle").limit(COMMON_SHARE).select(
+        "shingle", F.ceil(F.col("n") / SALT_ROWS).cast("long").alias("salts"))
+    led = with_filter(led, bit_filter(counts, "shingle"), "shingle", "shared").where("shared")
+    return led.join(F.broadcast(many), "shingle", "left") \
+        .withColumn("salt", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1).cast("long")))) \
         .groupBy("shingle", "salt").applyInArrow(_pivot_links(percent), "a long, b long")
 
 
@@ -398,7 +398,8 @@ def _intersect(percent: int):
 
 def _sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """The sets whose ids may be among ``ids``; most others do not reach the shuffle."""
-    return sets.where("set IS NOT NULL").where(may_be_in(bit_filter(ids, "id"), "id")).select("id", "set")
+    full = sets.where("set IS NOT NULL").select("id", "set")
+    return with_filter(full, bit_filter(ids, "id"), "id", "wanted").where("wanted").drop("wanted")
 
 
 CHUNK_ROWS = 20_000

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.text import (
-    RollingHashes, as_bytes, bit_filter, joined_words, may_be_in, mix, shuffle_parts, slices, stored, word_hashes,
+    RollingHashes, as_bytes, bit_filter, joined_words, mix, shuffle_parts, slices, stored, with_filter, word_hashes,
 )
 
 DEPTH = 35
@@ -312,19 +312,20 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR, lo
     often = counted.where("home < 0").orderBy(F.col("total").desc()).limit(2 * FREQUENT_SHARE).select("places")
     often = np.frombuffer(b"".join(bytes(r[0]) for r in often.collect()), dtype=np.uint64)
 
-    def gathered(found: DataFrame, name: str) -> tuple[DataFrame, np.ndarray]:
+    def gathered(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """The places by document, and the documents with a mark on those that may have some."""
         places = stored(found.where("home >= 0").groupBy("home").applyInArrow(
             _gather, "id_key long, sum long, places binary"), name)
-        return places, bit_filter(places, "id_key")
+        return places, with_filter(keyed, bit_filter(places, "id_key"), "id_key", "asked")
 
-    candidates, among = gathered(counted, "candidates")
+    candidates, marked = gathered(counted, "candidates")
     repeated = stored(
-        keyed.where(may_be_in(among, "id_key")).join(candidates, _KEYS).select(*_KEYS, "text", "places")
+        marked.where("asked").join(candidates, _KEYS).select(*_KEYS, "text", "places")
         .mapInArrow(_suffix_entries(depth, anchor, long, suffix_groups, often, homes), _ENTRIES)
         .groupBy("group").applyInArrow(_subtree(0, homes), _FOUND), "repeats")
-    places, among = gathered(repeated, "places")
+    places, marked = gathered(repeated, "places")
     # Most documents without a finding need not meet the findings.
-    asked = keyed.where(may_be_in(among, "id_key")).join(places, _KEYS, "left").select("doc_id", "text", "places")
-    others = keyed.where(~may_be_in(among, "id_key")).select("doc_id", "text", F.lit(None).cast("binary").alias("places"))
+    asked = marked.where("asked").join(places, _KEYS, "left").select("doc_id", "text", "places")
+    others = marked.where("NOT asked").select("doc_id", "text", F.lit(None).cast("binary").alias("places"))
     return asked.unionByName(others).mapInArrow(
         _removal(depth, ["doc_id"]), "doc_id long, n_words long, n_removed long, text string")

@@ -45,27 +45,29 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _positions(column):
-    """Where a hash falls in a bit filter of FILTER_BITS bits, from 1."""
+def _position(column: Column) -> Column:
+    """Where a value falls in a bit filter, from 1."""
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
 
 
-def bit_filter(rows: DataFrame, column: str) -> np.ndarray:
-    """A bit filter of fixed size over a column. It lets through everything that is in the column, and some more."""
-    parts = rows.select(_positions(column).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in parts:
-        lo = (row["b"] - 1) * len(row["bits"])
-        bits[lo:lo + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return bits
+def bit_filter(rows: DataFrame, column: str) -> DataFrame:
+    """A bit filter of FILTER_BITS bits over a column, as at most FILTER_BITS / 2 ** 15 rows of 4 kB."""
+    at = rows.select(_position(F.col(column)).alias("at"))
+    return stored(at.groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")), "filter")
 
 
-def may_be_in(bits: np.ndarray, column):
-    """Whether the column's value may be in the filter; the filter travels as one literal of fixed size."""
-    position = _positions(column) - 1
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    return F.bit_get(byte.cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
+def with_filter(df: DataFrame, filtered: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with whether the column's value may be in the filter: always true if it is, sometimes if it is not.
+
+    The filter is broadcast; its size is fixed, 1 MB, whatever it was made from.
+    """
+    at = _position(F.col(column))
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = df.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(filtered), "_bucket", "left")
+    found = F.coalesce(F.bit_get(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return joined.withColumn(name, found).drop("_bucket", "_bits")
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
