@@ -100,7 +100,22 @@ def sensor_state_merge(spark, sf_dir):
   FROM (""" + roles.READOUTS_LONG + """) GROUP BY vehicle_id, sensor""",
     ("sum", "sum_sq", "min", "max", "sum_x", "sum_xy", "sum_x_sq", "last_time", "last_val"), 3))
 def sensor_running_state(spark, sf_dir):
-    return rounded(X.running_state(roles.readouts_long(table(spark, sf_dir, "events"))), 3)
+    """The published sums; the moments beside them are checked through the statistics they give."""
+    state = X.running_state(roles.readouts_long(table(spark, sf_dir, "events")))
+    return rounded(state.drop("mean", "mean_x", "m2", "m2_x", "c_xy"), 3)
+
+
+@query("sensor_state_epoch", f"""
+  SELECT vehicle_id, sensor, round_even(stddev_pop(value), 3) AS std,
+         round_even(CASE WHEN count(value) >= 2 THEN coalesce(regr_slope(value, time_step), 0.0) ELSE 0.0 END, 3) AS slope
+  FROM ({roles.READOUTS_LONG}) GROUP BY vehicle_id, sensor""")
+def sensor_state_epoch(spark, sf_dir):
+    """Merged states at times in epoch milliseconds and values near 1e9: deviations and slopes stay what they were."""
+    shifted = roles.readouts_long(table(spark, sf_dir, "events")).withColumns({
+        "time_step": F.col("time_step") * 1000.0 + F.lit(1.7e12), "value": F.col("value") + F.lit(1e9)})
+    parts = [X.running_state(shifted.where(F.floor(F.col("time_step") / 1000) % 3 == k)) for k in range(3)]
+    merged = X.finish_states(X.merge_states(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    return rounded(merged.select("vehicle_id", "sensor", "std", (F.col("trend_slope") * 1000.0).alias("slope")), 3)
 
 
 @query("unpivot_readouts", f"""
@@ -227,10 +242,10 @@ def fleet_sensor_profile(spark, sf_dir):
     return rounded(profile.withColumn("sensors", F.concat_ws(",", "sensors")))
 
 
-@query("first_readouts", f"SELECT * FROM ({roles.READOUTS_WIDE}) ORDER BY time_step, vehicle_id LIMIT 15000")
+@query("first_readouts", f"SELECT * FROM ({roles.READOUTS_WIDE}) ORDER BY time_step, vehicle_id LIMIT 5000")
 def first_readouts(spark, sf_dir):
-    """The row-limited scan itself: the first 15 000 readouts in time order."""
-    return R.first_rows(roles.readouts_wide(table(spark, sf_dir, "events")))
+    """The row-limited scan itself: the first 5 000 readouts in time order."""
+    return R.first_rows(roles.readouts_wide(table(spark, sf_dir, "events")), 5_000)
 
 
 @query("inf_to_null", """

@@ -25,6 +25,11 @@ def vehicles(spark, sf_dir):
     return roles.vehicles(table(spark, sf_dir, "customer"))
 
 
+def renumbered(df, key, other, by=1000):
+    """Every row, with keys moved where ``other`` holds, so that both matched and unmatched keys reach a join."""
+    return df.withColumn(key, F.when(other, F.col(key) + by).otherwise(F.col(key)))
+
+
 def accounts(spark, sf_dir):
     return roles.accounts(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
 
@@ -39,22 +44,25 @@ def specs_with_labels(spark, sf_dir):
 @query("fleet_master", rounded_sql(f"""
   SELECT f.*, v.account_id, v.vehicle_age_years, a.company_name, a.operating_prefecture
   FROM ({_FEATURES_SQL}) f JOIN ({roles.VEHICLES}) v ON f.vehicle_id = v.vehicle_id
-  LEFT JOIN (SELECT * FROM ({roles.ACCOUNTS}) WHERE account_id < 20) a ON v.account_id = a.account_id
+  LEFT JOIN (SELECT * REPLACE (CASE WHEN account_id < 20 THEN account_id ELSE account_id + 1000 END AS account_id)
+             FROM ({roles.ACCOUNTS})) a ON v.account_id = a.account_id
   """, double_features(roles.SENSORS)))
 def fleet_master(spark, sf_dir):
-    """Accounts of the last five nations are unknown here, so their vehicles keep NULL account columns."""
-    known = accounts(spark, sf_dir).where(F.col("account_id") < 20)
+    """Accounts of the last five nations have other ids here, so their vehicles keep NULL account columns."""
+    known = renumbered(accounts(spark, sf_dir), P.ACCOUNT, F.col(P.ACCOUNT) >= 20)
     return rounded(J.fleet_master(features(spark, sf_dir), vehicles(spark, sf_dir), known))
 
 
 @query("local_fleet", f"""
   SELECT s.vehicle_id, s.spec_0, CAST(coalesce(l.in_study_repair, 0) AS INTEGER) AS in_study_repair,
          l.length_of_study_time_step
-  FROM ({roles.SPECS}) s LEFT JOIN (SELECT * FROM ({roles.LABELS}) WHERE vehicle_id % 3 <> 0) l
+  FROM ({roles.SPECS}) s LEFT JOIN (
+    SELECT * REPLACE (CASE WHEN vehicle_id % 3 = 0 THEN vehicle_id + 1000000000000 ELSE vehicle_id END AS vehicle_id)
+    FROM ({roles.LABELS})) l
   ON s.vehicle_id = l.vehicle_id""")
 def local_fleet(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    partial = roles.labels(customer).where(F.col("vehicle_id") % 3 != 0)
+    partial = renumbered(roles.labels(customer), P.ID, F.col(P.ID) % 3 == 0, 10**12)
     return X.rename_specs(J.local_fleet(roles.specs(customer), partial))
 
 
@@ -75,11 +83,11 @@ def fleet_size(spark, sf_dir):
 
 @query("accounts_with_size", f"""
   SELECT a.*, f.fleet_size FROM ({roles.ACCOUNTS}) a LEFT JOIN (
-    SELECT account_id, count(DISTINCT vehicle_id) AS fleet_size FROM ({roles.VEHICLES})
-    WHERE account_id % 6 <> 0 GROUP BY account_id) f ON a.account_id = f.account_id""")
+    SELECT CASE WHEN account_id % 6 = 0 THEN account_id + 1000 ELSE account_id END AS account_id,
+           count(DISTINCT vehicle_id) AS fleet_size FROM ({roles.VEHICLES}) GROUP BY 1) f ON a.account_id = f.account_id""")
 def accounts_with_size(spark, sf_dir):
-    """Every sixth account has no vehicle here."""
-    some = vehicles(spark, sf_dir).where(F.col("account_id") % 6 != 0)
+    """Every sixth account has no vehicle here; its vehicles belong to accounts that are not listed."""
+    some = renumbered(vehicles(spark, sf_dir), P.ACCOUNT, F.col(P.ACCOUNT) % 6 == 0)
     return J.accounts_with_size(accounts(spark, sf_dir), some)
 
 
@@ -90,9 +98,10 @@ def active_accounts(spark, sf_dir):
 
 @query("orphan_vehicles", f"""
   SELECT * FROM ({roles.VEHICLES}) WHERE account_id IS NOT NULL
-  AND account_id NOT IN (SELECT account_id FROM ({roles.ACCOUNTS}) WHERE account_id < 20)""")
+  AND account_id NOT IN (
+    SELECT CASE WHEN account_id < 20 THEN account_id ELSE account_id + 1000 END FROM ({roles.ACCOUNTS}))""")
 def orphan_vehicles(spark, sf_dir):
-    known = accounts(spark, sf_dir).where(F.col("account_id") < 20)
+    known = renumbered(accounts(spark, sf_dir), P.ACCOUNT, F.col(P.ACCOUNT) >= 20)
     return J.orphans(vehicles(spark, sf_dir), known, P.ACCOUNT)
 
 
@@ -108,12 +117,9 @@ def distinct_ids(spark, sf_dir):
     return J.distinct_ids(roles.readouts_long(table(spark, sf_dir, "events")))
 
 
-_TARGETS = ", ".join(str(t) for t in P.FLEET_SIZE_TARGETS)
-
-
 @query("weighted_assignment", f"""
   WITH w AS (
-    SELECT n_nationkey AS account_id, [{_TARGETS}][n_nationkey + 1] AS weight FROM nation WHERE n_nationkey < 25),
+    SELECT c_nationkey AS account_id, count(*) AS weight FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1),
   i AS (
     SELECT account_id, CAST(sum(weight) OVER (ORDER BY account_id) - weight AS DOUBLE) / sum(weight) OVER () AS low,
            CAST(sum(weight) OVER (ORDER BY account_id) AS DOUBLE) / sum(weight) OVER () AS high FROM w),
@@ -123,10 +129,9 @@ _TARGETS = ", ".join(str(t) for t in P.FLEET_SIZE_TARGETS)
     FROM customer)
   SELECT v.vehicle_id, i.account_id FROM v JOIN i ON v.u >= i.low AND v.u < i.high""")
 def weighted_assignment(spark, sf_dir):
-    targets = F.array(*[F.lit(t) for t in P.FLEET_SIZE_TARGETS])
-    weights = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < len(P.FLEET_SIZE_TARGETS)).select(
-        F.col("n_nationkey").alias("account_id"), targets[F.col("n_nationkey")].alias("weight")
-    )
+    """An account's weight is its number of orders."""
+    ordered = table(spark, sf_dir, "orders").join(vehicles(spark, sf_dir), F.col("o_custkey") == F.col(P.ID))
+    weights = ordered.groupBy(P.ACCOUNT).agg(F.count(F.lit(1)).alias("weight"))
     ids = vehicles(spark, sf_dir).select("vehicle_id")
     return J.assign_accounts(ids, J.account_intervals(weights))
 

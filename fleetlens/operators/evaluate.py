@@ -87,15 +87,15 @@ def evaluation(
     predicted: str = "predicted",
     probability: str = "probability",
 ) -> DataFrame:
-    """Six metrics and the confusion counts, one row per group."""
+    """Six metrics and the confusion counts, one row per group; a NULL group is a group."""
     by = list(by)
     counts = confusion(df, by, label, predicted)
     rates = _rates(*[F.col(c) for c in ("tn", "fp", "fn", "tp")])
     ranks = ranking_metrics(df, by, label, probability)
-    if by:
-        joined = counts.join(ranks, by, "inner")
-    else:
-        joined = counts.withColumn("_k", F.lit(1)).join(ranks.withColumn("_k", F.lit(1)), "_k", "inner")
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    joined = counts.join(ranks.withColumnsRenamed({k: f"_of_{k}" for k in by}), same, "inner")
     return joined.select(*by, *[c.alias(k) for k, c in rates.items()], "roc_auc", "pr_auc", "tn", "fp", "fn", "tp")
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
@@ -194,14 +195,19 @@ def assemble(specs: DataFrame, labels: DataFrame, features: DataFrame) -> DataFr
 
 
 def running_state(long: DataFrame) -> DataFrame:
-    """Additive state per (vehicle_id, sensor) of one batch of long readouts."""
+    """Mergeable state per (vehicle_id, sensor) of one batch of long readouts.
+
+    Beside the published sums it holds means and centred moments. Those, not the sums, are what statistics come
+    from: sums of squares of epoch times or large values lose every digit of a deviation.
+    """
     value = F.col("value")
     time = F.when(value.isNotNull(), F.col(P.TIME))
+    n = F.count(value)
     return (
         long.where(F.col(P.ID).isNotNull())
         .withColumn("value", finite_or_null(F.col("value").cast("double")))
         .groupBy(P.ID, "sensor").agg(
-            F.count(value).alias("count"),
+            n.alias("count"),
             F.coalesce(F.sum(value), F.lit(0.0)).alias("sum"),
             F.coalesce(F.sum(value * value), F.lit(0.0)).alias("sum_sq"),
             F.min(value).alias("min"),
@@ -212,31 +218,58 @@ def running_state(long: DataFrame) -> DataFrame:
             F.coalesce(F.sum(time * time), F.lit(0.0)).alias("sum_x_sq"),
             F.max(time).alias("last_time"),
             F.max_by(value, time).alias("last_val"),
+            F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
+            F.coalesce(F.avg(time), F.lit(0.0)).alias("mean_x"),
+            F.coalesce(F.var_pop(value) * n, F.lit(0.0)).alias("m2"),
+            F.coalesce(F.var_pop(time) * n, F.lit(0.0)).alias("m2_x"),
+            F.coalesce(F.covar_pop(value, time) * n, F.lit(0.0)).alias("c_xy"),
         )
     )
 
 
 def merge_states(states: DataFrame) -> DataFrame:
-    """Fold any number of states per (vehicle_id, sensor) into one."""
+    """Fold any number of states per (vehicle_id, sensor) into one.
+
+    The common means come first, then every state's moments are moved to them; both steps share one shuffle.
+    """
     added = ("count", "sum", "sum_sq", "missing", "sum_x", "sum_xy", "sum_x_sq")
-    return states.groupBy(P.ID, "sensor").agg(
+    together = W.partitionBy(P.ID, "sensor")
+    n, total = F.col("count"), F.sum("count").over(together)
+    def common(mean: str, base: str) -> Column:
+        """The mean of all states: one of theirs, and what the others differ from it."""
+        apart = F.sum(n * (F.col(mean) - F.col(base))).over(together) / F.nullif(F.col("_total"), F.lit(0))
+        return F.coalesce(F.col(base) + apart, F.lit(0.0))
+
+    centred = states.withColumns({
+        "_base": F.max(F.when(n > 0, F.col("mean"))).over(together),
+        "_base_x": F.max(F.when(n > 0, F.col("mean_x"))).over(together),
+        "_total": total,
+    }).withColumns({
+        "_mean": common("mean", "_base"), "_mean_x": common("mean_x", "_base_x"),
+    })
+    dv, dx = F.col("mean") - F.col("_mean"), F.col("mean_x") - F.col("_mean_x")
+    return centred.groupBy(P.ID, "sensor").agg(
         *[F.sum(c).alias(c) for c in added],
         F.min("min").alias("min"),
         F.max("max").alias("max"),
         F.max_by("last_val", "last_time").alias("last_val"),
         F.max("last_time").alias("last_time"),
+        F.max("_mean").alias("mean"),
+        F.max("_mean_x").alias("mean_x"),
+        F.sum(F.col("m2") + n * dv * dv).alias("m2"),
+        F.sum(F.col("m2_x") + n * dx * dx).alias("m2_x"),
+        F.sum(F.col("c_xy") + n * dv * dx).alias("c_xy"),
     )
 
 
 def finish_states(states: DataFrame) -> DataFrame:
     """Statistics of merged states, shaped like ``long_statistics``."""
     n = F.col("count")
-    mean = F.col("sum") / n
+    valid = lambda c: F.when(n > 0, c)
     derived = states.select(
-        P.ID, "sensor", n.alias("n"), F.col("sum").alias("total"), "max", "min",
+        P.ID, "sensor", n.alias("n"), valid(F.col("mean") * n).alias("total"), "max", "min",
         F.col("last_val").alias("last"), "missing",
-        F.when(n > 0, F.sqrt(F.greatest(F.col("sum_sq") / n - mean * mean, F.lit(0.0)))).alias("std"),
-        (F.col("sum_xy") / n - F.col("sum_x") * F.col("sum") / (n * n)).alias("covariance"),
-        (F.col("sum_x_sq") / n - (F.col("sum_x") / n) * (F.col("sum_x") / n)).alias("time_variance"),
+        valid(F.sqrt(F.col("m2") / n)).alias("std"), valid(F.col("c_xy") / n).alias("covariance"),
+        valid(F.col("m2_x") / n).alias("time_variance"),
     )
     return _finished(derived, "sensor")

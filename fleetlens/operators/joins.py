@@ -7,11 +7,12 @@ execution decide, and adaptive skew handling splits a hot account when the join
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
 from fleetlens.functions.numeric import unit_hash
-from fleetlens.operators.running import quantile_boundaries, running_totals, with_range_bucket
+from fleetlens.operators.running import default_parts, quantile_boundaries, running_totals, with_range_bucket
 
 
 def specs_with_labels(specs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -19,8 +20,13 @@ def specs_with_labels(specs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fleet_master(features: DataFrame, vehicles: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Features of known vehicles; an unknown account leaves its columns NULL."""
-    return features.join(vehicles, P.ID, "inner").join(accounts, P.ACCOUNT, "left")
+    """Features of known vehicles; an unknown account leaves its columns NULL.
+
+    The narrow master tables meet first, so the wide rows move once, by vehicle, if they are not there already.
+    """
+    master = vehicles.join(accounts, P.ACCOUNT, "left")
+    ordered = [P.ID, P.ACCOUNT, *[c for c in master.columns if c not in (P.ID, P.ACCOUNT)]]
+    return features.join(master.select(ordered), P.ID, "inner")
 
 
 def local_fleet(specs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -86,20 +92,30 @@ def account_intervals(weights: DataFrame, buckets: int | None = None) -> DataFra
     )
 
 
-def assign_accounts(ids: DataFrame, intervals: DataFrame, cells: int = 1024, position: Column | None = None) -> DataFrame:
-    """Give every id the account whose interval contains its hashed position.
+def assign_accounts(ids: DataFrame, intervals: DataFrame, position: Column | None = None, parts: int | None = None) -> DataFrame:
+    """Give every id the account whose interval contains its hashed position; ids outside all intervals go.
 
-    The unit interval is cut into cells so that the range condition becomes an equality on the cell plus a filter;
-    an account that owns a third of the fleet is spread over a third of the cells.
+    Ids and interval starts are put in one order of position, and every id takes the last start before it. The order
+    is cut into equal cells: a cell is worked through by one task, and the account in force at its start comes from
+    the cells before it, one row each. The work is linear in ids and accounts, however many accounts there are.
     """
     place = unit_hash(F.col(P.ID)) if position is None else position
-    keyed = ids.withColumn("_u", place).withColumn("_cell", F.floor(F.col("_u") * cells))
-    spread = intervals.withColumn(
-        "_cell",
-        F.explode(F.sequence(
-            F.floor(F.col("low") * cells),
-            F.greatest(F.floor(F.col("low") * cells), F.ceil(F.col("high") * cells) - 1),
-        )),
+    cells = parts or 4 * default_parts(ids)
+    start = F.struct("low", "high", P.ACCOUNT).alias("_start")
+    none = F.lit(None).cast(intervals.select(start).schema[0].dataType)
+    points = (
+        ids.select(F.struct(*ids.columns).alias("_row"), place.alias("_at"), none.alias("_start"))
+        .unionByName(intervals.select(F.lit(None).cast(ids.select(F.struct(*ids.columns)).schema[0].dataType).alias("_row"),
+                                      F.col("low").alias("_at"), start))
+        .withColumn("_cell", F.floor(F.col("_at") * cells))
     )
-    inside = (F.col("_u") >= F.col("low")) & (F.col("_u") < F.col("high"))
-    return keyed.join(spread, "_cell", "inner").where(inside).drop("_cell", "_u", "low", "high")
+    # one row per cell that has a start: the last one
+    lasts = points.where("_start IS NOT NULL").groupBy("_cell").agg(F.max("_start").alias("_start"))
+    every = ids.sparkSession.range(cells + 1).select(F.col("id").alias("_cell"))
+    before = W.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    carried = every.join(lasts, "_cell", "left").select("_cell", F.last("_start", True).over(before).alias("_carried"))
+    inside = W.partitionBy("_cell").orderBy("_at", F.col("_start").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = points.withColumn("_last", F.last("_start", True).over(inside)).where("_row IS NOT NULL") \
+        .join(carried, "_cell", "left").withColumn("_last", F.coalesce("_last", "_carried"))
+    held = (F.col("_at") >= F.col("_last.low")) & (F.col("_at") < F.col("_last.high"))
+    return found.where(held).select("_row.*", F.col(f"_last.{P.ACCOUNT}").alias(P.ACCOUNT))

@@ -14,7 +14,7 @@ from fleetlens.functions.numeric import finite_or_null
 from fleetlens.operators.running import quantile_boundaries, with_previous, with_range_bucket
 
 
-def first_rows(readouts: DataFrame, n: int = 15_000) -> DataFrame:
+def first_rows(readouts: DataFrame, n: int) -> DataFrame:
     """The first ``n`` readouts; Spark has no file order, so time and id define it."""
     return readouts.orderBy(P.TIME, P.ID).limit(n)
 

@@ -53,26 +53,38 @@ def running_totals(
     order: Sequence[Column],
     totals: dict[str, str],
     descending: bool = False,
+    whole: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums ``{output: input}`` within ``by``, along ``order``.
+    """Add inclusive running sums ``{output: input}`` within ``by``, along ``order``; a NULL group is a group.
+
+    ``whole`` adds sums over the entire group, from the same relation of one row per group and bucket.
 
     ``bucket`` must be monotone in ``order`` (falling when ``descending``). The offsets relation has one row per
     group and bucket.
     """
     by = list(by)
     keyed = df.withColumn(_BUCKET, bucket)
-    sums = keyed.groupBy(*by, _BUCKET).agg(*[F.sum(src).alias(f"_t_{out}") for out, src in totals.items()])
+    whole = whole or {}
+    sums = keyed.groupBy(*by, _BUCKET).agg(
+        *[F.sum(src).alias(f"_t_{out}") for out, src in totals.items()],
+        *[F.sum(src).alias(f"_w_{out}") for out, src in whole.items()])
     bucket_order = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     before = W.partitionBy(*by).orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1)
+    group = W.partitionBy(*by)
+    keys = [*by, _BUCKET]
     offsets = sums.select(
-        *by, _BUCKET,
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in totals],
+        *[F.sum(f"_w_{out}").over(group).alias(out) for out in whole],
     )
     inside = W.partitionBy(*by, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = keyed.join(offsets, [*by, _BUCKET], "inner")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = keyed.join(offsets, same, "inner")
     return joined.withColumns(
         {out: F.col(f"_o_{out}") + F.sum(src).over(inside) for out, src in totals.items()}
-    ).drop(_BUCKET, *[f"_o_{out}" for out in totals])
+    ).drop(_BUCKET, *[f"_o_{out}" for out in totals], *[f"_k{i}" for i in range(len(keys))])
 
 
 def with_previous(

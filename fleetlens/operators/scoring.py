@@ -82,14 +82,15 @@ def top_feature(importance: DataFrame) -> DataFrame:
 
 
 def flag_importance(df: DataFrame, importance: DataFrame | None) -> DataFrame:
-    """Add the top feature and a rank flag of 1; without a usable importance table the flag is -1.
+    """Add the top feature and a rank flag of 1; without a usable importance table the feature is NULL, the flag -1.
 
-    The top feature is a single value, fetched once and inlined.
+    The top feature is a scalar subquery: it runs when the result is read, and not where nobody reads it.
     """
-    best = top_feature(importance).first()[0] if importance is not None else None
-    if best is None:
+    if importance is None:
         return df.withColumn("feature_importance_rank", F.lit(-1))
-    return df.withColumns({"top_model_feature": F.lit(best), "feature_importance_rank": F.lit(1)})
+    joined = df.withColumn("top_model_feature", top_feature(importance).scalar())
+    flag = F.when(F.col("top_model_feature").isNotNull(), F.lit(1)).otherwise(F.lit(-1))
+    return joined.withColumn("feature_importance_rank", flag)
 
 
 def dashboard_extract(scored: DataFrame, importance: DataFrame | None = None) -> DataFrame:

@@ -16,18 +16,18 @@ from fleetlens.operators.running import running_totals
 
 
 def class_positions(df: DataFrame, label: str = P.LABEL, key: str = P.ID, hex_digits: int = 3) -> DataFrame:
-    """Add ``position`` (1..n within the class) and ``class_size``.
+    """Add ``position`` (1..n within the class) and ``class_size``; rows without a label are a class of their own.
 
-    ``hex_digits`` leading digits of the hash give 16^digits buckets per class.
+    ``hex_digits`` leading digits of the hash give 16^digits buckets per class. Rows move once, by class and bucket;
+    class sizes come with the offsets of the buckets.
     """
     order = hash_order(F.col(key))
     bucket = F.conv(F.substring(order, 1, hex_digits), 16, 10).cast("int")
     numbered = running_totals(
         df.withColumns({"_order": order, "_one": F.lit(1)}),
-        [label], bucket, [F.col("_order"), F.col(key)], {"position": "_one"},
+        [label], bucket, [F.col("_order"), F.col(key)], {"position": "_one"}, whole={"class_size": "_one"},
     )
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("class_size"))
-    return numbered.join(sizes, label, "inner").drop("_order", "_one")
+    return numbered.drop("_order", "_one")
 
 
 def stratified_split(df: DataFrame, test_size: float = P.TRAIN.test_size, label: str = P.LABEL, key: str = P.ID) -> DataFrame:

@@ -21,10 +21,6 @@ STATISTICS = (
     "mean", "max", "min", "std", "last", "range", "missing_count", "trend_slope", "coeff_variation",
 )
 
-SENSOR_FAMILIES = (
-    "100", "158", "167", "171", "272", "291", "309", "370", "397", "427", "459", "666", "835", "837",
-)
-
 TIER_CRITICAL = "CRITICAL DISPATCH"
 TIER_PREVENTATIVE = "PREVENTATIVE MONITOR"
 TIER_STABLE = "STABLE OPERATION"
@@ -74,11 +70,14 @@ FEATURE_CATEGORIES = {
     "s_291": "Soot",
 }
 
-# relative share of the fleet per account, in account order
-FLEET_SIZE_TARGETS = (
-    3100, 2500, 1900, 1600, 1400, 1200, 1100, 950, 850, 750, 680, 620, 550,
-    500, 480, 450, 420, 400, 380, 350, 320, 300, 280, 250, 220,
-)
+# search grid of the primary model
+TREE_GRID = {"maxIter": [100, 200, 300, 500], "maxDepth": [6, 8, 10, 12], "minInstancesPerNode": [3, 5, 10]}
+# search grid of the challenger; Spark trees have no L1/L2 term, so those two axes are absent
+CHALLENGER_GRID = {
+    "maxIter": [100, 200, 300, 500], "maxDepth": [4, 6, 8, 10, 12], "minInstancesPerNode": [1, 3, 5, 7],
+    "stepSize": [0.01, 0.05, 0.1, 0.2], "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
+    "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9", "all"],
+}
 
 # F2 sweep: 0.05, 0.07, ... 0.53
 SWEEP_THRESHOLDS = tuple(t / 100.0 for t in range(5, 55, 2))

@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.session import scratch_path
 from fleetlens.sources.readers import exists, modified_at
 
+_RECORDS = "_builds"
+
+
+def _listing(spark: SparkSession, path: str) -> list[int]:
+    """Number of files below a path and their bytes; the contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return [int(x or 0) for x in files.agg(F.count(F.lit(1)), F.sum("length")).first()]
+
+
+def _source_times(spark: SparkSession, sources: Sequence[str]) -> dict[str, str] | None:
+    """Newest modification time of every source, None if one is missing."""
+    times = {s: str(modified_at(spark, s)) for s in sources if exists(spark, s)}
+    return times if len(times) == len(set(sources)) else None
+
+
+def _last_build(spark: SparkSession, target: str) -> dict | None:
+    """The newest completion record of a target."""
+    if not exists(spark, f"{target}/{_RECORDS}"):
+        return None
+    return json.loads(spark.read.text(f"{target}/{_RECORDS}").agg(F.max_by(
+        "value", F.get_json_object("value", "$.number").cast("long"))).first()[0])
+
 
 def is_fresh(spark: SparkSession, target: str, sources: Sequence[str]) -> bool:
-    """True when the target and all sources exist and no source is newer than the target."""
-    if not exists(spark, target):
+    """True when the newest build is complete and the sources are what they were when it began."""
+    build, now = _last_build(spark, target), _source_times(spark, sources)
+    if build is None or now is None or build["sources"] != now or not exists(spark, build["folder"]):
         return False
-    built = modified_at(spark, target)
-    return all(exists(spark, s) and modified_at(spark, s) <= built for s in sources)
+    return _listing(spark, build["folder"]) == build["files"]
 
 
 def load_or_build(
@@ -25,10 +50,22 @@ def load_or_build(
     build: Callable[[], DataFrame],
     force: bool = False,
 ) -> DataFrame:
-    """The Parquet table at ``target``, rebuilt first if forced or stale."""
+    """The Parquet table at ``target``, rebuilt first if forced or stale.
+
+    Every build writes a folder of its own and then a completion record, which holds the times the sources had before
+    it began and the size of what was written. A build that breaks off leaves no record and is never served; a source
+    that changes during a build makes the next call build again.
+    """
     if force or not is_fresh(spark, target, sources):
-        build().write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+        last, times = _last_build(spark, target), _source_times(spark, sources)
+        folder = f"{target}/build-{uuid.uuid4().hex[:12]}"
+        build().write.parquet(folder)
+        record = {
+            "number": (last["number"] if last else 0) + 1, "folder": folder, "sources": times or {},
+            "files": _listing(spark, folder),
+        }
+        spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("append").text(f"{target}/{_RECORDS}")
+    return spark.read.parquet(_last_build(spark, target)["folder"])
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

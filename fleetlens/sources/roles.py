@@ -21,14 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table for work that unfolds each row many times, spread over all cores if it has fewer files than cores.
+    """The table for work that unfolds each row many times, dealt evenly over the shuffle partitions.
 
-    A Parquet row group is read by one task, so a one-file table would otherwise be unfolded by one core. A table
-    with many files is read as it is, without a shuffle.
+    A Parquet row group is read by one task, so a table of few large row groups would otherwise be unfolded by few
+    cores. The narrow rows are moved once, whatever the number of files.
     """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, name).repartition(parts)
 
 
 def readouts_long(events: DataFrame) -> DataFrame:

@@ -142,3 +142,21 @@ def test_families_in(readouts):
     rows = X.families_in(X.to_long(readouts)).collect()
     assert [(r["family"], r["n_bins"]) for r in rows] == [("397", 2), ("459", 1)]
     assert X.to_long(readouts).where(F.col("sensor") == "459_0").count() == 6
+
+
+def test_moments_survive_large_offsets(spark):
+    """y = 2x + c at epoch times in seconds and milliseconds and values near 1e9, in one state and in merged ones."""
+    for offset in (1.7e9, 1.7e12):
+        rows = [(1, offset + k, "397_0", 1e9 + 2.0 * k) for k in range(100)]
+        long = spark.createDataFrame(rows, "vehicle_id long, time_step double, sensor string, value double")
+        whole = X.finish_states(X.merge_states(X.running_state(long))).first()
+        parts = [X.running_state(long.where(f"time_step % 3 = {k}")) for k in range(3)]
+        merged = X.finish_states(X.merge_states(parts[0].unionByName(parts[1]).unionByName(parts[2]))).first()
+        for row in (whole, merged):
+            assert row["trend_slope"] == pytest.approx(2.0, abs=1e-6)
+            assert row["std"] == pytest.approx(2 * ((100**2 - 1) / 12) ** 0.5, rel=1e-6)
+            assert row["mean"] == pytest.approx(1e9 + 99.0)
+    narrow = [(1, 1.7e9 + k, "397_0", 1e9 + k / 100) for k in range(100)]
+    long = spark.createDataFrame(narrow, "vehicle_id long, time_step double, sensor string, value double")
+    row = X.finish_states(X.merge_states(X.running_state(long))).first()
+    assert row["std"] == pytest.approx(0.288661, abs=1e-5)

@@ -35,7 +35,7 @@ def test_weighted_assignment_against_brute_force(spark):
     weights = [(1, 500), (2, 0), (3, 100), (4, 250), (5, 1), (6, 149)]
     table = spark.createDataFrame(weights, "account_id int, weight long")
     ids = spark.range(2000).withColumnRenamed("id", "vehicle_id")
-    found = {r["vehicle_id"]: r["account_id"] for r in J.assign_accounts(ids, J.account_intervals(table), cells=64).collect()}
+    found = {r["vehicle_id"]: r["account_id"] for r in J.assign_accounts(ids, J.account_intervals(table), parts=64).collect()}
     assert len(found) == 2000
     total = sum(w for _, w in weights)
     for key, account in found.items():
@@ -52,5 +52,5 @@ def test_assignment_covers_cell_edges(spark):
     table = spark.createDataFrame([(1, 1), (2, 1)], "account_id int, weight long")
     ids = spark.createDataFrame([(1, 0.0), (2, 0.5), (3, 0.4999999), (4, 0.9999999)], "vehicle_id long, u double")
     for cells in (1, 2, 3, 1024):
-        rows = J.assign_accounts(ids, J.account_intervals(table), cells, position=F.col("u")).collect()
+        rows = J.assign_accounts(ids, J.account_intervals(table), F.col("u"), cells).collect()
         assert {r["vehicle_id"]: r["account_id"] for r in rows} == {1: 1, 2: 2, 3: 1, 4: 2}

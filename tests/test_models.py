@@ -49,11 +49,17 @@ def test_save_and_load(spark, labelled, model, tmp_path):
     again = M.FittedModel.load(path)
     a = model.score(labelled).select("vehicle_id", "probability")
     assert a.exceptAll(again.score(labelled).select("vehicle_id", "probability")).count() == 0
+    first = M.FittedModel.versions(path)
+    M.FittedModel(model.medians, model.categorical, model.kept, model.pipeline, {"second": 1}).save(path)
+    assert M.FittedModel.load(path).params == {"second": 1} and M.FittedModel.load(path, back=1).params == {}
+    assert M.FittedModel.versions(path)[:1] == first
 
 
 def test_unseen_category_and_missing_columns(spark, model):
     df = spark.createDataFrame([(1, "NEW"), (2, None)], "vehicle_id long, cat1 string")
-    assert model.score(df).where("probability IS NULL").count() == 0
+    with pytest.raises(ValueError, match="absent"):
+        model.score(df)
+    assert model.score(df, fill_missing=True).where("probability IS NULL").count() == 0
 
 
 def test_importance_is_ranked_and_named(model):

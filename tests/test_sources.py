@@ -19,13 +19,14 @@ def test_cache_gate(spark, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "target")
     spark.range(3).write.parquet(source)
     assert not materialize.is_fresh(spark, target, [source])
-    spark.range(3).write.parquet(target)
-    now = time.time()
-    touch(source, now - 100), touch(target, now)
+    spark.range(3).write.parquet(target)  # a table without a completion record is not a build
+    assert not materialize.is_fresh(spark, target, [source])
+    target = str(tmp_path / "built")
+    assert materialize.load_or_build(spark, target, [source], lambda: spark.range(3)).count() == 3
     assert materialize.is_fresh(spark, target, [source])
-    touch(source, now + 100)
+    assert not materialize.is_fresh(spark, target, [source, str(tmp_path / "missing")])
+    touch(source, time.time() + 100)
     assert not materialize.is_fresh(spark, target, [source])
-    assert not materialize.is_fresh(spark, target, [str(tmp_path / "absent")])
 
 
 def test_load_or_build(spark, tmp_path):
@@ -97,3 +98,54 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path, readouts, kind):
     for a, b in zip(found, expected):
         for c, v in b.asDict().items():
             assert a[c] == (pytest.approx(v) if isinstance(v, float) else v), c
+
+
+def test_whole_labels_written_as_decimals(spark, tmp_path):
+    (tmp_path / "labels").mkdir()
+    (tmp_path / "labels" / "a.csv").write_text("vehicle_id,in_study_repair,length_of_study_time_step\n1,1.0,5\n2.0,0,\n3,,1\n")
+    rows = readers.read_csv(spark, str(tmp_path / "labels")).orderBy("vehicle_id").collect()
+    assert [(r[0], r[1]) for r in rows] == [(1, 1), (2, 0), (3, None)]
+
+
+@pytest.mark.parametrize("text", ["vehicle_id,time_step,397_0\n1,0,abc\n", "vehicle_id,time_step,397_0\n1.5,0,1\n"])
+def test_cells_of_the_wrong_type_are_refused(spark, tmp_path, text):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text(text)
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error, at read time
+        readers.read_csv(spark, str(tmp_path / "raw")).collect()
+
+
+def test_another_header_order_is_refused(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("vehicle_id,time_step,397_0,459_0\n1,0,1,2\n")
+    (tmp_path / "raw" / "b.csv").write_text("vehicle_id,time_step,459_0,397_0\n2,0,2,1\n")
+    with pytest.raises(Exception):  # noqa: B017
+        readers.read_csv(spark, str(tmp_path / "raw")).collect()
+
+
+def test_half_written_and_outdated_tables_are_rebuilt(spark, tmp_path):
+    import os
+
+    from fleetlens.sources import materialize
+
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    spark.range(1000).repartition(4).write.parquet(source)
+    builds = []
+
+    def build():
+        builds.append(1)
+        return spark.read.parquet(source)
+
+    assert materialize.load_or_build(spark, target, [source], build).count() == 1000
+    assert materialize.load_or_build(spark, target, [source], build).count() == 1000 and len(builds) == 1
+    folder = next(f for f in os.listdir(target) if f.startswith("build-"))
+    part = next(f for f in os.listdir(f"{target}/{folder}") if f.startswith("part-"))
+    os.rename(f"{target}/{folder}/{part}", str(tmp_path / "lost"))
+    assert materialize.load_or_build(spark, target, [source], build).count() == 1000 and len(builds) == 2
+    spark.range(5).write.mode("append").parquet(source)
+    assert materialize.load_or_build(spark, target, [source], build).count() == 1005 and len(builds) == 3
+
+
+def test_jdbc_needs_a_parallel_scan(spark):
+    with pytest.raises(ValueError, match="partitionColumn"):
+        readers.read_table(spark, "t", {"url": "jdbc:none"})
