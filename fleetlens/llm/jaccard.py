@@ -36,6 +36,7 @@ COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
 PIVOTS = 16
 SALT_ROWS = 4_000
+SHARED_BITS = 1 << 26
 GROUP_BYTES = 32_000_000
 _NO_ID = (1 << 63) - 1
 _MASK = np.uint64((1 << 48) - 1)
@@ -139,12 +140,35 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def _first_shingles(values: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+class _Order:
+    """The common order: shingles not known to be shared, then those met as shared, then common ones; by hash in each.
+
+    What was met as shared is a bit filter of SHARED_BITS bits, so its size is fixed. A filter that fills up tells
+    less, and the order is then nearer to that of the hashes alone; the links are the same under any order.
+    """
+
+    def __init__(self, common: np.ndarray, shared: np.ndarray | None = None):
+        self.common, self.shared = common, shared
+
+    def levels(self, values: np.ndarray) -> np.ndarray:
+        level = np.zeros(len(values), dtype=np.int8)
+        if self.shared is not None:
+            at = shared_position(values)
+            level[(self.shared[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1] = 1
+        level[_in_sorted(values, self.common)] = 2
+        return level
+
+
+def shared_position(values: np.ndarray) -> np.ndarray:
+    return (mix(values, 21) % np.uint64(SHARED_BITS)).astype(np.int64)
+
+
+def _first_shingles(values: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     """The first shingles in the common order, one of which every partner has among its first."""
     n = len(values)
     count = n - -(-percent * n // 100) + 1
-    if common.any():
-        values = np.concatenate([values[~common], values[common]])
+    if levels.any():
+        values = values[np.argsort(levels, kind="stable")]
     return values[:count]
 
 
@@ -185,7 +209,7 @@ def _pivot_links(percent: int):
     return run
 
 
-def pivot_links(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+def pivot_links(sets: DataFrame, order: _Order, percent: int) -> DataFrame:
     """Links (a, b) among documents that share their first shingle.
 
     Which first shingles occur twice is known from a bit filter of fixed size. A shingle that very many documents
@@ -194,9 +218,9 @@ def pivot_links(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
     def first(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, values, ends in _per_set(stream):
-            late = _in_sorted(values, common)
+            level = order.levels(values)
             leading = [
-                int(_first_shingles(values[lo:hi], late[lo:hi], percent)[0]) for lo, hi in zip(ends[:-1], ends[1:])]
+                int(_first_shingles(values[lo:hi], level[lo:hi], percent)[0]) for lo, hi in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leading, pa.int64()), part.column("id"), part.column("set")], names=["shingle", "id", "set"])
 
@@ -213,13 +237,13 @@ def pivot_links(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 _ENTRY = "group long, shingles binary, owners binary, ids binary"
 
 
-def _tile_entries(common: np.ndarray, percent: int, groups: int):
+def _tile_entries(order_of: _Order, percent: int, groups: int):
     """First shingles of a batch of sets, packed by group of shingles."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, values, ends in _per_set(stream, 16 << 20):
-            late = _in_sorted(values, common)
-            chosen = [_first_shingles(values[lo:hi], late[lo:hi], percent) for lo, hi in zip(ends[:-1], ends[1:])]
+            level = order_of.levels(values)
+            chosen = [_first_shingles(values[lo:hi], level[lo:hi], percent) for lo, hi in zip(ends[:-1], ends[1:])]
             owner = np.repeat(np.arange(len(chosen)), list(map(len, chosen)))
             shingle = np.concatenate(chosen) if chosen else np.zeros(0, np.uint64)
             group = (mix(shingle, 5) % np.uint64(groups)).astype(np.int64)
@@ -297,25 +321,26 @@ def _signature(values: np.ndarray, words: int) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-_TILE = "shingle long, band int, home boolean, id long, n int, bits binary"
+_TILE = "shingle long, band int, home boolean, id long, component long, n int, bits binary"
 
 
 def _tile_rows(percent: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, values, ends in _per_set(stream):
-            columns = [[] for _ in range(6)]
+            columns = [[] for _ in range(7)]
             sizes = np.diff(ends)
-            for k, (number, lists) in enumerate(zip(part.column("id").to_pylist(), part.column("lists").to_pylist())):
+            ids, components_, lists_ = (part.column(c).to_pylist() for c in ("id", "component", "lists"))
+            for k, (number, component, lists) in enumerate(zip(ids, components_, lists_)):
                 band = int(band_of(sizes[k:k + 1], percent)[0])
                 own = values[ends[k]:ends[k + 1]]
                 for tile, home in ((band, True), (band + 1, False)):
                     bits = _signature(own, signature_words(tile, percent))
                     for shingle in np.frombuffer(b"".join(lists), np.int64).tolist():
-                        for column, value in zip(columns, (shingle, tile, home, number, int(sizes[k]), bits)):
+                        for column, value in zip(columns, (shingle, tile, home, number, component, int(sizes[k]), bits)):
                             column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()))],
-                names=["shingle", "band", "home", "id", "n", "bits"])
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                names=["shingle", "band", "home", "id", "component", "n", "bits"])
 
     return run
 
@@ -406,29 +431,57 @@ CHUNK_ROWS = 20_000
 
 
 def _tiles(sets: DataFrame, common: np.ndarray, labels: DataFrame, percent: int, groups: int) -> DataFrame:
-    """Stored tile rows of the documents that share a first shingle with another component."""
-    entries = (
-        sets.where("set IS NOT NULL").select("id", "set").mapInArrow(_tile_entries(common, percent, groups), _ENTRY)
-        .groupBy("group").applyInArrow(lambda key, table: _grouped(key, _shared_shingles(table)),
-                                       "group long, id long, shingles binary"))
-    known = entries.join(labels, "id", "left").select("group", "id", F.coalesce("component", "id").alias("component"), "shingles")
-    across = stored(known.groupBy("group").applyInArrow(_across_components, "id long, component long, shingles binary"), "across")
-    wanted = across.groupBy("id").agg(F.collect_list("shingles").alias("lists"))
+    """Stored tile rows of the documents that share a first shingle with another component.
+
+    The first shingles are found twice. The first time shows which of them are shared between components; these go
+    back in the order, so that passages which many documents quote hardly occur among the first the second time.
+    """
+
+    def shared_across(order: _Order) -> DataFrame:
+        entries = (
+            sets.where("set IS NOT NULL").select("id", "set").mapInArrow(_tile_entries(order, percent, groups), _ENTRY)
+            .groupBy("group").applyInArrow(lambda key, table: _grouped(key, _shared_shingles(table)),
+                                           "group long, id long, shingles binary"))
+        known = entries.join(labels, "id", "left").select(
+            "group", "id", F.coalesce("component", "id").alias("component"), "shingles")
+        return known.groupBy("group")
+
+    places = shared_across(_Order(common)).applyInArrow(
+        lambda table: _places(_across_components(table)), "at long")
+    bits = np.zeros(SHARED_BITS // 8, dtype=np.uint8)
+    for row in places.groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect():
+        part = np.frombuffer(bytes(row["bits"]), np.uint8)
+        bits[(row["b"] - 1) * len(part):row["b"] * len(part)] = part
+    across = stored(shared_across(_Order(common, bits)).applyInArrow(
+        _across_components, "id long, component long, shingles binary"), "across")
+    wanted = across.groupBy("id", "component").agg(F.collect_list("shingles").alias("lists"))
     return stored(
         _sets_of(sets, across.select("id")).join(wanted, "id").mapInArrow(_tile_rows(percent), _TILE), "tiles")
 
 
+def _places(table: pa.Table) -> pa.Table:
+    """Where the shingles of the rows fall in the filter of shared ones, from 1."""
+    shingles = np.unique(np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64))
+    return pa.table({"at": pa.array(np.unique(shared_position(shingles)) + 1, pa.int64())})
+
+
 def _grouped(key, table: pa.Table) -> pa.Table:
     return table.add_column(0, "group", pa.array([key[0].as_py()] * table.num_rows, pa.int64()))
 
 
-def _candidates(tiles: DataFrame, labels: DataFrame, percent: int, best: bool, groups: int) -> DataFrame:
-    """Distinct pairs (a, b) to intersect. A tile of very many documents is cut into chunks, and its pairs of chunks
+def _candidates(tiles: DataFrame, labels: DataFrame | None, percent: int, best: bool, groups: int) -> DataFrame:
+    """Distinct pairs (a, b) to intersect; ``labels`` are newer components than those in the tiles. A tile of very many documents is cut into chunks, and its pairs of chunks
     are worked on by different tasks."""
-    rows = tiles.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    large = tiles.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CHUNK_ROWS)
-    cut = rows.join(large, ["shingle", "band"], "left").withColumn("chunks", F.coalesce(
-        F.ceil(F.col("rows") / CHUNK_ROWS).cast("long"), F.lit(1).cast("long"))).drop("rows")
+    rows = tiles
+    if labels is not None:
+        rows = tiles.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    large = stored(tiles.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CHUNK_ROWS), "large")
+    if large.isEmpty():
+        cut = rows.withColumn("chunks", F.lit(1).cast("long"))
+    else:
+        cut = rows.join(large, ["shingle", "band"], "left").withColumn("chunks", F.coalesce(
+            F.ceil(F.col("rows") / CHUNK_ROWS).cast("long"), F.lit(1).cast("long"))).drop("rows")
     cut = cut.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))).withColumn(
         "with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
@@ -455,12 +508,12 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
     first = equal.groupBy("digest").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     edges = stored(
         equal.join(first, "digest").select("a", F.col("id").alias("b"))
-        .unionByName(pivot_links(sets, common, percent)).distinct(), "links")
+        .unionByName(pivot_links(sets, _Order(common), percent)).distinct(), "links")
     labels = components(edges)
     tiles = _tiles(sets, common, labels, percent, groups)
     tested = None
     for best in (True, False):
-        pairs = _candidates(tiles, labels, percent, best, groups)
+        pairs = _candidates(tiles, None if best else labels, percent, best, groups)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
