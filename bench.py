@@ -23,6 +23,7 @@ HEADLINE = (
     "sensor_running_state", "monotonicity", "sensor_profile", "fleet_master", "weighted_assignment",
     "stratified_folds", "fleet_scores", "dashboard_extract", "risk_tier_summary", "evaluation_by_fold",
     "threshold_sweep", "median_impute", "scaled", "category_cap", "duplicate_keys", "streaming_states", "train_rf",
+    "saved_model_scores", "champion_challenger", "cv_search", "benchmark_models",
 )
 
 
