@@ -142,6 +142,21 @@ def classification_report(spark, sf_dir):
     return rounded(E.classification_report(one_model(spark, sf_dir)))
 
 
+_LEDGER_FOLDS_SQL = f"SELECT * FROM ({_FOLDED_SQL}) WHERE model = 'ledger'"
+
+
+@query("full_report", rounded_sql(f"""
+  SELECT r.*, c.* FROM ({_REPORT_SQL}) r, (
+    SELECT {', '.join(f'avg({m}) AS cv_{m}' for m in _METRICS)} FROM ({evaluation_sql(_LEDGER_FOLDS_SQL, 'fold')})) c""",
+    ("precision", "recall", "f1_score", *[f"cv_{m}" for m in _METRICS])))
+def full_report(spark, sf_dir):
+    """The complete report, flattened: a row per class and average, each with the cross-validated means."""
+    folded = folded_scores(spark, sf_dir).where(F.col("model") == "ledger").drop("model")
+    report = E.full_report(one_model(spark, sf_dir), folded)
+    means = [F.col(f"cv_metrics.{m}").alias(f"cv_{m}") for m in _METRICS]
+    return rounded(report.select(F.inline("classification_report"), *means))
+
+
 _F2_SQL = "CASE WHEN 5 * tp + 4 * fn + fp <> 0 THEN 5 * tp / (5 * tp + 4 * fn + fp) ELSE 0.0 END"
 
 

@@ -197,6 +197,20 @@ def predictions_extract(spark, sf_dir):
     return extract(spark, sf_dir)
 
 
+@query("scoring_export", f"""
+  SELECT e."Vehicle Id", e."Failure Probability", e."Maintenance Priority", true AS "Approximate", t.n AS "Tier Vehicles"
+  FROM ({_EXTRACT_SQL}) e JOIN (
+    SELECT "Maintenance Priority" AS tier, count(*) AS n FROM ({_EXTRACT_SQL}) GROUP BY 1) t
+  ON e."Maintenance Priority" = t.tier""")
+def scoring_export(spark, sf_dir):
+    """Extract and tier summary of one export, side by side: every vehicle with the size of its tier."""
+    scored = roles.scored(table(spark, sf_dir, "customer"))
+    rows, summary = G.scoring_export(scored, True, threshold=P.RISK.high, scored_at=scored_at())
+    tiers = summary.select(F.col("Priority").alias("Maintenance Priority"), F.col("Vehicle Count").alias("Tier Vehicles"))
+    return rows.join(tiers, "Maintenance Priority").select(
+        "Vehicle Id", "Failure Probability", "Maintenance Priority", "Approximate", "Tier Vehicles")
+
+
 @query("misclassified", f"""
   SELECT count(*) FILTER (WHERE "Actual" = 0 AND "Predicted" = 1) AS false_positives,
          count(*) FILTER (WHERE "Actual" = 1 AND "Predicted" = 0) AS false_negatives

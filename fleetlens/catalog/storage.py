@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.catalog.evaluation import _ONE_SQL, evaluation_sql, one_model
 from fleetlens.catalog.evaluation import _METRICS as METRICS
-from fleetlens.catalog.features import _DOUBLES, double_features, long_statistics_sql
+from fleetlens.catalog.features import _DOUBLES, double_features, long_statistics_sql, pivoted_statistics_sql
 from fleetlens.catalog.fleet import _FEATURES_SQL, features
 from fleetlens.catalog.registry import query, rounded, rounded_sql
 from fleetlens.catalog.scoring import RANKED_SQL, _EXTRACT_SQL, extract, importance
@@ -15,7 +15,9 @@ from fleetlens.operators import reports as D
 from fleetlens.session import scratch_path
 from fleetlens.sources import materialize, readers, roles, writers
 from fleetlens.sources.roles import table
-from fleetlens.streaming import latest_statistics, run_state_deltas, run_statistics, states_so_far
+from fleetlens.streaming import (
+    compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
+)
 
 
 @query("csv_readouts", roles.READOUTS_WIDE)
@@ -110,3 +112,30 @@ def streaming_states(spark, sf_dir):
     target = scratch_path(spark, "stream-states")
     run_state_deltas(spark, source, schema, roles.readouts_long, target, scratch_path(spark, "stream-checkpoint"))
     return rounded(states_so_far(spark, target), 7)
+
+
+@query("streaming_features", rounded_sql(pivoted_statistics_sql(roles.SENSORS), double_features(roles.SENSORS), 6))
+def streaming_features(spark, sf_dir):
+    """CSV files arrive in batches; half of the batches are compacted; the feature table holds all of them."""
+    source = scratch_path(spark, "arrivals-csv")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events.repartition(4, F.col("event_id") % 4).write.option("header", True).csv(source)
+    target, checkpoint = scratch_path(spark, "stream-features"), scratch_path(spark, "stream-checkpoint")
+    run_state_deltas(spark, source, events.schema, roles.readouts_long, target, checkpoint, 2, "csv")
+    compact_states(spark, target)
+    return rounded(features_so_far(spark, target, roles.SENSORS), 6)
+
+
+@query("created_tables", f"SELECT CAST(vehicle_id AS INTEGER) AS vehicle_id, CAST(account_id AS INTEGER) AS account_id, vehicle_age_years FROM ({roles.VEHICLES})")
+def created_tables(spark, sf_dir):
+    """Drop and create the master tables, append all vehicles to the empty one, read it."""
+    path = scratch_path(spark, "master")
+    names = {k: f"fleetlens_{k}_" + path.rsplit("-", 1)[1] for k in ("accounts", "vehicles", "features", "telemetry")}
+    writers.create_master_tables(spark, *names.values(), location=path)
+    columns = spark.table(names["vehicles"]).schema
+    vehicles = roles.vehicles(table(spark, sf_dir, "customer"))
+    rows = vehicles.select(*[
+        F.col(f.name).cast(f.dataType) if f.name in vehicles.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in columns])
+    writers.append_table(rows, names["vehicles"])
+    return readers.read_table(spark, names["vehicles"]).select("vehicle_id", "account_id", "vehicle_age_years")

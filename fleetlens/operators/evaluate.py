@@ -149,6 +149,18 @@ def classification_report(df: DataFrame, label: str = P.LABEL, predicted: str =
     )))
 
 
+def full_report(test: DataFrame, folded: DataFrame) -> DataFrame:
+    """One row: the nested report of the test scores, with its per-class part and the means over the folds.
+
+    ``test`` are the scored hold-out rows, ``folded`` the out-of-fold rows with their ``fold``.
+    """
+    scores = evaluation_report(evaluation(test))
+    names = ("precision", "recall", "f1_score", "support")
+    classes = classification_report(test).agg(F.collect_list(F.struct("class", *names)).alias("classification_report"))
+    means = evaluation(folded, by=["fold"]).agg(F.struct(*[F.avg(m).alias(m) for m in METRICS]).alias("cv_metrics"))
+    return scores.crossJoin(classes).crossJoin(means)  # three relations of one row
+
+
 def threshold_counts(
     df: DataFrame,
     thresholds: Sequence[float] = P.SWEEP_THRESHOLDS,

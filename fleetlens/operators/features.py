@@ -141,7 +141,12 @@ def features_from_long(long: DataFrame, sensors: Sequence[str], tie_break: Seque
     sensors = list(sensors)
     if not sensors:
         return long.select(P.ID).limit(0)
-    statistics = long_statistics(long, tie_break).withColumn("_prefix", F.concat(F.lit("s_"), "sensor"))
+    return features_of_statistics(long_statistics(long, tie_break), sensors)
+
+
+def features_of_statistics(statistics: DataFrame, sensors: Sequence[str]) -> DataFrame:
+    """Wide feature table from long statistics, for an explicit sensor list."""
+    statistics = statistics.withColumn("_prefix", F.concat(F.lit("s_"), "sensor"))
     absent = {feature_name(s, "missing_count"): 0 for s in sensors} | {
         feature_name(s, "trend_slope"): 0.0 for s in sensors
     }

@@ -141,6 +141,17 @@ def risk_tier_summary(scored: DataFrame) -> DataFrame:
     return summary.orderBy(F.col("Average Probability").desc())
 
 
+def scoring_export(scored: DataFrame, approximate: bool, risk: P.RiskParams = P.RISK, threshold: float = 0.5,
+                   scored_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The predictions extract and the tier summary of one scored fleet.
+
+    ``approximate`` says that the fleet came from specifications alone, with sensor columns filled in; every row of
+    the extract then carries the flag.
+    """
+    extract = predictions_extract(scored, risk, threshold, scored_at=scored_at).withColumn("Approximate", F.lit(approximate))
+    return extract, risk_tier_summary(fleet_scores(scored, risk, scored_at=scored_at))
+
+
 def fleet_risk_summary(scored: DataFrame, risk: P.RiskParams = P.RISK) -> DataFrame:
     """Fleet totals; tier counts here use the rounded percentage."""
     percentage = F.col("risk_percentage")

@@ -1,5 +1,7 @@
 from fleetlens.streaming.incremental import (
-    latest_statistics, run_state_deltas, run_statistics, states_so_far,
+    compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
 )
 
-__all__ = ["latest_statistics", "run_state_deltas", "run_statistics", "states_so_far"]
+__all__ = [
+    "compact_states", "features_so_far", "latest_statistics", "run_state_deltas", "run_statistics", "states_so_far",
+]

@@ -6,7 +6,9 @@ import pytest
 from fleetlens.operators import features as X
 from fleetlens.plans import flows
 from fleetlens.sources import materialize, readers, writers
-from fleetlens.streaming import latest_statistics, run_state_deltas, run_statistics, states_so_far
+from fleetlens.streaming import (
+    compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
+)
 
 
 def touch(path, when):
@@ -149,3 +151,18 @@ def test_half_written_and_outdated_tables_are_rebuilt(spark, tmp_path):
 def test_jdbc_needs_a_parallel_scan(spark):
     with pytest.raises(ValueError, match="partitionColumn"):
         readers.read_table(spark, "t", {"url": "jdbc:none"})
+
+
+def test_compacted_states_take_later_batches(spark, tmp_path, readouts):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for time_step in (0, 1):
+        readouts.where(f"time_step = {time_step}").coalesce(1).write.mode("append").option("header", True).csv(source)
+        run_state_deltas(spark, source, readouts.schema, X.to_long, target, checkpoint, kind="csv")
+        if time_step == 0:
+            compact_states(spark, target)
+    sensors = ["397_0", "397_1", "459_0"]
+    found = features_so_far(spark, target, sensors).orderBy("vehicle_id").collect()
+    expected = X.features_from_long(X.to_long(readouts), sensors).orderBy("vehicle_id").collect()
+    for a, b in zip(found, expected, strict=True):
+        for c, v in b.asDict().items():
+            assert a[c] == (pytest.approx(v) if isinstance(v, float) else v), c
