@@ -17,8 +17,8 @@ from fleetlens.session import scratch_path
 # exactly these.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8 << 20
-MEMO_WORDS = 400_000
+SLICE_BYTES = 4 << 20
+MEMO_WORDS = 300_000
 FILTER_BITS = 1 << 23
 
 
