@@ -47,7 +47,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of(tokenizer_path)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=2 << 20):
             numbers, starts, lengths, sums, totals = [], [], [], [], []
             for number, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(batch.column("text"))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

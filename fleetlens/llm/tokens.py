@@ -71,7 +71,6 @@ class WordTokenizer:
 
     def _start(self) -> None:
         self._numbers = _Numbers()
-        self._parts: dict[str, list[int]] = {}
         self._ids = np.zeros(1 << 16, dtype=np.uint32)
         self._ends = np.zeros(1 << 14, dtype=np.int64)
         self._used = 0
@@ -89,11 +88,8 @@ class WordTokenizer:
         return [i for part in self._pattern.findall(text.lower()) for i in self._part_ids(part)]
 
     def _part_ids(self, part: str) -> list[int]:
-        ids = self._parts.get(part)
-        if ids is None:
-            letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self._letters)
-            ids = self._parts[part] = [token.id for token in self._model.tokenize(letters)]
-        return ids
+        letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self._letters)
+        return [token.id for token in self._model.tokenize(letters)]
 
     def _learn(self, words: list[bytes]) -> None:
         found = [self.word_ids(w) for w in words]
