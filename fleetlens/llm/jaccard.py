@@ -122,7 +122,7 @@ def common_shingles(sets: DataFrame) -> np.ndarray:
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, _ in _per_set(stream, 32 << 20):
+        for part, values, _ in _per_set(stream, 8 << 20):
             found, counts = np.unique(values, return_counts=True)
             keep = counts >= max(3, part.num_rows // 1000)
             yield pa.RecordBatch.from_arrays(
@@ -241,7 +241,7 @@ def _tile_entries(order_of: _Order, percent: int, groups: int):
     """First shingles of a batch of sets, packed by group of shingles."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, ends in _per_set(stream, 16 << 20):
+        for part, values, ends in _per_set(stream, 6 << 20):
             level = order_of.levels(values)
             chosen = [_first_shingles(values[lo:hi], level[lo:hi], percent) for lo, hi in zip(ends[:-1], ends[1:])]
             owner = np.repeat(np.arange(len(chosen)), list(map(len, chosen)))

@@ -167,7 +167,7 @@ def _powers(base: int, count: int) -> np.ndarray:
             known = np.full(max(count, 1 << 16), np.uint64(base), dtype=np.uint64)
             known[0] = 1
             known = np.multiply.accumulate(known)
-        if len(known) <= 1 << 22:
+        if len(known) <= 1 << 20:
             _POWERS[base] = known
     return known[:count]
 
