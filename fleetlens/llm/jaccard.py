@@ -36,6 +36,7 @@ COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
 PIVOTS = 16
 SALT_ROWS = 4_000
+MOST_WORDS = 64
 SHARED_BITS = 1 << 26
 GROUP_BYTES = 32_000_000
 _NO_ID = (1 << 63) - 1
@@ -310,9 +311,13 @@ def _across_components(table: pa.Table) -> pa.Table:
 
 
 def signature_words(band: int, percent: int) -> int:
-    """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set."""
+    """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set, up to MOST_WORDS.
+
+    A document has a row for each of its first shingles, so bitmaps that grew with the set would make the rows of a
+    long one grow with its square. Beyond the limit the bounds are looser and more pairs are intersected.
+    """
     largest = (100.0 / percent) ** (band + 1)
-    return int(min(1024, max(1, 2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))))
+    return int(min(MOST_WORDS, max(1, 2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))))
 
 
 def _signature(values: np.ndarray, words: int) -> bytes:
@@ -326,7 +331,7 @@ _TILE = "shingle long, band int, home boolean, id long, component long, n int, b
 
 def _tile_rows(percent: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, ends in _per_set(stream):
+        for part, values, ends in _per_set(stream, 1 << 20):
             columns = [[] for _ in range(7)]
             sizes = np.diff(ends)
             ids, components_, lists_ = (part.column(c).to_pylist() for c in ("id", "component", "lists"))
