@@ -491,7 +491,7 @@ def _candidates(tiles: DataFrame, labels: DataFrame | None, percent: int, best:
         "with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
     cut = cut.withColumn("part", F.when(low == high, -1 - low).otherwise(low * F.col("chunks") + high))
-    cut = cut.withColumn("group", F.pmod(F.xxhash64("shingle", "part"), F.lit(groups)))
+    cut = cut.withColumn("group", F.pmod(F.xxhash64("shingle", "part"), F.lit(4 * groups)))
     return cut.groupBy("group").applyInArrow(_tile_pairs(percent, best), "a long, b long").distinct()
 
 

@@ -20,6 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 MEMO_WORDS = 300_000
 FILTER_BITS = 1 << 23
+BATCH_ROWS = 1_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +35,17 @@ def word_count(text: Column) -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that a lost executor costs a re-read.
 
-    The folder goes through ``spark.checkpoint.dir``; what a job leaves there is freed with that folder.
+    The folder goes through ``spark.checkpoint.dir``; what a job leaves there is freed with that folder. Batches to
+    and from Python are kept to BATCH_ROWS rows meanwhile, for rows here hold whole texts or sets.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH_ROWS if int(before) <= 0 else min(int(before), BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
