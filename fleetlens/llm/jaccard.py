@@ -86,10 +86,9 @@ def shingle_sets(docs: DataFrame, length: int = SHINGLE, id_col: str = "doc_id",
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
-        for part in slices(stream):
+        for part in slices(stream, limit=2 << 20):
             words, offsets = joined_words(as_bytes(part), lower=True)
-            owner, value = _shingles(words, offsets, hashes.lookup(words)[:, 0], length)
+            owner, value = _shingles(words, offsets, word_hashes(words), length)
             sizes = np.bincount(owner, minlength=part.num_rows)
             packed = pack_set(value)
             ends = np.concatenate([[0], np.cumsum(sizes)]) * 6

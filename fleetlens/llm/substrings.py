@@ -62,10 +62,10 @@ def _spans(sorted_values: np.ndarray):
 class _Batch:
     """The words of some documents, and the places where a full window starts."""
 
-    def __init__(self, ids: np.ndarray, sums: np.ndarray, texts: list[bytes | None], hashes, depth: int):
+    def __init__(self, ids: np.ndarray, sums: np.ndarray, texts: list[bytes | None], depth: int):
         self.ids, self.sums = ids, sums
         self.words, self.offsets = joined_words(texts)
-        self.hashes = hashes.lookup(self.words)[:, 0]
+        self.hashes = word_hashes(self.words)
         self.rolling = RollingHashes(self.hashes)
         counts = np.diff(self.offsets)
         starts = np.maximum(counts - depth + 1, 0)
@@ -202,11 +202,11 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.table({"id_key": pa.array(ids[first]), "sum": pa.array(sums[first]), "places": pa.array(found, pa.binary())})
 
 
-def _batches(stream: Iterator[pa.RecordBatch], depth: int, hashes) -> Iterator[tuple[_Batch, pa.RecordBatch]]:
+def _batches(stream: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[_Batch, pa.RecordBatch]]:
     for part in slices(stream):
         yield _Batch(
             part.column("id_key").to_numpy(zero_copy_only=False), part.column("sum").to_numpy(zero_copy_only=False),
-            as_bytes(part), hashes, depth), part
+            as_bytes(part), depth), part
 
 
 def _given(batch: _Batch, part: pa.RecordBatch) -> np.ndarray:
@@ -218,8 +218,7 @@ def _given(batch: _Batch, part: pa.RecordBatch) -> np.ndarray:
 
 def _anchor_entries(depth: int, anchor: int, groups: int, homes: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
-        for batch, _ in _batches(stream, depth, hashes):
+        for batch, _ in _batches(stream, depth):
             mine, value = batch.anchors(depth, anchor)
             new = _starts(mine)  # an anchor lies in one document, so a change of document is a change of anchor
             group = (mix(value[new], 3) % np.uint64(groups)).astype(np.int64)
@@ -233,8 +232,7 @@ def _anchor_entries(depth: int, anchor: int, groups: int, homes: int):
 
 def _suffix_entries(depth: int, anchor: int, long: int, groups: int, frequent: np.ndarray, homes: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
-        for batch, part in _batches(stream, depth, hashes):
+        for batch, part in _batches(stream, depth):
             mine, value = batch.anchors(depth, anchor)
             shared = np.zeros(len(batch.words) + 1, dtype=bool)
             shared[_given(batch, part)] = True

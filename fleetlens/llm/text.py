@@ -143,14 +143,9 @@ class WordTable(dict):
         return self._table[numbers]
 
 
-def _hash_rows(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w) for w in words), dtype=np.uint64, count=len(words)).reshape(-1, 1)
-
-
-def word_hashes() -> WordTable:
-    """A fresh table of 64-bit word hashes."""
-    return WordTable(_hash_rows, 1, np.uint64)
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Hashing again is no slower than a look-up, and keeps no words in memory."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
