@@ -56,7 +56,11 @@ def test_mix_stage_repeats_up_to_twice(stages):
     after = Counter(map(tuple, stages[4]))
     assert set(after) <= set(before) and all(n <= 2 * before[r] for r, n in after.items())
     size = lambda rows: sum(len(r.text.split()) for r in rows)
-    assert size(stages[4]) == pytest.approx(1.5 * size(stages[3]), rel=0.1)
+    # Copies are whole, so a source may miss its target by its largest document; one here has 20 000 words.
+    largest = {}
+    for r in stages[3]:
+        largest[r.source] = max(largest.get(r.source, 0), len(r.text.split()))
+    assert abs(size(stages[4]) - 1.5 * size(stages[3])) <= sum(largest.values())
 
 
 def test_packing_stage_packs_everything(stages):
