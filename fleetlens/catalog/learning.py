@@ -27,10 +27,9 @@ from fleetlens.sources.roles import table
 
 # Part of the stored table's name; to be changed with what builds it.
 TABLE_VERSION = 2
-# Tree counts of the registered queries; the library defaults are the full settings.
-SMALL = P.TrainParams(trees=20, depth=5, min_leaf=5)
-_GRID = {"maxIter": [5, 10], "maxDepth": [3, 5], "minInstancesPerNode": [3, 5]}
-_DRAWN = 4
+# Settings drawn by the two searches.
+DRAWN = 10
+CHALLENGER_DRAWN = 20
 
 
 def order_readouts(orders):
@@ -68,11 +67,11 @@ def renamed_sensors(wide):
 
 
 def boosted() -> M.ModelSpec:
-    return M.ModelSpec("GradientBoosting", lambda: M.boosted_trees(SMALL), weight="ratio")
+    return M.ModelSpec("GradientBoosting", M.boosted_trees, weight="ratio")
 
 
 def forest() -> M.ModelSpec:
-    return M.ModelSpec("RandomForest", lambda: M.random_forest(SMALL), weight="balanced")
+    return M.ModelSpec("RandomForest", M.random_forest, weight="balanced")
 
 
 def logistic() -> M.ModelSpec:
@@ -115,7 +114,7 @@ def train_lr(spark, sf_dir):
 
 
 _SETTINGS = ", ".join(
-    f"({s['maxIter']}, {s['maxDepth']}, {s['minInstancesPerNode']})" for s in M.sample_grid(_GRID, _DRAWN))
+    f"({s['maxIter']}, {s['maxDepth']}, {s['minInstancesPerNode']})" for s in M.sample_grid(P.TREE_GRID, DRAWN))
 
 
 @query("cv_search", f"""
@@ -125,7 +124,7 @@ _SETTINGS = ", ".join(
 def cv_search(spark, sf_dir):
     """The drawn settings, each with a mean area under the curve over five folds."""
     folded = S.stratified_folds(training_table(spark, sf_dir))
-    _, best, scores = M.randomized_search(folded, boosted(), _GRID, _DRAWN)
+    _, best, scores = M.randomized_search(folded, boosted(), P.TREE_GRID, DRAWN)
     rows = [(s["maxIter"], s["maxDepth"], s["minInstancesPerNode"], 0.0 <= a <= best <= 1.0) for s, a in scores]
     found = spark.createDataFrame(rows, "max_iter int, max_depth int, min_instances int, in_range boolean")
     labelled = training_table(spark, sf_dir).agg(F.count(F.lit(1)).alias("labelled"))
@@ -198,7 +197,7 @@ def feature_importance(spark, sf_dir):
 def benchmark_models(spark, sf_dir):
     """All three models over five folds; wall times are left out, they are not a result."""
     training = training_table(spark, sf_dir)
-    found = M.benchmark(S.stratified_folds(training), M.benchmark_specs(SMALL, SMALL))
+    found = M.benchmark(S.stratified_folds(training), M.benchmark_specs())
     in_range = F.lit(True)
     for name in ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"):
         in_range = in_range & F.col(name).between(0.0, 1.0)
@@ -209,12 +208,23 @@ def benchmark_models(spark, sf_dir):
     return checked.select("model", "in_range", (F.col("rank") >= F.col("above") + 1).alias("ranked")).join(samples, F.lit(True))
 
 
+def challenger_settings(labelled):
+    """The best of the settings drawn from the challenger's grid, over folds of the rows that are not held out."""
+    split = written(S.stratified_split(labelled), "challenger-split")
+    folded = S.stratified_folds(split.where(~F.col("is_test")).drop("is_test"))
+    return M.randomized_search(folded, boosted(), P.CHALLENGER_GRID, CHALLENGER_DRAWN)[0]
+
+
 @query("champion_challenger", f"""
   SELECT model, (SELECT count(*) FROM ({_ROWS_SQL}) WHERE is_test) AS held_out, true AS consistent
   FROM (VALUES ('champion'), ('challenger')) m(model)""")
 def champion_challenger(spark, sf_dir):
-    """Both models on one hold-out, and whether the flag follows from their areas."""
-    metrics = M.champion_challenger(training_table(spark, sf_dir), forest(), boosted())[0]
+    """Both models on one hold-out, and whether the flag follows from their areas.
+
+    The challenger's settings are searched on the training rows alone.
+    """
+    labelled = training_table(spark, sf_dir)
+    metrics = M.champion_challenger(labelled, forest(), boosted(), challenger_settings(labelled))[0]
     areas = metrics.groupBy().pivot("model", ["champion", "challenger"]).agg(F.first("roc_auc"))
     wins = (F.col("model") == "challenger") & (F.col("challenger") > F.col("champion"))
     return metrics.join(areas, F.lit(True)).select(

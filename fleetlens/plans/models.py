@@ -305,8 +305,9 @@ def randomized_search(
         test = folded.where(F.col("fold") == k)
         for number, setting in enumerate(settings):
             part = prepared.model(spec, setting).score(test).select(P.LABEL, "probability", "predicted")
-            scored.append(part.withColumns({"fold": F.lit(k), "setting": F.lit(number)}))
-    everything = written(functools.reduce(DataFrame.unionByName, scored), "search-scores")
+            # Written at once, so that no plan holds the trees of more than one setting.
+            scored.append(written(part.withColumns({"fold": F.lit(k), "setting": F.lit(number)}), "search-scores"))
+    everything = functools.reduce(DataFrame.unionByName, scored)
     areas = E.ranking_metrics(everything, by=["setting", "fold"]).groupBy("setting").agg(F.avg("roc_auc").alias("roc_auc"))
     means = {r["setting"]: r["roc_auc"] for r in areas.collect()}
     scores = [(setting, means.get(number)) for number, setting in enumerate(settings)]

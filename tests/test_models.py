@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens import params as P
+from fleetlens.catalog import learning
 from fleetlens.operators import splits as S
 from fleetlens.plans import flows
 from fleetlens.plans import models as M
@@ -115,3 +116,53 @@ def test_score_fleet_flow(spark, labelled, model):
     extract = flows.score_fleet(model, labelled, vehicles, accounts)
     assert extract.count() == 200 and extract.first()["feature_importance_rank"] == -1
     assert extract.where("company_name IS NULL").count() > 0 and "total_operating_hours" in extract.columns
+
+
+def test_registered_training_uses_the_full_settings(monkeypatch):
+    """Estimators, draws and grids of the registered queries; nothing is fitted here."""
+    forest_, boosted_ = learning.forest().estimator(), learning.boosted().estimator()
+    assert (forest_.getNumTrees(), forest_.getMaxDepth()) == (P.TRAIN.trees, P.TRAIN.depth) == (300, 10)
+    assert (boosted_.getMaxIter(), boosted_.getMaxDepth()) == (300, 10)
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def benchmark(folded, specs):
+        for spec in specs:
+            estimator = spec.estimator()
+            if spec.name != "LogisticRegression":
+                rounds = estimator.getNumTrees() if spec.name == "RandomForest" else estimator.getMaxIter()
+                seen[spec.name] = (rounds, estimator.getMaxDepth())
+        raise Stop
+
+    def search(folded, spec, grid, n, seed=P.TRAIN.seed):
+        seen["search"] = (grid, n)
+        raise Stop
+
+    monkeypatch.setattr(M, "benchmark", benchmark)
+    monkeypatch.setattr(M, "randomized_search", search)
+    for name in ("training_table", "written"):
+        monkeypatch.setattr(learning, name, lambda *a: None)
+    monkeypatch.setattr(S, "stratified_folds", lambda df: df)
+    with pytest.raises(Stop):
+        learning.benchmark_models(None, "")
+    with pytest.raises(Stop):
+        learning.cv_search(None, "")
+    assert seen == {"RandomForest": (300, 10), "GradientBoosting": (100, 6), "search": (P.TREE_GRID, 10)}
+
+
+def test_the_challenger_is_searched_over_all_its_axes(labelled, monkeypatch):
+    """The search runs with every axis of the grid, here with few small trees, and its result is what is compared."""
+    few = {**P.CHALLENGER_GRID, "maxIter": [2], "maxDepth": [2]}
+    monkeypatch.setattr(P, "CHALLENGER_GRID", few)
+    assert learning.CHALLENGER_DRAWN == 20
+    monkeypatch.setattr(learning, "CHALLENGER_DRAWN", 2)
+    monkeypatch.setattr(learning, "training_table", lambda *a: labelled)
+    monkeypatch.setattr(learning, "forest", forest)
+    taken, compare = [], M.champion_challenger
+    monkeypatch.setattr(M, "champion_challenger", lambda df, champion, challenger, params=None: (
+        taken.append(params), compare(df, champion, challenger, params))[1])
+    found = {r.model: (r.held_out, r.consistent) for r in learning.champion_challenger(labelled.sparkSession, "").collect()}
+    assert found == {"champion": (40, True), "challenger": (40, True)}
+    assert taken[0] in M.sample_grid(few, 2) and set(taken[0]) == set(P.CHALLENGER_GRID)
