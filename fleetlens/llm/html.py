@@ -3,7 +3,8 @@
 Every paragraph gives points, for being one, for its length and for its commas, to the elements around it: all of them
 to its parent, half to the grandparent, less to those above. An element's points are discounted by the share of its
 text that is link text. The best container and those of its siblings that look like part of the article are kept; menus,
-notices, comments and the like never take part.
+notices, comments and the like do not take part. Elements of some tags are left out wherever they stand; a form, or an
+element that only a word of its class or id speaks against, is left out unless it holds the article.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ _INLINE = frozenset(
 _PARAGRAPHS = frozenset("p pre blockquote li dt dd td th caption figcaption h1 h2 h3 h4 h5 h6 address summary".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _DROPPED = frozenset(
-    "head script style noscript template nav header footer aside form button select textarea iframe object svg "
-    "canvas audio video dialog menu title fieldset".split())
+    "head script style noscript template nav header footer aside button select textarea iframe object svg "
+    "canvas audio video dialog menu title".split())
+_DOUBTFUL = frozenset(("form", "fieldset"))
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 # Words of class and id attributes that name something other than the article.
@@ -40,6 +42,9 @@ _UNLIKELY = frozenset(
     "comment comments disqus reply replies respond discussion footer header masthead related recommended share "
     "sharing social newsletter subscribe subscription signup login search widget pagination pager toolbar skip "
     "copyright disclaimer hidden".split())
+# Those of what often has more text than the article beside it.
+_REMARKS = frozenset(
+    "comment comments disqus reply replies respond discussion related recommended cookie cookies consent gdpr".split())
 _NEVER_UNLIKELY = frozenset(("html", "body", "article", "main"))
 _CLOSES = {  # an opening tag ends the open elements of these names, up to the nearest barrier
     "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))),
@@ -51,6 +56,7 @@ _CLOSES = {  # an opening tag ends the open elements of these names, up to the n
     "option": (frozenset(("option",)), frozenset(("select",))),
     "body": (frozenset(("head",)), frozenset(("html",))),
 }
+_MARKS = {"article": 1, "main": 2, "h1": 4}
 _LIKELY_BONUS = {"article": 25.0, "main": 10.0}
 
 
@@ -65,20 +71,34 @@ def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in _ROLES:
         return tag not in ("html", "body")
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    words = re.split(r"[^a-z]+", names)
-    if tag in _NEVER_UNLIKELY:
-        return tag == "article" and not _UNLIKELY.isdisjoint(words) and "comment" in names
-    return not _UNLIKELY.isdisjoint(words)
+    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _doubt(tag: str, attributes: dict[str, str]) -> int:
+    """0 without doubt, 1 for a form or an unlikely word, 2 for a word of _REMARKS."""
+    words = re.split(r"[^a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()) if attributes else []
+    if not _UNLIKELY.isdisjoint(words):
+        remarks = not _REMARKS.isdisjoint(words)
+        if tag not in _NEVER_UNLIKELY or tag == "article" and any("comment" in w for w in words):
+            return 2 if remarks or tag == "article" else 1
+    return 1 if tag in _DOUBTFUL else 0
+
+
+def _block_points(block: str, link: int) -> float:
+    points = 1.0 + block.count(",") + block.count("，") + min(len(block) / 100.0, 3.0)
+    return points * (1.0 - min(1.0, link / len(block)))
 
 
 class _Tree:
-    """Elements that are not dropped, and the blocks of text in page order."""
+    """Elements that are not dropped, and the blocks of text in page order.
 
-    def __init__(self):
+    Doubtful elements are in the tree until ``leave_out``; without ``words`` class and id are not asked.
+    """
+
+    def __init__(self, words: bool = True):
+        self.words, self.inline_dropped = words, False
         self.parents, self.tags = [-1], ["#root"]
+        self.doubts: dict[int, int] = {}
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters of link text
 
     def parse(self, page: str) -> None:
@@ -159,16 +179,24 @@ class _Tree:
             if tag in _RAW:
                 at = self._skip_raw(page, at, tag)
                 continue
-            if _is_dropped(tag, attributes):
+            doubt = _doubt(tag, attributes) if self.words else 0
+            if _is_dropped(tag, attributes) or doubt and (tag in _INLINE or found[3].endswith("/")):
                 if not found[3].endswith("/"):
                     dropped.append(tag)
+                    self.inline_dropped |= bool(doubt)
                 continue
             if tag in _INLINE:
                 stack.append((tag, stack[-1][1]))
                 link[0] += tag == "a"
                 continue
+            if tag == "body" and self.doubts:
+                open_doubt = next((k for k, (t, n) in enumerate(stack) if n in self.doubts and t not in _INLINE), 0)
+                if open_doubt:
+                    close(open_doubt)
             self.parents.append(stack[-1][1])
             self.tags.append(tag)
+            if doubt:
+                self.doubts[len(self.tags) - 1] = doubt
             stack.append((tag, len(self.parents) - 1))
         add(page[at:])
         flush()
@@ -198,12 +226,63 @@ class _Tree:
                     if tag != "tr":
                         break
 
+    def leave_out(self) -> None:
+        """Takes away the blocks of doubtful elements, but for those that hold the article.
+
+        An element holds the article if it has most of the page's points and no article or main element outside
+        has a quarter as many, or if it alone has an article, main or h1 and no fewer points than what is outside. One
+        of _REMARKS must have most of the points, and either hold a main or h1 alone, or there is next to nothing outside.
+        Outside is what is in no doubtful element but those found to hold the article, outer ones first.
+        """
+        if not self.doubts:
+            return
+        count = len(self.tags)
+        near, inside = [-1] * count, [False] * count  # nearest doubtful element, whether in an article or main
+        for at in range(1, count):
+            parent = self.parents[at]
+            near[at] = at if at in self.doubts else near[parent]
+            inside[at] = at not in self.doubts and (inside[parent] or self.tags[at] in ("article", "main"))
+        own, marks, size = [0.0] * count, [0] * count, [0] * count
+        direct, marked, signs = ({d: 0 for d in (-1, *self.doubts)} for _ in range(3))
+        for element, block, link in self.blocks:
+            size[element] += len(block)
+            if self.tags[element] not in _HEADINGS:
+                points = _block_points(block, link)
+                own[element] += points
+                direct[near[element]] += points
+                marked[near[element]] += points if inside[element] else 0.0
+        for at in range(count - 1, 0, -1):
+            if size[at] and not self.doubts.get(at, 0) == 2:
+                mark = _MARKS.get(self.tags[at], 0)
+                marks[at] |= mark
+                signs[near[at]] |= mark
+            parent = self.parents[at]
+            own[parent] += own[at]
+            size[parent] += size[at]
+            marks[parent] |= marks[at]
+        total, rest, rest_marked, rest_signs = own[0], direct[-1], marked[-1], signs[-1]
+        out = set()
+        for at, doubt in self.doubts.items():
+            if near[self.parents[at]] in out:
+                out.add(at)
+                continue
+            most = 2 * own[at] > total
+            holds = marks[at] and not rest_signs & (3 if marks[at] & 3 else 7)
+            if doubt == 2:
+                keep = most and (rest < 3.0 and not rest_signs or bool(holds and marks[at] & 6))
+            else:
+                keep = most and own[at] > 4 * rest_marked or bool(holds) and own[at] > 0 and own[at] >= rest
+            if keep:
+                rest, rest_marked, rest_signs = rest + direct[at], rest_marked + marked[at], rest_signs | signs[at]
+            else:
+                out.add(at)
+        self.blocks = [b for b in self.blocks if near[b[0]] not in out]
+
     def points(self) -> list[float]:
         """Score of every element."""
         size, linked, points = ([0.0] * len(self.tags) for _ in range(3))
         for element, block, link in self.blocks:
-            own = 1.0 + block.count(",") + block.count("，") + min(len(block) / 100.0, 3.0)
-            own *= 1.0 - min(1.0, link / len(block))
+            own = _block_points(block, link)
             level, at = 0, element
             if self.tags[element] in _PARAGRAPHS:
                 size[element] += len(block)
@@ -235,7 +314,7 @@ class _Tree:
             at = self.parents[at]
         kept = {best}
         if best > 0:
-            least = max(10.0, 0.2 * points[best])
+            least = 0.2 * points[best]
             for k in range(1, len(points)):
                 if k == best or self.parents[k] != self.parents[best] or not self._size[k]:
                     continue
@@ -262,12 +341,16 @@ def main_text(page: str | None) -> str:
     """The article of one page: its blocks in page order, one per line; empty for null and for pages without text.
 
     Character references are decoded and white space inside a block becomes one space. A page without any container
-    gives its text as it is.
+    gives its text as it is. A page whose text is all in inline elements with unlikely words gives that text.
     """
     if not page:
         return ""
     tree = _Tree()
     tree.parse(page)
+    tree.leave_out()
+    if not tree.blocks and tree.inline_dropped:
+        tree = _Tree(words=False)
+        tree.parse(page)
     return tree.main_text()
 
 

@@ -237,6 +237,33 @@ def test_main_text():
     assert html.main_text(sections).split("\n") == [x for k in range(5) for x in (f"h{k}", f"short {k}")]
 
 
+TEXT = "A first paragraph, with commas, and words enough to count, as articles have."
+PARTS = f"<h1>Title</h1><p>{TEXT}</p><p>{TEXT}</p>"
+WHOLE = f"Title\n{TEXT}\n{TEXT}"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div id=page class='has-sidebar'><div>{PARTS}</div><div class=sidebar><p>side</p></div></div></body>",
+    f"<body><nav>menu</nav><div class='content widget'>{PARTS}</div></body>",
+    f"<body><div class='hidden-print'><main>{PARTS}</main></div><div class=ad>Buy, buy</div></body>",
+    f"<body><form action=x><input name=state><div>{PARTS}<div class=share>Share</div></div></form></body>",
+    f"<body><form><fieldset><div class='widget'>{PARTS}</div></fieldset></form><form><p>Search, here</p></form></body>",
+    f"<div class=comments-open><div>{PARTS}</div><div id=comments>" + "<p>I, for one, agree, really.</p>" * 30 + "</div></div>",
+    f"<body><div>{PARTS}</div><div class=comments>" + "<article><p>I, for one, agree, really.</p></article>" * 30 + "</div></body>",
+    f"<body><article>{PARTS}</article><div class=sidebar>" + f"<p>{TEXT}</p>" * 3 + "</div></body>",
+    f"<body><div>{PARTS}</div><div class=related><article><p>Another, teaser</p></article></div></body>",
+])
+def test_doubtful_elements_stay_when_they_hold_the_article(page):
+    assert html.main_text(page) == WHOLE
+
+
+def test_short_sibling_parts_stay():
+    for tag in ("div", "section"):
+        parts = "".join(f"<{tag}>" + f"<p>Short part {k}.</p>" * (3 - 2 * k) + f"</{tag}>" for k in range(2))
+        assert html.main_text(f"<body>{parts}</body>") == "Short part 0.\n" * 3 + "Short part 1."
+    assert html.main_text(f"<span class=widget>{TEXT}</span>") == TEXT
+
+
 def test_extract_main_text(spark):
     rows = [(1, "u", PAGE, 1), (1, "u", PAGE, 1), (None, None, None, 2), (3, "v", "", 3), (4, "w", "<p>" + "long, text " * 50_000, 4)]
     found = html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
