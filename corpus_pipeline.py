@@ -41,10 +41,16 @@ def _one_each(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of likeness 0.8 on five-word shingles: the one with the smallest id."""
-    found = jaccard.jaccard_components(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _decided(docs, kept).select(docs.columns)
+    """One document of each component of likeness 0.8 on five-word shingles: the one with the smallest id.
+
+    Rows without an id come after all others and are told apart by a number that is stored with them.
+    """
+    key, largest = jaccard.own_keys(docs)
+    keyed = docs.withColumn("_key", key)
+    keyed = keyed if largest is None else stored(keyed, "near-keys")
+    found = jaccard.jaccard_components(keyed, id_col="_key")
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    return keyed.join(kept, F.col("_key") == F.col("_kept"), "inner").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import components
@@ -39,7 +39,6 @@ SALT_ROWS = 4_000
 MOST_WORDS = 64
 SHARED_BITS = 1 << 26
 GROUP_BYTES = 32_000_000
-_NO_ID = (1 << 63) - 1
 _MASK = np.uint64((1 << 48) - 1)
 
 
@@ -78,7 +77,22 @@ def _shingles(words: list[bytes], offsets: np.ndarray, hashes: np.ndarray, lengt
     return owner[new], value[new]
 
 
-def shingle_sets(docs: DataFrame, length: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def own_keys(docs: DataFrame, id_col: str = "doc_id") -> tuple[Column, int | None]:
+    """The key of a row, and the largest id; None for it when every row has an id.
+
+    The key is the id. A row without one has a number of its own above all ids, which holds only once it is written.
+    """
+    number = F.col(id_col).cast("long")
+    largest, missing = docs.agg(F.max(number), F.count_if(number.isNull())).first()
+    if not missing:
+        return number, None
+    largest = -1 if largest is None else largest
+    if largest >= (1 << 63) - (1 << 52):
+        raise ValueError(f"ids up to {largest} leave no numbers for the {missing} rows without an id")
+    return F.coalesce(number, F.monotonically_increasing_id() + F.lit(largest + 1)), largest
+
+
+def shingle_sets(docs: DataFrame, key: Column, length: int = SHINGLE, text_col: str = "text") -> DataFrame:
     """(id, n, digest, set): the distinct shingles of ``length`` words of every row.
 
     A text with fewer words is one shingle; without words the set is empty. ``set`` is null for empty sets and for
@@ -102,8 +116,7 @@ def shingle_sets(docs: DataFrame, length: int = SHINGLE, id_col: str = "doc_id",
                 [part.column("id"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())],
                 names=["id", "n", "digest", "set"])
 
-    source = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(key.alias("id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, "id long, n int, digest binary, set binary")
 
 
@@ -500,11 +513,13 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
 
     Documents link if 100 * intersection >= ``percent`` * union of their shingle sets; a component's id is the
     smallest id in it. Words are lower-cased in A-Z. Rows without words are empty sets and link with nothing.
-    Repeated rows and rows that share an id are one component. A null id counts as the largest; a component of such
-    rows only has a null id. Other columns are not read. An empty table gives an empty result.
+    Repeated rows and rows that share an id are one component. A row with a null id stands for itself and counts as
+    larger than any id; a component of such rows only has a null id. Other columns are not read. An empty table gives
+    an empty result.
     """
     spark = docs.sparkSession
-    sets = stored(shingle_sets(docs, length, id_col, text_col), "sets")
+    key, largest = own_keys(docs, id_col)
+    sets = stored(shingle_sets(docs, key, length, text_col), "sets")
     volume = sets.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     groups = max(shuffle_parts(spark), volume * (100 - percent) // 100 * 16 // GROUP_BYTES + 1)
     common = common_shingles(sets)
@@ -532,5 +547,5 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
         labels = components(edges)
     found = sets.join(labels, "id", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
-    known = lambda name: F.when(F.col(name) != _NO_ID, F.col(name))
+    known = lambda name: F.col(name) if largest is None else F.when(F.col(name) <= largest, F.col(name))
     return found.select(known("id").alias("doc_id"), "n_shingles", known("component_id").alias("component_id"))

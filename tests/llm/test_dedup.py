@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+from corpus_pipeline import near
 from fleetlens.llm import exact_dedup, jaccard, substrings
 from fleetlens.llm.graph import components
 
@@ -116,6 +117,17 @@ def test_jaccard_chains_and_chunks(spark, monkeypatch):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows, 4, percent)
 
 
+def test_rows_without_an_id_stand_for_themselves(spark):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    copies = text(1) + " more"
+    rows = [(3, text(1)), (None, copies), (None, text(2)), (None, text(4)), (None, text(4) + " more"), (5, text(5))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard.jaccard_components(frame, 5, 80).collect()
+    assert Counter((r.doc_id, r.component_id) for r in found) == Counter([(3, 3), (5, 5), (None, 3)] + 3 * [(None, None)])
+    kept = Counter(r.text for r in near(spark, frame, "").collect())
+    assert kept in [Counter([text(1), text(2), text(5), one]) for one in (text(4), text(4) + " more")]
+
+
 def test_jaccard_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
