@@ -19,9 +19,12 @@ def _decided(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters go. Labels of the held-out fold are not learned from.
 
-    The language found does not replace the column ``lang``: the stage only keeps or drops, one row at a time.
+    The language found does not replace the column ``lang``: the stage only keeps or drops, one row at a time. Where no
+    label can be learned from, every text with a letter stays.
     """
     model = language.fit(docs, ~language.held_out())
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model, docs.columns, pred_col="_lang", score_col="_score")
     return found.where(F.col("_lang") != language.UNKNOWN).select(docs.columns)
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from fleetlens.llm import jaccard
@@ -36,6 +37,12 @@ def test_language_stage_drops_texts_without_letters_only(stages):
     assert kept == Counter(tuple(r) for r in stages[0] if r.text and any(map(str.isalpha, r.text)))
 
 
+def test_language_stage_without_labels_drops_texts_without_letters_only(spark, start):
+    blank = start.withColumn("lang", F.lit(None).cast("string"))
+    kept = Counter(r.text for r in pipeline.language_id(spark, blank, "").collect())
+    assert kept == Counter(r.text for r in start.collect() if r.text and any(map(str.isalpha, r.text)))
+
+
 def test_exact_stage_keeps_one_of_each_text(stages):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t)
     groups = {}
