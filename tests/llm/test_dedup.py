@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from corpus_pipeline import near
-from fleetlens.llm import exact_dedup, jaccard, substrings
+from fleetlens.llm import exact_dedup, graph, jaccard, substrings
 from fleetlens.llm.graph import components
 
 
@@ -138,6 +138,28 @@ def test_sets_survive_packing():
     assert back.tolist() == [1, 2, (1 << 48) - 1, 1] and ends.tolist() == [0, 3, 3, 4]
 
 
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    written = []
+    keep = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: (written.append(name), keep(df, name))[1])
+    found = {r.id: r.component for r in components(spark.range(300).selectExpr("id AS a", "id + 1 AS b")).collect()}
+    assert found == dict.fromkeys(range(301), 0) and len(written) <= 20
+
+
+def test_components_of_random_edges(spark):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
+    root = list(range(400))
+    for _ in range(400):
+        before = list(root)
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    found = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {x: root[x] for a, b in edges if a != b for x in (a, b)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(200, 200 + k) for k in range(1, 50)] + [(7, 7)]
     found = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
