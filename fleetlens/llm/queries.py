@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings, token_counts
+from fleetlens.llm import exact_dedup, fill_middle, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings, token_counts
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,31 @@ def op1(spark, sf_dir):
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path(VOCABULARY))
+
+
+@query("op11_fill_in_middle", r"""
+  WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents),
+  d AS (
+    SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS c1,
+           CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+                WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM t),
+  c AS (
+    SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p,
+           array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+           array_to_string(u[greatest(c1, c2) + 1:n], '') AS s
+    FROM d)
+  SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+         CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+         sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+         sha256(text) AS restored_sha256
+  FROM c""")
+def op11(spark, sf_dir):
+    made = fill_middle.fill_in_middle(documents(spark, sf_dir))
+    return fill_middle.restore(made, keep_text=False)
