@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import exact_dedup, fill_middle, html, jaccard, language, mixing, packing, sharding, spotsigs, substrings, token_counts
+from fleetlens.llm import (
+    exact_dedup, fill_middle, html, jaccard, language, mixing, packing, prefix_trie, sharding, spotsigs, substrings,
+    token_counts,
+)
 from fleetlens.llm.text import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +144,42 @@ def op9(spark, sf_dir):
 def op11(spark, sf_dir):
     made = fill_middle.fill_in_middle(documents(spark, sf_dir))
     return fill_middle.restore(made, keep_text=False)
+
+
+# crc32 of the decimal id, bit by bit.
+_CRC = """xor(list_reduce(
+    [4294967295] || list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+    lambda c, b: list_reduce([xor(c, b)] || range(0, 8), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+@query("op12_prefix_trie", f"""
+  WITH t AS (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS b,
+           substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS g
+    FROM conversations WHERE conv_id IS NOT NULL),
+  l AS (SELECT conv_id, list({{'g': g, 'b': b}} ORDER BY turn NULLS FIRST, g) AS turns FROM t GROUP BY conv_id),
+  h AS (SELECT conv_id, turns, {_CRC} % 9 AS h FROM l),
+  r AS (
+    SELECT h.conv_id, coalesce(l.turns[1:h.h], []) || coalesce(h.turns[h.h + 1:], []) AS turns
+    FROM h LEFT JOIN l ON l.conv_id = h.conv_id - h.conv_id % 5),
+  p AS (
+    SELECT conv_id, list_transform(turns, lambda x: x.g) AS gs, list_transform(turns, lambda x: x.b) AS bs,
+           len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth FROM r),
+  n AS (
+    SELECT depth, array_to_string(gs[1:depth], '') AS path, coalesce(min(bs[depth]), 0) AS b, min(conv_id) AS conv_id,
+           count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+    FROM p GROUP BY ALL),
+  k AS (
+    SELECT n.*, up.conv_id AS parent_conv_id, count(down.path) AS n_children
+    FROM n LEFT JOIN n up ON up.depth = n.depth - 1 AND up.path = left(n.path, 32 * (n.depth - 1))
+           LEFT JOIN n down ON down.depth = n.depth + 1 AND left(down.path, 32 * n.depth) = n.path
+    GROUP BY ALL),
+  s AS (SELECT left(path, 32 * d) AS path, n_children = 0 AS leaf, (n_convs - 1) * b AS saved
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM k)),
+  a AS (SELECT path, CAST(count_if(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM s GROUP BY path)
+  SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM k JOIN a USING (path)""")
+def op12(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.turn_lists(turns)))
