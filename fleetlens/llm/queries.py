@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import (
-    exact_dedup, fill_middle, html, jaccard, language, mixing, packing, prefix_trie, sharding, spotsigs, substrings,
+    exact_dedup, fill_middle, html, jaccard, language, mixing, packing, personal, prefix_trie, sharding, spotsigs, substrings,
     token_counts,
 )
 from fleetlens.llm.text import documents
@@ -183,3 +183,9 @@ _CRC = """xor(list_reduce(
 def op12(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.turn_lists(turns)))
+
+
+@query("op13_personal_data")
+def op13(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return personal.find_personal_data(docs, personal.fit(docs))
