@@ -1,43 +1,41 @@
 """Jaccard join of documents on word shingles, by size-banded tiles with bitmap signatures.
 
 A document is the sorted array of its shingle hashes. Two documents can only link if their sizes are close and if they
-share one of the few shingles that come first in a common order (rare ones first). So a tile is a shingle and a band
-of sizes, and holds the documents of the band and of the band below that have the shingle among their first. In a
-tile, bitmaps of hashed shingles bound every overlap from above; pairs that pass are intersected exactly.
-
-Only the components of the links are wanted, so no link has to be found twice:
-
-1. Equal documents of a batch are one from the start. Documents with the same first shingle are compared with a few
-   pivots among them, which joins most copies without looking at their other shingles.
-2. A tile matters only if it holds documents of different components. Of two components in a tile, the pair with the
-   best bound is intersected first; what is still apart after that is intersected pair by pair. Pairs within one
-   component are never formed. At the end, every pair that could link is within one component or is no link.
+share one of the few shingles that come first in a common order (very common ones last). The smallest document that has
+a shingle among its first leads it; a tile is a leader and a band of sizes, and holds the documents of the band and of
+the band below that share a first shingle with the leader. So documents that resemble each other meet in few tiles,
+however many shingles they share, and each brings its set there once.
+
+In a tile, bitmaps of hashed shingles bound every overlap from above; what passes is intersected exactly, there and
+then. Only the components of the links are wanted: a task joins what it finds linked, does not look again at documents
+it has joined, and hands out the links that joined two parts, fewer than it has documents. A tile with too many
+documents, or too much of them, is cut into chunks, and its pairs of chunks are worked on by different tasks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.graph import components
 from fleetlens.llm.text import (
-    RollingHashes, as_bytes, bit_filter, joined_words, mix, shuffle_parts, slices, stored, with_filter,
-    word_hashes,
+    RollingHashes, as_bytes, bit_filter, joined_words, mix, shuffle_parts, slices, stored, with_filter, word_hashes,
 )
 
 SHINGLE = 5
 PERCENT = 80
 COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
-PIVOTS = 16
-SALT_ROWS = 4_000
 MOST_WORDS = 64
-SHARED_BITS = 1 << 26
+CHUNK_DOCS = 2_000
+CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 32_000_000
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -153,41 +151,18 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-class _Order:
-    """The common order: shingles not known to be shared, then those met as shared, then common ones; by hash in each.
-
-    What was met as shared is a bit filter of SHARED_BITS bits, so its size is fixed. A filter that fills up tells
-    less, and the order is then nearer to that of the hashes alone; the links are the same under any order.
-    """
-
-    def __init__(self, common: np.ndarray, shared: np.ndarray | None = None):
-        self.common, self.shared = common, shared
-
-    def levels(self, values: np.ndarray) -> np.ndarray:
-        level = np.zeros(len(values), dtype=np.int8)
-        if self.shared is not None:
-            at = shared_position(values)
-            level[(self.shared[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1] = 1
-        level[_in_sorted(values, self.common)] = 2
-        return level
-
-
-def shared_position(values: np.ndarray) -> np.ndarray:
-    return (mix(values, 21) % np.uint64(SHARED_BITS)).astype(np.int64)
-
-
-def _first_shingles(values: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in the common order, one of which every partner has among its first."""
+def _first_shingles(values: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles in the common order (common ones last, by hash), one of which every partner has among its first."""
     n = len(values)
     count = n - -(-percent * n // 100) + 1
-    if levels.any():
-        values = values[np.argsort(levels, kind="stable")]
+    if common.any():
+        values = values[np.argsort(common, kind="stable")]
     return values[:count]
 
 
-def band_of(n: np.ndarray, percent: int) -> np.ndarray:
+def band_of(n: Column, percent: int) -> Column:
     """Sizes that can link are in the same band or in neighbouring ones."""
-    return np.floor(np.log(np.maximum(n, 1)) / -np.log(percent / 100.0) + 1e-9).astype(np.int64)
+    return F.floor(F.log(n) / -math.log(percent / 100.0) + 1e-9).cast("int")
 
 
 def _links(overlap, a, b, percent: int):
@@ -195,318 +170,181 @@ def _links(overlap, a, b, percent: int):
     return overlap * (100 + percent) >= percent * (a + b)
 
 
-def _pivot_links(percent: int):
-    """Links between the documents of one first shingle and a few pivots among them, the largest first."""
+def _entries(common: np.ndarray, percent: int):
+    """(shingle, id) of the first shingles of every set."""
 
-    def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        values, ends = unpack_sets([table.column("set")[int(k)].as_py() for k in order])
-        ids, sizes = ids[order], np.diff(ends)
-        left = np.ones(len(ids), dtype=bool)
-        a, b = [], []
-        for _ in range(PIVOTS):
-            if left.sum() < 2:
-                break
-            pivot = int(np.flatnonzero(left)[0])
-            mine = values[ends[pivot]:ends[pivot + 1]]
-            overlap = np.add.reduceat(_in_sorted(values, mine).astype(np.int64), ends[:-1])
-            linked = left & _links(overlap, sizes, len(mine), percent)
-            linked[pivot] = False
-            a += [int(ids[pivot])] * int(linked.sum())
-            b += ids[linked].tolist()
-            left &= ~linked
-            left[pivot] = False
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, values, ends in _per_set(stream):
+            late = _in_sorted(values, common)
+            chosen = [_first_shingles(values[lo:hi], late[lo:hi], percent) for lo, hi in zip(ends[:-1], ends[1:])]
+            ids = np.repeat(part.column("id").to_numpy(), [len(c) for c in chosen])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(chosen).astype(np.int64)), pa.array(ids)], names=["shingle", "id"])
 
     return run
 
 
-def pivot_links(sets: DataFrame, order: _Order, percent: int) -> DataFrame:
-    """Links (a, b) among documents that share their first shingle.
+def distinct_sets(sets: DataFrame) -> DataFrame:
+    """(id, set), one row for equal sets: the smallest id of those that have the set with them.
 
-    Which first shingles occur twice is known from a bit filter of fixed size. A shingle that very many documents
-    start with is split, and its parts are joined later, through the tiles.
+    Sets that may occur again are known from a bit filter; only these are shuffled.
     """
-
-    def first(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, ends in _per_set(stream):
-            level = order.levels(values)
-            leading = [
-                int(_first_shingles(values[lo:hi], level[lo:hi], percent)[0]) for lo, hi in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leading, pa.int64()), part.column("id"), part.column("set")], names=["shingle", "id", "set"])
-
-    led = sets.where("set IS NOT NULL").select("id", "set").mapInArrow(first, "shingle long, id long, set binary")
-    counts = stored(led.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
-    many = counts.where(F.col("n") > SALT_ROWS).orderBy(F.col("n").desc(), "shingle").limit(COMMON_SHARE).select(
-        "shingle", F.ceil(F.col("n") / SALT_ROWS).cast("long").alias("salts"))
-    led = with_filter(led, bit_filter(counts, "shingle"), "shingle", "shared").where("shared")
-    return led.join(F.broadcast(many), "shingle", "left") \
-        .withColumn("salt", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1).cast("long")))) \
-        .groupBy("shingle", "salt").applyInArrow(_pivot_links(percent), "a long, b long")
+    held = sets.where("set IS NOT NULL")
+    again = stored(held.groupBy("digest").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("digest"), "again")
+    marked = with_filter(held, bit_filter(again, "digest"), "digest", "again")
+    once = marked.where(~F.col("again")).select("id", "set")
+    return once.unionByName(marked.where("again").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("set").alias("set")).select("id", "set"))
 
 
-_ENTRY = "group long, shingles binary, owners binary, ids binary"
+def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """``df`` without most of the rows whose value is not among ``keys``."""
+    return with_filter(df, bit_filter(keys, column), column, "_wanted").where("_wanted").drop("_wanted")
 
 
-def _tile_entries(order_of: _Order, percent: int, groups: int):
-    """First shingles of a batch of sets, packed by group of shingles."""
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, ends in _per_set(stream, 6 << 20):
-            level = order_of.levels(values)
-            chosen = [_first_shingles(values[lo:hi], level[lo:hi], percent) for lo, hi in zip(ends[:-1], ends[1:])]
-            owner = np.repeat(np.arange(len(chosen)), list(map(len, chosen)))
-            shingle = np.concatenate(chosen) if chosen else np.zeros(0, np.uint64)
-            group = (mix(shingle, 5) % np.uint64(groups)).astype(np.int64)
-            order = np.lexsort((owner, group))
-            group, shingle, owner = group[order], shingle[order], owner[order]
-            ids = part.column("id").to_numpy()
-            starts = np.flatnonzero(np.diff(group, prepend=-1))
-            rows = [[], [], [], []]
-            for lo, hi in zip(starts, [*starts[1:], len(group)]):
-                documents, local = np.unique(owner[lo:hi], return_inverse=True)
-                for column, value in zip(rows, (
-                        int(group[lo]), shingle[lo:hi].tobytes(), local.astype(np.uint32).tobytes(), ids[documents].tobytes())):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), *(pa.array(c, pa.binary()) for c in rows[1:])],
-                names=["group", "shingles", "owners", "ids"])
+def led_documents(sets: DataFrame, reps: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+    """(leader, id, n, band), stored: each document with the leaders of those of its first shingles that it shares."""
+    entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
+    shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
+        "leader < other").select("shingle", "leader"), "shared")
+    led = _narrowed(entries, shared, "shingle").join(shared, "shingle").select("leader", "id").distinct()
+    sizes = sets.where("set IS NOT NULL").groupBy("id").agg(F.max("n").alias("n"), F.min("n").alias("least"))
+    both = F.explode(F.array_distinct(F.array("n", "least"))).alias("n")
+    return stored(led.join(sizes, "id").select("leader", "id", both).withColumn("band", band_of(F.col("n"), percent)), "led")
 
-    return run
 
+def tile_members(led: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """(bucket, id, tiles), one row per document and bucket of tiles.
 
-def _shared_shingles(table: pa.Table) -> pa.Table:
-    """(id, shingles): those first shingles of a document that another document of the group has among its first."""
-    shingles, owners, ids, base = [], [], [], 0
-    for row in table.select(["shingles", "owners", "ids"]).to_pylist():
-        shingles.append(np.frombuffer(row["shingles"], np.uint64))
-        owners.append(np.frombuffer(row["owners"], np.uint32).astype(np.int64) + base)
-        ids.append(np.frombuffer(row["ids"], np.int64))
-        base += len(ids[-1])
-    shingle, owner, ids = np.concatenate(shingles), np.concatenate(owners), np.concatenate(ids)
-    order = np.argsort(shingle, kind="stable")
-    shingle, owner = shingle[order], owner[order]
-    _, run, counts = np.unique(shingle, return_inverse=True, return_counts=True)
-    keep = counts[run] > 1
-    shingle, owner = shingle[keep], owner[keep]
-    order = np.argsort(owner, kind="stable")
-    shingle, owner = shingle[order], owner[order]
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    spans = list(zip(starts, [*starts[1:], len(owner)]))
-    return pa.table({
-        "id": pa.array([int(ids[owner[lo]]) for lo, _ in spans], pa.int64()),
-        "shingles": pa.array([shingle[lo:hi].tobytes() for lo, hi in spans], pa.binary())})
-
-
-def _across_components(table: pa.Table) -> pa.Table:
-    """(id, component, shingles): only the shingles that documents of two components of the group have."""
-    blobs = table.column("shingles").to_pylist()
-    row = np.repeat(np.arange(len(blobs)), [len(b) // 8 for b in blobs])
-    shingle = np.frombuffer(b"".join(blobs), np.uint64)
-    component = table.column("component").to_numpy()[row]
-    order = np.lexsort((component, shingle))
-    shingle, component, row = shingle[order], component[order], row[order]
-    starts = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])[:len(shingle)])
-    lengths = np.diff([*starts, len(shingle)])
-    several = np.repeat(component[starts] != component[starts + lengths - 1], lengths)
-    shingle, row = shingle[several], row[several]
-    order = np.argsort(row, kind="stable")
-    shingle, row = shingle[order], row[order]
-    starts = np.flatnonzero(np.diff(row, prepend=-1))
-    spans = list(zip(starts, [*starts[1:], len(row)]))
-    kept = pa.array(row[starts])
-    return pa.table({
-        "id": table.column("id").take(kept), "component": table.column("component").take(kept),
-        "shingles": pa.array([shingle[lo:hi].tobytes() for lo, hi in spans], pa.binary())})
+    A tile needs documents at home in its band, and two documents at least. Tiles are cut into chunks by the number and
+    the volume of their documents; a document goes to every pair of chunks that its own is in.
+    """
+    homes = led.groupBy("leader", "band").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("volume"))
+    one = F.lit(1).cast("int")
+    tiles = homes.withColumn("home", F.col("docs")).unionByName(
+        homes.withColumns({"band": F.col("band") + one, "home": F.lit(0).cast("long")})).groupBy("leader", "band").agg(
+        F.sum("docs").alias("docs"), F.sum("volume").alias("volume"), F.sum("home").alias("home")).where(
+        "home > 0 AND docs > 1").select(
+        "leader", F.col("band").alias("tile"),
+        F.greatest(F.ceil(F.col("docs") / CHUNK_DOCS), F.ceil(F.col("volume") * 6 / CHUNK_BYTES)).cast("long").alias("chunks"))
+    there = led.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + one))).join(tiles, ["leader", "tile"])
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    parts = there.withColumn("chunk", chunk).withColumn(
+        "with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
+    parts = parts.withColumn("part", low * F.col("chunks") + high)
+    member = F.struct(
+        F.xxhash64("leader", "tile", "part").alias("tile"), F.col("tile").alias("band"),
+        (F.col("tile") == F.col("band")).alias("home"), F.when(low < high, F.col("chunk")).otherwise(F.lit(-1)).alias("chunk"))
+    return parts.groupBy(F.pmod(F.xxhash64("leader", "part"), F.lit(buckets)).alias("bucket"), "id").agg(
+        F.collect_list(member).alias("tiles"))
 
 
 def signature_words(band: int, percent: int) -> int:
     """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set, up to MOST_WORDS.
 
-    A document has a row for each of its first shingles, so bitmaps that grew with the set would make the rows of a
-    long one grow with its square. Beyond the limit the bounds are looser and more pairs are intersected.
+    Beyond the limit the bounds are looser and more pairs are intersected.
     """
     largest = (100.0 / percent) ** (band + 1)
     return int(min(MOST_WORDS, max(1, 2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))))
 
 
-def _signature(values: np.ndarray, words: int) -> bytes:
-    bits = np.zeros(words * 64, dtype=np.uint8)
-    bits[(mix(values, 9) % np.uint64(words * 64)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
-
-
-_TILE = "shingle long, band int, home boolean, id long, component long, n int, bits binary"
-
-
-def _tile_rows(percent: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values, ends in _per_set(stream, 1 << 20):
-            columns = [[] for _ in range(7)]
-            sizes = np.diff(ends)
-            ids, components_, lists_ = (part.column(c).to_pylist() for c in ("id", "component", "lists"))
-            for k, (number, component, lists) in enumerate(zip(ids, components_, lists_)):
-                band = int(band_of(sizes[k:k + 1], percent)[0])
-                own = values[ends[k]:ends[k + 1]]
-                for tile, home in ((band, True), (band + 1, False)):
-                    bits = _signature(own, signature_words(tile, percent))
-                    for shingle in np.frombuffer(b"".join(lists), np.int64).tolist():
-                        for column, value in zip(columns, (shingle, tile, home, number, component, int(sizes[k]), bits)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                names=["shingle", "band", "home", "id", "component", "n", "bits"])
-
-    return run
-
-
-def _tile_pairs(percent: int, best: bool):
-    """Pairs of different components in the tiles of a group whose bound allows a link.
-
-    The documents of a tile are in order of size. All tiles advance together: first neighbours, then the next but one,
-    and so on; a document drops out once the other is too large or in another tile.
-    """
-
-    def of_band(rows: dict[str, np.ndarray], bits: np.ndarray) -> list[np.ndarray]:
-        tile, n = rows["tile"], rows["n"]
-        found, active, step = [], np.arange(len(n)), 0
-        while len(active):
-            step += 1
-            active = active[active + step < len(n)]
-            other = active + step
-            going = (tile[active] == tile[other]) & (100 * n[active] >= percent * n[other])
-            active = active[going]
-            other = active + step
-            ask = (rows["component"][active] != rows["component"][other]) & (rows["home"][active] | rows["home"][other])
-            ask &= (rows["part"][active] < 0) | (rows["chunk"][active] != rows["chunk"][other])
-            for lo in range(0, int(ask.sum()), 1 << 16):
-                a, b = active[ask][lo:lo + (1 << 16)], other[ask][lo:lo + (1 << 16)]
-                lost_a = np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1, dtype=np.int64)
-                lost_b = np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1, dtype=np.int64)
-                bound = np.minimum(n[a] - lost_a, n[b] - lost_b)
-                passed = _links(bound, n[a], n[b], percent)
-                if passed.any():
-                    a, b, bound = a[passed], b[passed], bound[passed]
-                    low = np.minimum(rows["component"][a], rows["component"][b])
-                    high = np.maximum(rows["component"][a], rows["component"][b])
-                    ids = rows["id"]
-                    found.append(np.stack([
-                        tile[a], low, high, (n[a] + n[b] - bound) * 1000 // bound,
-                        np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], axis=1))
-        return found
-
+def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Bitmaps of MOST_WORDS words, a row per set; ``folded`` makes narrower ones of them."""
+    bits = np.zeros((len(ends) - 1, MOST_WORDS * 64), dtype=bool)
+    bits[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), (mix(values, 9) % np.uint64(MOST_WORDS * 64)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of ``words`` words, in which a shingle has one bit as before."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+def overlap_bounds(one: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
+    """No intersection of the set with one of the others is larger: every bit that only one has costs it a shingle."""
+    lost = np.bitwise_count(one & ~others).sum(axis=1, dtype=np.int64)
+    lacks = np.bitwise_count(others & ~one).sum(axis=1, dtype=np.int64)
+    return np.minimum(n - lost, sizes - lacks)
+
+
+class _Bucket:
+    """The documents of a bucket, in order of size, and which of them are known to be joined."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        sizes = pc.binary_length(table.column("set")).to_numpy()
+        order = np.lexsort((table.column("id").to_numpy(), sizes))
+        table = table.take(pa.array(order))
+        self.percent, self.ids = percent, table.column("id").to_numpy()
+        self.values, self.ends = unpack_sets(table.column("set").to_pylist())
+        self.sizes = np.diff(self.ends)
+        self.root = np.arange(len(self.ids))
+        self.bits = np.concatenate([
+            signatures(self.values[self.ends[lo]:self.ends[hi]], self.ends[lo:hi + 1] - self.ends[lo])
+            for lo in range(0, len(self.ids), 1000) for hi in [min(lo + 1000, len(self.ids))]])
+        self.links: list[tuple[int, int]] = []
+
+    def overlaps(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the exact intersections."""
+        mine = self.values[self.ends[one]:self.ends[one + 1]]
+        lengths = self.sizes[others]
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        at = np.arange(lengths.sum()) - np.repeat(starts - self.ends[others], lengths)
+        return np.add.reduceat(_in_sorted(self.values[at], mine).astype(np.int64), starts)
+
+    def join(self, one: int, other: int) -> None:
+        if self.root[one] != self.root[other]:
+            self.links.append((int(self.ids[one]), int(self.ids[other])))
+            self.root[self.root == self.root[other]] = self.root[one]
+
+    def work(self, docs: np.ndarray, home: np.ndarray, chunk: np.ndarray, band: int) -> None:
+        """All pairs of a tile that may link: of close sizes, one at home, from different chunks if there are two."""
+        if (self.root[docs] == self.root[docs[0]]).all():
+            return
+        sizes = self.sizes[docs]
+        bits = folded(self.bits[docs], signature_words(band, self.percent))
+        ahead = np.searchsorted(sizes, 100 * sizes // self.percent, side="right")
+        for k in range(len(docs) - 1):
+            others = np.arange(k + 1, ahead[k])
+            others = others[
+                (self.root[docs[others]] != self.root[docs[k]]) & (home[k] | home[others])
+                & ((chunk[others] != chunk[k]) | (chunk[k] < 0))]
+            if not len(others):
+                continue
+            bound = overlap_bounds(bits[k], bits[others], sizes[k], sizes[others])
+            others = others[_links(bound, sizes[k], sizes[others], self.percent)]
+            volume = np.cumsum(sizes[others]) >> 20
+            for lo in np.flatnonzero(np.diff(volume, prepend=-1)):
+                some = others[lo:np.searchsorted(volume, volume[lo], side="right")]
+                some = some[self.root[docs[some]] != self.root[docs[k]]]
+                if len(some):
+                    overlap = self.overlaps(int(docs[k]), docs[some])
+                    for other in docs[some[_links(overlap, sizes[k], sizes[some], self.percent)]].tolist():
+                        self.join(int(docs[k]), other)
+
+
+def bucket_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        column = {name: table.column(name).to_numpy() for name in ("shingle", "band", "id", "component", "part", "chunk")}
-        column["n"] = table.column("n").to_numpy().astype(np.int64)
-        column["home"] = table.column("home").to_numpy(zero_copy_only=False)
-        blobs = table.column("bits").combine_chunks()
-        found = []
-        for band in np.unique(column["band"]):
-            at = np.flatnonzero(column["band"] == band)
-            at = at[np.lexsort((column["id"][at], column["n"][at], column["part"][at], column["shingle"][at]))]
-            rows = {name: values[at] for name, values in column.items()}
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (rows["shingle"][1:] != rows["shingle"][:-1]) | (rows["part"][1:] != rows["part"][:-1])
-            rows["tile"] = np.cumsum(new)
-            bits = np.frombuffer(b"".join(blobs.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
-            found += of_band(rows, bits)
-        pairs = np.concatenate(found) if found else np.zeros((0, 6), np.int64)
-        if best and len(pairs):
-            pairs = pairs[np.lexsort((pairs[:, 5], pairs[:, 4], pairs[:, 3], pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
-            new = (np.diff(pairs[:, :3], axis=0, prepend=-1) != 0).any(axis=1)
-            pairs = pairs[new]
-        pairs = np.unique(pairs[:, 4:], axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    return run
-
-
-def _intersect(percent: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            linked = []
-            for first, second in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = unpack_sets([first])[0], unpack_sets([second])[0]
-                if len(x) > len(y):
-                    x, y = y, x
-                linked.append(bool(_links(int(_in_sorted(x, y).sum()), len(x), len(y), percent)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+        lists = table.column("tiles").combine_chunks()
+        bucket = _Bucket(table.select(["id", "set"]), percent)
+        # Places of the rows in the bucket's order of size.
+        order = np.lexsort((table.column("id").to_numpy(), pc.binary_length(table.column("set")).to_numpy()))
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        docs = place[np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())]
+        tile, band, home, chunk = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+        order = np.lexsort((docs, tile))
+        docs, tile, band, home, chunk = (c[order] for c in (docs, tile, band, home, chunk))
+        starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+        for lo, hi in zip(starts, [*starts[1:], len(tile)]):
+            if hi - lo > 1:
+                bucket.work(docs[lo:hi], home[lo:hi], chunk[lo:hi], int(band[lo]))
+        links = np.array(bucket.links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
 
     return run
 
 
-def _sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """The sets whose ids may be among ``ids``; most others do not reach the shuffle."""
-    full = sets.where("set IS NOT NULL").select("id", "set")
-    return with_filter(full, bit_filter(ids, "id"), "id", "wanted").where("wanted").drop("wanted")
-
-
-CHUNK_ROWS = 20_000
-
-
-def _tiles(sets: DataFrame, common: np.ndarray, labels: DataFrame, percent: int, groups: int) -> DataFrame:
-    """Stored tile rows of the documents that share a first shingle with another component.
-
-    The first shingles are found twice. The first time shows which of them are shared between components; these go
-    back in the order, so that passages which many documents quote hardly occur among the first the second time.
-    """
-
-    def shared_across(order: _Order) -> DataFrame:
-        entries = (
-            sets.where("set IS NOT NULL").select("id", "set").mapInArrow(_tile_entries(order, percent, groups), _ENTRY)
-            .groupBy("group").applyInArrow(lambda key, table: _grouped(key, _shared_shingles(table)),
-                                           "group long, id long, shingles binary"))
-        known = entries.join(labels, "id", "left").select(
-            "group", "id", F.coalesce("component", "id").alias("component"), "shingles")
-        return known.groupBy("group")
-
-    places = shared_across(_Order(common)).applyInArrow(
-        lambda table: _places(_across_components(table)), "at long")
-    bits = np.zeros(SHARED_BITS // 8, dtype=np.uint8)
-    for row in places.groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect():
-        part = np.frombuffer(bytes(row["bits"]), np.uint8)
-        bits[(row["b"] - 1) * len(part):row["b"] * len(part)] = part
-    across = stored(shared_across(_Order(common, bits)).applyInArrow(
-        _across_components, "id long, component long, shingles binary"), "across")
-    wanted = across.groupBy("id", "component").agg(F.collect_list("shingles").alias("lists"))
-    return stored(
-        _sets_of(sets, across.select("id")).join(wanted, "id").mapInArrow(_tile_rows(percent), _TILE), "tiles")
-
-
-def _places(table: pa.Table) -> pa.Table:
-    """Where the shingles of the rows fall in the filter of shared ones, from 1."""
-    shingles = np.unique(np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64))
-    return pa.table({"at": pa.array(np.unique(shared_position(shingles)) + 1, pa.int64())})
-
-
-def _grouped(key, table: pa.Table) -> pa.Table:
-    return table.add_column(0, "group", pa.array([key[0].as_py()] * table.num_rows, pa.int64()))
-
-
-def _candidates(tiles: DataFrame, labels: DataFrame | None, percent: int, best: bool, groups: int) -> DataFrame:
-    """Distinct pairs (a, b) to intersect; ``labels`` are newer components than those in the tiles. A tile of very many documents is cut into chunks, and its pairs of chunks
-    are worked on by different tasks."""
-    rows = tiles
-    if labels is not None:
-        rows = tiles.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    large = stored(tiles.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CHUNK_ROWS), "large")
-    if large.isEmpty():
-        cut = rows.withColumn("chunks", F.lit(1).cast("long"))
-    else:
-        cut = rows.join(large, ["shingle", "band"], "left").withColumn("chunks", F.coalesce(
-            F.ceil(F.col("rows") / CHUNK_ROWS).cast("long"), F.lit(1).cast("long"))).drop("rows")
-    cut = cut.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))).withColumn(
-        "with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
-    cut = cut.withColumn("part", F.when(low == high, -1 - low).otherwise(low * F.col("chunks") + high))
-    cut = cut.withColumn("group", F.pmod(F.xxhash64("shingle", "part"), F.lit(4 * groups)))
-    return cut.groupBy("group").applyInArrow(_tile_pairs(percent, best), "a long, b long").distinct()
-
-
 def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
@@ -520,31 +358,16 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
     spark = docs.sparkSession
     key, largest = own_keys(docs, id_col)
     sets = stored(shingle_sets(docs, key, length, text_col), "sets")
-    volume = sets.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
-    groups = max(shuffle_parts(spark), volume * (100 - percent) // 100 * 16 // GROUP_BYTES + 1)
-    common = common_shingles(sets)
+    reps = distinct_sets(sets)
+    led = led_documents(sets, reps, common_shingles(sets), percent)
+    volume = led.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    buckets = max(shuffle_parts(spark), volume * 6 // GROUP_BYTES + 1)
+    members = stored(tile_members(led, percent, buckets), "members")
+    links = _narrowed(reps, members, "id").join(members, "id").groupBy("bucket").applyInArrow(
+        bucket_links(percent), "a long, b long")
     equal = sets.where("n > 0").select("digest", "id")
     first = equal.groupBy("digest").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    edges = stored(
-        equal.join(first, "digest").select("a", F.col("id").alias("b"))
-        .unionByName(pivot_links(sets, _Order(common), percent)).distinct(), "links")
-    labels = components(edges)
-    tiles = _tiles(sets, common, labels, percent, groups)
-    tested = None
-    for best in (True, False):
-        pairs = _candidates(tiles, None if best else labels, percent, best, groups)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        wanted = _sets_of(sets, ids)
-        both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(
-            wanted.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-        tested = stored(both.mapInArrow(_intersect(percent), "a long, b long, linked boolean"), "tested")
-        edges = edges.unionByName(tested.where("linked").select("a", "b"))
-        labels = components(edges)
+    labels = components(links.unionByName(equal.join(first, "digest").select("a", F.col("id").alias("b"))))
     found = sets.join(labels, "id", "left").select(
         "id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     known = lambda name: F.col(name) if largest is None else F.when(F.col(name) <= largest, F.col(name))

@@ -99,9 +99,7 @@ def test_jaccard_components(docs, rows):
 
 
 def test_jaccard_chains_and_chunks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CHUNK_ROWS", 10)
-    monkeypatch.setattr(jaccard, "SALT_ROWS", 7)
-    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "CHUNK_DOCS", 10)
     rng = np.random.default_rng(3)
     rows = []
     for base in range(3):
