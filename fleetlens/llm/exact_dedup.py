@@ -2,20 +2,24 @@
 
 The history's digests are dealt into buckets by their leading bytes. Every bucket gets its own minimal perfect hash: a
 ladder of bit arrays, in which a digest owns the first level where it falls alone; the rank of that bit is its slot.
-A slot stores the full digest and where the winner is. A digest that is looked up lands on one slot; only if the bytes
-of the digest there are equal is it a member. Members take the slot's winner, the others are grouped by digest.
+A slot stores the full digest, where the winner is and how many copies there are. A digest that is looked up lands on one slot; only if the bytes
+of the digest there are equal is it a member. Members are settled in their slot, which keeps the winner and the number of
+copies; nonmembers are grouped by digest on their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.text import SPACE, mix, stored
 
 BUCKET_KEYS = 50_000
+DIGEST = 32
 _GAMMA = 2.0
 
 
@@ -68,64 +72,101 @@ def apply_function(packed: bytes, digests: list[bytes]) -> np.ndarray:
     return slots
 
 
-def _build_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    packed, slots = build_function(rows["digest"].tolist())
-    out = rows.assign(slot=slots, function=None)
-    head = rows.head(1).assign(slot=-1, function=packed, digest=None)
-    return pd.concat([head, out])[["bucket", "slot", "function", "digest", "winner", "copies"]]
+def _key(place: dict) -> tuple:
+    return place["last"], place["doc_id"], place["row"]
 
 
-def _look_up(asked: pd.DataFrame, functions: pd.DataFrame) -> pd.DataFrame:
-    function = functions["function"].iloc[0] if len(functions) else b""
-    slot = apply_function(function, asked["digest"].tolist()) if len(asked) else []
-    return asked.assign(slot=slot)[["digest", "winner", "copies", "bucket", "slot"]]
+def _combined(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal digests of a batch as one row: the winner among them and their number."""
+    for batch in stream:
+        found: dict[bytes, list] = {}
+        for digest, place in zip(batch.column("digest").to_pylist(), batch.column("place").to_pylist()):
+            known = found.setdefault(digest, [place, 0])
+            known[1] += 1
+            if _key(place) < _key(known[0]):
+                known[0] = place
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.binary()), pa.array([w for w, _ in found.values()], batch.schema.field("place").type),
+                 pa.array([n for _, n in found.values()], pa.int64())], names=["digest", "winner", "copies"])
 
 
-def _bucket(buckets: int) -> Column:
-    """From bytes of the digest that the hash ladder does not use."""
-    return (F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long") % buckets).cast("int")
+def _build_bucket(table: pa.Table) -> pa.Table:
+    """The bucket's function, and its digests, winners and copies in the order of their slots."""
+    packed, slots = build_function(table.column("digest").to_pylist())
+    order = np.empty(len(slots), dtype=np.int64)
+    order[slots] = np.arange(len(slots))
+    ordered = table.take(pa.array(order)).combine_chunks()
+    ends = pa.array([0, len(slots)], pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays(ordered.column(c).chunks)) for c in ("winner", "copies")]
+    return pa.table({
+        "bucket": table.column("bucket").slice(0, 1), "function": pa.array([packed], pa.binary()),
+        "digests": pa.array([b"".join(ordered.column("digest").to_pylist())], pa.binary()),
+        "winners": lists[0], "copies": lists[1]})
 
 
-def _by_digest(rows: DataFrame) -> DataFrame:
-    """One row per digest: its winner and its number of rows, combined before the shuffle."""
-    return rows.groupBy("digest").agg(F.min("place").alias("winner"), F.count(F.lit(1)).alias("copies"))
+def _look_up(asked: pa.Table, index: pa.Table) -> pa.Table:
+    """Every slot with what the lookups add to it (settled), and the digests that no slot holds (not settled).
 
+    A digest lands on one slot at most and is a member only if the bytes there are its own.
+    """
+    digests, winners, copies = [], [], []
+    function = b""
+    for row in index.to_pylist():
+        function, stored_digests = row["function"], row["digests"]
+        digests = [stored_digests[k:k + DIGEST] for k in range(0, len(stored_digests), DIGEST)]
+        winners, copies = list(row["winners"]), list(row["copies"])
+    outside = []
+    wanted = asked.column("digest").to_pylist()
+    slots = apply_function(function, wanted).tolist() if wanted else []
+    asked_winners, asked_copies = asked.column("winner").to_pylist(), asked.column("copies").to_pylist()
+    for k, slot in enumerate(slots):
+        if slot >= 0 and digests[slot] == wanted[k]:
+            copies[slot] += asked_copies[k]
+            if _key(asked_winners[k]) < _key(winners[slot]):
+                winners[slot] = asked_winners[k]
+        else:
+            outside.append(k)
+    return pa.table({
+        "digest": pa.array(digests + [wanted[k] for k in outside], pa.binary()),
+        "winner": pa.array(winners + [asked_winners[k] for k in outside], asked.schema.field("winner").type),
+        "copies": pa.array(copies + [asked_copies[k] for k in outside], pa.int64()),
+        "settled": pa.array([True] * len(digests) + [False] * len(outside), pa.bool_())})
 
-def build_index(distinct: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, slot, function, digest, winner, copies) for distinct digests (digest, winner, copies).
 
-    A bucket's row with slot -1 carries its packed function; the others are the slots.
-    """
+def _bucket(buckets: int) -> Column:
+    """From bytes of the digest that the hash ladder does not use."""
+    return (F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long") % buckets).cast("int").alias("bucket")
+
+
+def build_index(distinct: DataFrame, buckets: int) -> DataFrame:
+    """One row per bucket of distinct digests (digest, winner, copies): its packed function and its slots."""
     place = distinct.schema["winner"].dataType.simpleString()
-    built = distinct.withColumn("bucket", _bucket(buckets)).groupBy("bucket").applyInPandas(
-        _build_bucket, f"bucket int, slot long, function binary, digest binary, winner {place}, copies long")
+    built = distinct.select(_bucket(buckets), "digest", "winner", "copies").groupBy("bucket").applyInArrow(
+        _build_bucket, f"bucket int, function binary, digests binary, winners array<{place}>, copies array<long>")
     return stored(built, "mph-index")
 
 
 def winners(history: DataFrame, incoming: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """One row (digest, winner, copies) per distinct digest of both inputs (digest, place).
 
-    Incoming rows are combined by digest first, so a text with a third of all rows is looked up once. The bucket
-    count follows the larger number of distinct digests, so a bucket's keys and questions fit a task at any size.
+    The history is one row per digest and fills the slots. Incoming rows are combined within their batch only, so a
+    text with a third of all rows comes as few rows; members are settled by their slot, and nonmembers are grouped
+    by digest on their own. The bucket count follows the larger number of rows, so a bucket fits a task at any size.
     """
-    keys, asked = stored(_by_digest(history), "mph-keys"), stored(_by_digest(incoming), "mph-asked")
+    keys = stored(history.groupBy("digest").agg(
+        F.min("place").alias("winner"), F.count(F.lit(1)).alias("copies")), "mph-keys")
+    place = keys.schema["winner"].dataType.simpleString()
+    asked = stored(incoming.select("digest", "place").mapInArrow(
+        _combined, f"digest binary, winner {place}, copies long"), "mph-asked")
     buckets = max(1, -(-max(keys.count(), asked.count()) // bucket_keys))
     index = build_index(keys, buckets)
-    place = asked.schema["winner"].dataType.simpleString()
-    placed = (
-        asked.withColumn("bucket", _bucket(buckets)).groupBy("bucket")
-        .cogroup(index.where("slot < 0").select("bucket", "function").groupBy("bucket"))
-        .applyInPandas(_look_up, f"digest binary, winner {place}, copies long, bucket int, slot long").alias("a")
-    )
-    found = placed.join(
-        index.where("slot >= 0").select("bucket", "slot", "digest", "winner", "copies").alias("s"),
-        (F.col("a.bucket") == F.col("s.bucket")) & (F.col("a.slot") == F.col("s.slot"))
-        & (F.col("a.digest") == F.col("s.digest")), "full_outer")
-    return found.select(
-        F.coalesce("a.digest", "s.digest").alias("digest"),
-        F.least("a.winner", "s.winner").alias("winner"),
-        (F.coalesce("a.copies", F.lit(0)) + F.coalesce("s.copies", F.lit(0))).alias("copies"),
-    )
+    found = stored(
+        asked.select(_bucket(buckets), "digest", "winner", "copies").groupBy("bucket").cogroup(index.groupBy("bucket"))
+        .applyInArrow(_look_up, f"digest binary, winner {place}, copies long, settled boolean"), "mph-found")
+    outside = found.where("NOT settled").groupBy("digest").agg(
+        F.min("winner").alias("winner"), F.sum("copies").alias("copies"))
+    return found.where("settled").drop("settled").unionByName(outside)
 
 
 def exact_dedup(docs: DataFrame, is_history: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

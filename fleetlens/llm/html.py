@@ -1,7 +1,7 @@
 """Main text of web pages by scoring the element tree.
 
 Every paragraph gives points, for being one, for its length and for its commas, to the elements around it: all of them
-to its parent, half to the grandparent, less to those above. An element's points are discounted by the share of its
+to its parent, half to the grandparent, half of that to the next above and so on. An element's points are discounted by the share of its
 text that is link text. The best container and those of its siblings that look like part of the article are kept; menus,
 notices, comments and the like do not take part. Elements of some tags are left out wherever they stand; a form, or an
 element that only a word of its class or id speaks against, is left out unless it holds the article.
@@ -9,8 +9,10 @@ element that only a word of its class or id speaks against, is left out unless i
 
 from __future__ import annotations
 
+import bisect
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from fleetlens.llm.text import slices
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_ENDS = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -89,6 +91,65 @@ def _block_points(block: str, link: int) -> float:
     return points * (1.0 - min(1.0, link / len(block)))
 
 
+class _TagEnds:
+    """Where tags end: at the first ``>`` outside quotes. Every quote of a page is looked at once."""
+
+    def __init__(self, page: str):
+        self._marks = [(m.start(), m[0]) for m in _ENDS.finditer(page)]
+        self._at = [at for at, _ in self._marks]
+        # From the last mark back: where a tag ends that gets to this mark outside quotes, -1 if nowhere.
+        self._end = [-1] * (len(self._marks) + 1)
+        later = {'"': len(self._marks), "'": len(self._marks)}
+        for k in range(len(self._marks) - 1, -1, -1):
+            at, mark = self._marks[k]
+            if mark == ">":
+                self._end[k] = at
+            else:
+                closing = later[mark]
+                self._end[k] = self._end[closing + 1] if closing < len(self._marks) else -1
+                later[mark] = k
+
+    def after(self, at: int) -> int:
+        return self._end[bisect.bisect_left(self._at, at)]
+
+
+class _Stack:
+    """Open elements (tag, number), with the places of each tag and of the elements that are not inline."""
+
+    def __init__(self):
+        self.items: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.block_places = [0]
+
+    def push(self, tag: str, number: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag not in _INLINE:
+            self.block_places.append(len(self.items))
+        self.items.append((tag, number))
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of these tags, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, until: int) -> int:
+        """Closes what is open from a place on; how many links were among it."""
+        links = 0
+        for tag, _ in self.items[until:]:
+            if tag:
+                self.places[tag].pop()
+                links += tag == "a"
+        del self.items[until:]
+        while self.block_places[-1] >= until:
+            self.block_places.pop()
+        return links
+
+    def forget(self, place: int) -> None:
+        """Closes an inline element alone; what it was around stays open."""
+        tag, number = self.items[place]
+        self.places[tag].pop()
+        self.items[place] = ("", number)
+
+
 class _Tree:
     """Elements that are not dropped, and the blocks of text in page order.
 
@@ -102,8 +163,10 @@ class _Tree:
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters of link text
 
     def parse(self, page: str) -> None:
-        stack: list[tuple[str, int]] = [("#root", 0)]  # open elements that are not dropped
+        stack = _Stack()  # open elements that are not dropped
+        ends = _TagEnds(page)
         dropped: list[str] = []  # open elements inside a dropped one, that one first
+        within: Counter[str] = Counter()  # how many of each tag are in ``dropped``
         text: list[str] = []
         link = [0, 0]  # open links, characters inside links
 
@@ -111,7 +174,7 @@ class _Tree:
             if text:
                 block = " ".join("".join(text).split())
                 if block:
-                    self.blocks.append((next(n for t, n in reversed(stack) if t not in _INLINE), block, link[1]))
+                    self.blocks.append((stack.items[stack.block_places[-1]][1], block, link[1]))
                 text.clear()
                 link[1] = 0
 
@@ -124,42 +187,53 @@ class _Tree:
 
         def close(until: int):
             flush()
-            link[0] -= sum(1 for t, _ in stack[until:] if t == "a")
-            del stack[until:]
+            link[0] -= stack.cut(until)
 
-        at = 0
-        while (found := _TOKEN.search(page, at)) is not None:
-            add(page[at:found.start()])
-            at = found.end()
+        at = looked = 0
+        while (found := _MARKUP.search(page, looked)) is not None:
             tag = found[2]
             if tag is None:
+                add(page[at:found.start()])
+                at = looked = found.end()
+                continue
+            end = ends.after(found.end())
+            if end < 0:  # never closed, so it is text
+                looked = found.start() + 1
                 continue
+            add(page[at:found.start()])
+            at = looked = end + 1
+            inner = page[found.end():end]
             tag, ending = tag.lower(), found[1] == "/"
             if dropped:
                 if not ending:
                     if tag in _RAW:
-                        at = self._skip_raw(page, at, tag)
+                        at = looked = self._skip_raw(page, at, tag)
                     elif tag == "body":
                         dropped.clear()
-                    elif tag not in _VOID and not found[3].endswith("/"):
+                        within.clear()
+                    elif tag not in _VOID and not inner.endswith("/"):
                         dropped.append(tag)
+                        within[tag] += 1
                     continue
-                if tag in dropped:
-                    del dropped[len(dropped) - 1 - dropped[::-1].index(tag):]
+                if within[tag]:
+                    while (name := dropped.pop()) != tag:
+                        within[name] -= 1
+                    within[tag] -= 1
                     continue
                 # the end of something around the dropped element ends it as well
-                if not any(t == tag for t, _ in stack) or tag in _INLINE or tag == "p":
+                if not stack.last((tag,)) or tag in _INLINE or tag == "p":
                     continue
                 dropped.clear()
+                within.clear()
             if ending:
                 if tag == "br":
                     text.append(" ")
                     continue
-                place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
+                place = stack.last((tag,))
                 if place and tag in _INLINE:
-                    if all(t in _INLINE for t, _ in stack[place:]):
+                    if stack.block_places[-1] < place:
                         link[0] -= tag == "a"
-                        del stack[place]
+                        stack.forget(place)
                 elif place:
                     close(place)
                 continue
@@ -169,35 +243,36 @@ class _Tree:
                     if tag == "hr":
                         flush()
                 continue
-            if tag in _INLINE and not found[3]:
-                stack.append((tag, stack[-1][1]))
+            if tag in _INLINE and not inner:
+                stack.push(tag, stack.items[-1][1])
                 continue
-            attributes = _attributes(found[3])
+            attributes = _attributes(inner)
             if tag not in _INLINE:
                 self._imply(stack, tag, close)
                 flush()
             if tag in _RAW:
-                at = self._skip_raw(page, at, tag)
+                at = looked = self._skip_raw(page, at, tag)
                 continue
             doubt = _doubt(tag, attributes) if self.words else 0
-            if _is_dropped(tag, attributes) or doubt and (tag in _INLINE or found[3].endswith("/")):
-                if not found[3].endswith("/"):
+            if _is_dropped(tag, attributes) or doubt and (tag in _INLINE or inner.endswith("/")):
+                if not inner.endswith("/"):
                     dropped.append(tag)
+                    within[tag] += 1
                     self.inline_dropped |= bool(doubt)
                 continue
             if tag in _INLINE:
-                stack.append((tag, stack[-1][1]))
+                stack.push(tag, stack.items[-1][1])
                 link[0] += tag == "a"
                 continue
             if tag == "body" and self.doubts:
-                open_doubt = next((k for k, (t, n) in enumerate(stack) if n in self.doubts and t not in _INLINE), 0)
+                open_doubt = next((k for k in stack.block_places if stack.items[k][1] in self.doubts), 0)
                 if open_doubt:
                     close(open_doubt)
-            self.parents.append(stack[-1][1])
+            self.parents.append(stack.items[-1][1])
             self.tags.append(tag)
             if doubt:
                 self.doubts[len(self.tags) - 1] = doubt
-            stack.append((tag, len(self.parents) - 1))
+            stack.push(tag, len(self.parents) - 1)
         add(page[at:])
         flush()
 
@@ -207,24 +282,18 @@ class _Tree:
         return end.end() if end else len(page)
 
     @staticmethod
-    def _imply(stack, tag: str, close) -> None:
+    def _imply(stack: _Stack, tag: str, close) -> None:
         """Ends the paragraph or item that an opening block tag ends without saying so."""
-        for k in range(len(stack) - 1, 0, -1):
-            name = stack[k][0]
-            if name == "p":
-                close(k)
-                break
-            if name not in _INLINE:
-                break
+        nearest = stack.block_places[-1]
+        if stack.items[nearest][0] == "p":
+            close(nearest)
         if tag in _CLOSES:
             ends, barriers = _CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in barriers:
+            barrier = stack.last(barriers)
+            while (place := stack.last(ends)) > barrier:
+                close(place)
+                if tag != "tr":
                     break
-                if stack[k][0] in ends:
-                    close(k)
-                    if tag != "tr":
-                        break
 
     def leave_out(self) -> None:
         """Takes away the blocks of doubtful elements, but for those that hold the article.
@@ -279,20 +348,20 @@ class _Tree:
         self.blocks = [b for b in self.blocks if near[b[0]] not in out]
 
     def points(self) -> list[float]:
-        """Score of every element."""
+        """Score of every element: what its own blocks give, and half the score of each of its children.
+
+        A paragraph's points go to its parent. Children come after their parents, so one pass from the end does.
+        """
         size, linked, points = ([0.0] * len(self.tags) for _ in range(3))
         for element, block, link in self.blocks:
-            own = _block_points(block, link)
-            level, at = 0, element
-            if self.tags[element] in _PARAGRAPHS:
-                size[element] += len(block)
-                linked[element] += link
-                at = self.parents[element]
-            while at >= 0:
-                points[at] += own if level == 0 else own / 2 if level == 1 else own / (3 * level)
-                size[at] += len(block)
-                linked[at] += link
-                level, at = level + 1, self.parents[at]
+            size[element] += len(block)
+            linked[element] += link
+            points[self.parents[element] if self.tags[element] in _PARAGRAPHS else element] += _block_points(block, link)
+        for at in range(len(self.tags) - 1, 0, -1):
+            parent = self.parents[at]
+            points[parent] += points[at] / 2
+            size[parent] += size[at]
+            linked[parent] += linked[at]
         for at, tag in enumerate(self.tags):
             if points[at]:
                 points[at] = (points[at] + _LIKELY_BONUS.get(tag, 0.0)) * (1.0 - min(1.0, linked[at] / max(1.0, size[at])))
@@ -327,14 +396,10 @@ class _Tree:
                     keep = points[k] >= least and (self.tags[best] not in ("article", "main") or tag == self.tags[best])
                 if keep:
                     kept.add(k)
-        lines = []
-        for element, block, _ in self.blocks:
-            at = element
-            while at >= 0 and at not in kept:
-                at = self.parents[at]
-            if at >= 0:
-                lines.append(block)
-        return "\n".join(lines)
+        inside = [False] * len(self.tags)
+        for at, parent in enumerate(self.parents):
+            inside[at] = at in kept or parent >= 0 and inside[parent]
+        return "\n".join(block for element, block, _ in self.blocks if inside[element])
 
 
 def main_text(page: str | None) -> str:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpus_pipeline import near
@@ -36,6 +37,25 @@ def test_exact_dedup(docs, rows):
         assert Counter(r.text_sha256 for r in found if r.kept) == Counter(dict.fromkeys(groups, 1))
 
 
+def test_the_slots_decide(spark, monkeypatch):
+    """Members are settled by their slot alone: if no digest lands on its own, none is recognised."""
+    digest = lambda k: hashlib.sha256(str(k).encode()).digest()
+    place = lambda k: {"last": False, "doc_id": k, "row": k}
+    schema = "digest binary, place struct<last: boolean, doc_id: long, row: long>"
+    history = spark.createDataFrame([(digest(k % 50), place(k)) for k in range(100, 200)], schema)
+    incoming = spark.createDataFrame([(digest(k % 80), place(k)) for k in range(90)], schema).repartition(3)
+    wanted = {digest(d): (min(k for k in range(200) if k % (50 if k >= 100 else 80) == d and (k < 90 or k >= 100)),
+                          sum(k % 80 == d for k in range(90)) + 2 * (d < 50)) for d in range(80)}
+    found = exact_dedup.winners(history, incoming, bucket_keys=20).collect()
+    assert {bytes(r.digest): (r.winner.doc_id, r.copies) for r in found} == wanted and len(found) == 80
+    table = pa.table({"digest": [digest(k) for k in range(10)], "winner": [place(k) for k in range(10)], "copies": [1] * 10,
+                      "bucket": [0] * 10})
+    index = exact_dedup._build_bucket(table)
+    assert all(exact_dedup._look_up(table, index).column("settled").to_pylist())
+    monkeypatch.setattr(exact_dedup, "apply_function", lambda packed, digests: np.arange(len(digests))[::-1])
+    assert exact_dedup._look_up(table, index).column("settled").to_pylist().count(False) >= 8
+
+
 def test_exact_dedup_of_nothing(no_docs):
     assert exact_dedup.middle_id(no_docs) is None
     assert exact_dedup.exact_dedup(no_docs, F.lit(True)).count() == 0

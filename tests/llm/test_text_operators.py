@@ -1,6 +1,8 @@
 """Fingerprints, packing, sharding, mixing, extraction, token counts and languages against brute force."""
 
 import hashlib
+import random
+import time
 import zlib
 from collections import Counter
 
@@ -301,6 +303,41 @@ def test_count_tokens(docs, rows, no_docs):
     assert token_counts.count_tokens(no_docs, tokenizer_path(VOCABULARY)).count() == 0
 
 
+@pytest.mark.parametrize("probe", [
+    "<a x ", "<div><p>", "<b>x", "<li>x", "<i><b>x</i>", "<td>", '<a x="', "<nav></x>", "</x>", "<p>a<div>b", "<form><p>x"])
+def test_pages_take_time_in_proportion(probe):
+    """Twice the page takes about twice the time; with the square it would take four times as long."""
+    times = []
+    for k in (10_000, 20_000, 40_000):
+        started = time.process_time()
+        html.main_text(probe * k)
+        times.append(time.process_time() - started)
+    assert times[2] < 0.2 or times[2] < 8 * times[0], times
+
+
+def test_ends_of_tags():
+    """Against a plain scan from every place."""
+    rng = random.Random(2)
+    for _ in range(300):
+        page = "".join(rng.choice("a <>\"'") for _ in range(rng.randint(0, 14)))
+        ends = html._TagEnds(page)
+        for at in range(len(page) + 1):
+            quote, end = "", -1
+            for k in range(at, len(page)):
+                if quote:
+                    quote = "" if page[k] == quote else quote
+                elif page[k] in "\"'":
+                    quote = page[k]
+                elif page[k] == ">":
+                    end = k
+                    break
+            assert ends.after(at) == end
+
+
+def test_no_pages(spark):
+    assert html.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 # --- languages ------------------------------------------------------------------------------------
 
 
