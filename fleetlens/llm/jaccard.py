@@ -6,15 +6,15 @@ a shingle among its first leads it; a tile is a leader and a band of sizes, and
 the band below that share a first shingle with the leader. So documents that resemble each other meet in few tiles,
 however many shingles they share, and each brings its set there once.
 
-In a tile, bitmaps of hashed shingles bound every overlap from above; what passes is intersected exactly, there and
-then. Only the components of the links are wanted: a task joins what it finds linked, does not look again at documents
-it has joined, and hands out the links that joined two parts, fewer than it has documents. A tile with too many
+In a tile, bitmaps of hashed shingles bound every overlap from above. Documents that a bound does not tell apart are
+joined to groups; of the pairs of a tile only as many go out as it takes to join them, fewer than it has documents. Every
+link is within such a group. Each group then meets once more, now with its sets: what passes the bounds is intersected
+exactly, there and then, and again only those links go out that join two parts. A tile or a group with too many
 documents, or too much of them, is cut into chunks, and its pairs of chunks are worked on by different tasks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +33,6 @@ SHINGLE = 5
 PERCENT = 80
 COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
-MOST_WORDS = 64
 CHUNK_DOCS = 2_000
 CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 32_000_000
@@ -160,11 +159,6 @@ def _first_shingles(values: np.ndarray, common: np.ndarray, percent: int) -> np.
     return values[:count]
 
 
-def band_of(n: Column, percent: int) -> Column:
-    """Sizes that can link are in the same band or in neighbouring ones."""
-    return F.floor(F.log(n) / -math.log(percent / 100.0) + 1e-9).cast("int")
-
-
 def _links(overlap, a, b, percent: int):
     """Whether 100 * intersection >= percent * union."""
     return overlap * (100 + percent) >= percent * (a + b)
@@ -202,63 +196,90 @@ def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return with_filter(df, bit_filter(keys, column), column, "_wanted").where("_wanted").drop("_wanted")
 
 
-def led_documents(sets: DataFrame, reps: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+def led_documents(reps: DataFrame, signed: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     """(leader, id, n, band), stored: each document with the leaders of those of its first shingles that it shares."""
     entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
     shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
         "leader < other").select("shingle", "leader"), "shared")
     led = _narrowed(entries, shared, "shingle").join(shared, "shingle").select("leader", "id").distinct()
-    sizes = sets.where("set IS NOT NULL").groupBy("id").agg(F.max("n").alias("n"), F.min("n").alias("least"))
-    both = F.explode(F.array_distinct(F.array("n", "least"))).alias("n")
-    return stored(led.join(sizes, "id").select("leader", "id", both).withColumn("band", band_of(F.col("n"), percent)), "led")
+    return stored(led.join(signed.select("id", "n", "band").distinct(), "id"), "led")
+
+
+def _parted(df: DataFrame) -> DataFrame:
+    """``df`` with the pairs of chunks (``part``) that a document is in, and its chunk; -1 where both are the same."""
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    both = df.withColumn("chunk", chunk).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
+    return both.withColumns({"part": low * F.col("chunks") + high, "chunk": F.when(low < high, F.col("chunk")).otherwise(F.lit(-1))})
 
 
-def tile_members(led: DataFrame, percent: int, buckets: int) -> DataFrame:
+def _chunks(docs: str, volume: str) -> Column:
+    return F.greatest(F.ceil(F.col(docs) / CHUNK_DOCS), F.ceil(F.col(volume) * 6 / CHUNK_BYTES)).cast("long").alias("chunks")
+
+
+def tile_members(led: DataFrame, buckets: int) -> DataFrame:
     """(bucket, id, tiles), one row per document and bucket of tiles.
 
-    A tile needs documents at home in its band, and two documents at least. Tiles are cut into chunks by the number and
-    the volume of their documents; a document goes to every pair of chunks that its own is in.
+    A tile needs documents at home in its band, and two documents at least.
     """
     homes = led.groupBy("leader", "band").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("volume"))
     one = F.lit(1).cast("int")
     tiles = homes.withColumn("home", F.col("docs")).unionByName(
         homes.withColumns({"band": F.col("band") + one, "home": F.lit(0).cast("long")})).groupBy("leader", "band").agg(
         F.sum("docs").alias("docs"), F.sum("volume").alias("volume"), F.sum("home").alias("home")).where(
-        "home > 0 AND docs > 1").select(
-        "leader", F.col("band").alias("tile"),
-        F.greatest(F.ceil(F.col("docs") / CHUNK_DOCS), F.ceil(F.col("volume") * 6 / CHUNK_BYTES)).cast("long").alias("chunks"))
-    there = led.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + one))).join(tiles, ["leader", "tile"])
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    parts = there.withColumn("chunk", chunk).withColumn(
-        "with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    low, high = F.least("chunk", "with"), F.greatest("chunk", "with")
-    parts = parts.withColumn("part", low * F.col("chunks") + high)
+        "home > 0 AND docs > 1").select("leader", F.col("band").alias("tile"), _chunks("docs", "volume"))
+    there = _parted(
+        led.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + one))).join(tiles, ["leader", "tile"]))
     member = F.struct(
         F.xxhash64("leader", "tile", "part").alias("tile"), F.col("tile").alias("band"),
-        (F.col("tile") == F.col("band")).alias("home"), F.when(low < high, F.col("chunk")).otherwise(F.lit(-1)).alias("chunk"))
-    return parts.groupBy(F.pmod(F.xxhash64("leader", "part"), F.lit(buckets)).alias("bucket"), "id").agg(
+        (F.col("tile") == F.col("band")).alias("home"), F.col("chunk").cast("long").alias("chunk"))
+    return there.groupBy(F.pmod(F.xxhash64("leader", "part"), F.lit(buckets)).alias("bucket"), "id").agg(
         F.collect_list(member).alias("tiles"))
 
 
-def signature_words(band: int, percent: int) -> int:
-    """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set, up to MOST_WORDS.
+def group_members(groups: DataFrame, signed: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, id, tiles), one row per document and bucket of groups; a group is one tile."""
+    sized = groups.join(signed.select("id", "n").distinct(), "id")
+    sizes = sized.groupBy("component").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("volume")).select("component", _chunks("docs", "volume"))
+    member = F.struct(
+        F.xxhash64("component", "part").alias("tile"), F.lit(0).alias("band"), F.lit(True).alias("home"),
+        F.col("chunk").cast("long").alias("chunk"))
+    return _parted(sized.select("id", "component").distinct().join(sizes, "component")).groupBy(
+        F.pmod(F.xxhash64("component", "part"), F.lit(buckets)).alias("bucket"), "id").agg(F.collect_list(member).alias("tiles"))
 
-    Beyond the limit the bounds are looser and more pairs are intersected.
-    """
+
+def signature_words(band: int, percent: int) -> int:
+    """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set."""
     largest = (100.0 / percent) ** (band + 1)
-    return int(min(MOST_WORDS, max(1, 2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))))
+    return int(2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))
+
+
+def signature(values: np.ndarray, words: int) -> np.ndarray:
+    bits = np.zeros(words * 64, dtype=np.uint8)
+    bits[(mix(values, 9) % np.uint64(words * 64)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.uint64)
+
 
+def folded(blobs: list[np.ndarray], words: int) -> np.ndarray:
+    """Bitmaps of ``words`` words as rows; a wider one is laid over itself, so that a shingle has one bit as before."""
+    return np.stack([np.bitwise_or.reduce(b.reshape(-1, words), axis=0) if len(b) > words else b for b in blobs])
 
-def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Bitmaps of MOST_WORDS words, a row per set; ``folded`` makes narrower ones of them."""
-    bits = np.zeros((len(ends) - 1, MOST_WORDS * 64), dtype=bool)
-    bits[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), (mix(values, 9) % np.uint64(MOST_WORDS * 64)).astype(np.int64)] = True
-    return np.packbits(bits, axis=1).view(np.uint64)
 
+def _signed(percent: int):
+    """(id, n, band, bits) of every set; the bitmap is as wide as the band above needs it."""
 
-def folded(bits: np.ndarray, words: int) -> np.ndarray:
-    """Bitmaps of ``words`` words, in which a shingle has one bit as before."""
-    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, values, ends in _per_set(stream):
+            sizes = np.diff(ends)
+            bands = [int(np.floor(np.log(n) / -np.log(percent / 100.0) + 1e-9)) for n in sizes]
+            bits = [signature(values[lo:hi], signature_words(band + 1, percent)).tobytes()
+                    for lo, hi, band in zip(ends[:-1], ends[1:], bands)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(sizes, pa.int32()), pa.array(bands, pa.int32()), pa.array(bits, pa.binary())],
+                names=["id", "n", "band", "bits"])
+
+    return run
 
 
 def overlap_bounds(one: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
@@ -269,78 +290,92 @@ def overlap_bounds(one: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarra
 
 
 class _Bucket:
-    """The documents of a bucket, in order of size, and which of them are known to be joined."""
+    """The documents of a bucket, in order of size, their tiles, and which of them are joined."""
 
-    def __init__(self, table: pa.Table, percent: int):
-        sizes = pc.binary_length(table.column("set")).to_numpy()
+    def __init__(self, table: pa.Table, sizes: np.ndarray, percent: int):
         order = np.lexsort((table.column("id").to_numpy(), sizes))
-        table = table.take(pa.array(order))
-        self.percent, self.ids = percent, table.column("id").to_numpy()
-        self.values, self.ends = unpack_sets(table.column("set").to_pylist())
-        self.sizes = np.diff(self.ends)
-        self.root = np.arange(len(self.ids))
-        self.bits = np.concatenate([
-            signatures(self.values[self.ends[lo]:self.ends[hi]], self.ends[lo:hi + 1] - self.ends[lo])
-            for lo in range(0, len(self.ids), 1000) for hi in [min(lo + 1000, len(self.ids))]])
+        table, self.sizes = table.take(pa.array(order)), sizes[order]
+        self.table, self.percent, self.ids = table, percent, table.column("id").to_numpy()
+        self.root = np.arange(len(order))
         self.links: list[tuple[int, int]] = []
 
-    def overlaps(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Sizes of the exact intersections."""
-        mine = self.values[self.ends[one]:self.ends[one + 1]]
-        lengths = self.sizes[others]
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        at = np.arange(lengths.sum()) - np.repeat(starts - self.ends[others], lengths)
-        return np.add.reduceat(_in_sorted(self.values[at], mine).astype(np.int64), starts)
+    def tiles(self) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+        """(documents, band, whether at home, chunk) of every tile in which not all are joined yet."""
+        lists = self.table.column("tiles").combine_chunks()
+        docs = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        tile, band, home, chunk = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+        order = np.lexsort((docs, tile))
+        docs, tile, band, home, chunk = (c[order] for c in (docs, tile, band, home, chunk))
+        starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])[:len(tile)])
+        for lo, hi in zip(starts, [*starts[1:], len(tile)]):
+            if (self.root[docs[lo:hi]] != self.root[docs[lo]]).any():
+                yield docs[lo:hi], int(band[lo]), home[lo:hi], chunk[lo:hi]
 
-    def join(self, one: int, other: int) -> None:
-        if self.root[one] != self.root[other]:
-            self.links.append((int(self.ids[one]), int(self.ids[other])))
-            self.root[self.root == self.root[other]] = self.root[one]
+    def join(self, one: int, others: np.ndarray) -> None:
+        for other in others.tolist():
+            if self.root[one] != self.root[other]:
+                self.links.append((int(self.ids[one]), int(self.ids[other])))
+                self.root[self.root == self.root[other]] = self.root[one]
 
-    def work(self, docs: np.ndarray, home: np.ndarray, chunk: np.ndarray, band: int) -> None:
+    def work(self, docs: np.ndarray, bits: np.ndarray, home: np.ndarray, chunk: np.ndarray, linked) -> None:
         """All pairs of a tile that may link: of close sizes, one at home, from different chunks if there are two."""
-        if (self.root[docs] == self.root[docs[0]]).all():
-            return
         sizes = self.sizes[docs]
-        bits = folded(self.bits[docs], signature_words(band, self.percent))
         ahead = np.searchsorted(sizes, 100 * sizes // self.percent, side="right")
         for k in range(len(docs) - 1):
             others = np.arange(k + 1, ahead[k])
             others = others[
                 (self.root[docs[others]] != self.root[docs[k]]) & (home[k] | home[others])
                 & ((chunk[others] != chunk[k]) | (chunk[k] < 0))]
-            if not len(others):
-                continue
-            bound = overlap_bounds(bits[k], bits[others], sizes[k], sizes[others])
-            others = others[_links(bound, sizes[k], sizes[others], self.percent)]
-            volume = np.cumsum(sizes[others]) >> 20
-            for lo in np.flatnonzero(np.diff(volume, prepend=-1)):
-                some = others[lo:np.searchsorted(volume, volume[lo], side="right")]
-                some = some[self.root[docs[some]] != self.root[docs[k]]]
-                if len(some):
-                    overlap = self.overlaps(int(docs[k]), docs[some])
-                    for other in docs[some[_links(overlap, sizes[k], sizes[some], self.percent)]].tolist():
-                        self.join(int(docs[k]), other)
+            if len(others):
+                bound = overlap_bounds(bits[k], bits[others], sizes[k], sizes[others])
+                others = others[_links(bound, sizes[k], sizes[others], self.percent)]
+            if len(others):
+                linked(int(docs[k]), docs[others])
+
+    def found(self) -> pa.Table:
+        links = np.array(self.links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
+
 
+def _possible_links(percent: int):
+    """Of the documents (id, n, bits, tiles) of a bucket, what joins those that the bounds do not tell apart."""
 
-def bucket_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        lists = table.column("tiles").combine_chunks()
-        bucket = _Bucket(table.select(["id", "set"]), percent)
-        # Places of the rows in the bucket's order of size.
-        order = np.lexsort((table.column("id").to_numpy(), pc.binary_length(table.column("set")).to_numpy()))
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        docs = place[np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())]
-        tile, band, home, chunk = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
-        order = np.lexsort((docs, tile))
-        docs, tile, band, home, chunk = (c[order] for c in (docs, tile, band, home, chunk))
-        starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
-        for lo, hi in zip(starts, [*starts[1:], len(tile)]):
-            if hi - lo > 1:
-                bucket.work(docs[lo:hi], home[lo:hi], chunk[lo:hi], int(band[lo]))
-        links = np.array(bucket.links, dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
+        bucket = _Bucket(table, table.column("n").to_numpy().astype(np.int64), percent)
+        blobs = [np.frombuffer(b, np.uint64) for b in bucket.table.column("bits").to_pylist()]
+        for docs, band, home, chunk in bucket.tiles():
+            bits = folded([blobs[k] for k in docs], signature_words(band, percent))
+            bucket.work(docs, bits, home, chunk, bucket.join)
+        return bucket.found()
+
+    return run
+
+
+def _exact_links(percent: int):
+    """Of the documents (id, set, tiles) of a bucket, links that join all that are linked."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = _Bucket(table, pc.binary_length(table.column("set")).to_numpy().astype(np.int64) // 6, percent)
+        values, ends = unpack_sets(bucket.table.column("set").to_pylist())
+
+        def intersect(one: int, others: np.ndarray) -> None:
+            mine, volume = values[ends[one]:ends[one + 1]], np.cumsum(bucket.sizes[others]) >> 20
+            for lo in np.flatnonzero(np.diff(volume, prepend=-1)):
+                some = others[lo:np.searchsorted(volume, volume[lo], side="right")]
+                some = some[bucket.root[some] != bucket.root[one]]
+                if not len(some):
+                    continue
+                lengths = bucket.sizes[some]
+                starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+                at = np.arange(lengths.sum()) - np.repeat(starts - ends[some], lengths)
+                overlap = np.add.reduceat(_in_sorted(values[at], mine).astype(np.int64), starts)
+                bucket.join(one, some[_links(overlap, len(mine), lengths, percent)])
+
+        for docs, _, home, chunk in bucket.tiles():
+            words = int(2 ** np.ceil(np.log2(max(1.0, 2 * bucket.sizes[docs[-1]] / 64))))
+            bits = np.stack([signature(values[ends[k]:ends[k + 1]], words) for k in docs])
+            bucket.work(docs, bits, home, chunk, intersect)
+        return bucket.found()
 
     return run
 
@@ -359,12 +394,21 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
     key, largest = own_keys(docs, id_col)
     sets = stored(shingle_sets(docs, key, length, text_col), "sets")
     reps = distinct_sets(sets)
-    led = led_documents(sets, reps, common_shingles(sets), percent)
-    volume = led.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
-    buckets = max(shuffle_parts(spark), volume * 6 // GROUP_BYTES + 1)
-    members = stored(tile_members(led, percent, buckets), "members")
+    signed = stored(reps.mapInArrow(_signed(percent), "id long, n int, band int, bits binary"), "signed")
+    led = led_documents(reps, signed, common_shingles(sets), percent)
+
+    def buckets(rows: DataFrame, share: int) -> int:
+        volume = rows.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+        return max(shuffle_parts(spark), volume * 6 // share // GROUP_BYTES + 1)
+
+    # A document has about a bit for every shingle here, and its set below.
+    members = tile_members(led, buckets(led, 8))
+    possible = members.join(signed.select("id", "n", "bits"), "id").groupBy("bucket").applyInArrow(
+        _possible_links(percent), "a long, b long")
+    groups = stored(components(possible), "groups")
+    members = stored(group_members(groups, signed, buckets(groups.join(signed, "id"), 1)), "members")
     links = _narrowed(reps, members, "id").join(members, "id").groupBy("bucket").applyInArrow(
-        bucket_links(percent), "a long, b long")
+        _exact_links(percent), "a long, b long")
     equal = sets.where("n > 0").select("digest", "id")
     first = equal.groupBy("digest").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     labels = components(links.unionByName(equal.join(first, "digest").select("a", F.col("id").alias("b"))))
