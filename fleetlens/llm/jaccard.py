@@ -196,13 +196,13 @@ def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return with_filter(df, bit_filter(keys, column), column, "_wanted").where("_wanted").drop("_wanted")
 
 
-def led_documents(reps: DataFrame, signed: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+def led_documents(reps: DataFrame, sized: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     """(leader, id, n, band), stored: each document with the leaders of those of its first shingles that it shares."""
     entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
     shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
         "leader < other").select("shingle", "leader"), "shared")
     led = _narrowed(entries, shared, "shingle").join(shared, "shingle").select("leader", "id").distinct()
-    return stored(led.join(signed.select("id", "n", "band").distinct(), "id"), "led")
+    return stored(led.join(sized.distinct(), "id"), "led")
 
 
 def _parted(df: DataFrame) -> DataFrame:
@@ -237,15 +237,15 @@ def tile_members(led: DataFrame, buckets: int) -> DataFrame:
         F.collect_list(member).alias("tiles"))
 
 
-def group_members(groups: DataFrame, signed: DataFrame, buckets: int) -> DataFrame:
+def group_members(groups: DataFrame, sized: DataFrame, buckets: int) -> DataFrame:
     """(bucket, id, tiles), one row per document and bucket of groups; a group is one tile."""
-    sized = groups.join(signed.select("id", "n").distinct(), "id")
-    sizes = sized.groupBy("component").agg(
+    known = groups.join(sized.select("id", "n").distinct(), "id")
+    sizes = known.groupBy("component").agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("volume")).select("component", _chunks("docs", "volume"))
     member = F.struct(
         F.xxhash64("component", "part").alias("tile"), F.lit(0).alias("band"), F.lit(True).alias("home"),
         F.col("chunk").cast("long").alias("chunk"))
-    return _parted(sized.select("id", "component").distinct().join(sizes, "component")).groupBy(
+    return _parted(known.select("id", "component").distinct().join(sizes, "component")).groupBy(
         F.pmod(F.xxhash64("component", "part"), F.lit(buckets)).alias("bucket"), "id").agg(F.collect_list(member).alias("tiles"))
 
 
@@ -266,18 +266,34 @@ def folded(blobs: list[np.ndarray], words: int) -> np.ndarray:
     return np.stack([np.bitwise_or.reduce(b.reshape(-1, words), axis=0) if len(b) > words else b for b in blobs])
 
 
+def _band(n: int, percent: int) -> int:
+    """Sizes that can link are in the same band or in neighbouring ones."""
+    return int(np.floor(np.log(n) / -np.log(percent / 100.0) + 1e-9))
+
+
+def _sized(percent: int):
+    """(id, n, band) of every set."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in stream:
+            sizes = pc.binary_length(part.column("set")).to_numpy() // 6
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(sizes, pa.int32()), pa.array([_band(n, percent) for n in sizes], pa.int32())],
+                names=["id", "n", "band"])
+
+    return run
+
+
 def _signed(percent: int):
-    """(id, n, band, bits) of every set; the bitmap is as wide as the band above needs it."""
+    """(id, n, bits) of every set; the bitmap is as wide as the band above needs it."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, values, ends in _per_set(stream):
             sizes = np.diff(ends)
-            bands = [int(np.floor(np.log(n) / -np.log(percent / 100.0) + 1e-9)) for n in sizes]
-            bits = [signature(values[lo:hi], signature_words(band + 1, percent)).tobytes()
-                    for lo, hi, band in zip(ends[:-1], ends[1:], bands)]
+            bits = [signature(values[lo:hi], signature_words(_band(hi - lo, percent) + 1, percent)).tobytes()
+                    for lo, hi in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes, pa.int32()), pa.array(bands, pa.int32()), pa.array(bits, pa.binary())],
-                names=["id", "n", "band", "bits"])
+                [part.column("id"), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["id", "n", "bits"])
 
     return run
 
@@ -394,19 +410,19 @@ def jaccard_components(docs: DataFrame, length: int = SHINGLE, percent: int = PE
     key, largest = own_keys(docs, id_col)
     sets = stored(shingle_sets(docs, key, length, text_col), "sets")
     reps = distinct_sets(sets)
-    signed = stored(reps.mapInArrow(_signed(percent), "id long, n int, band int, bits binary"), "signed")
-    led = led_documents(reps, signed, common_shingles(sets), percent)
+    sized = stored(reps.mapInArrow(_sized(percent), "id long, n int, band int"), "sized")
+    led = led_documents(reps, sized, common_shingles(sets), percent)
 
     def buckets(rows: DataFrame, share: int) -> int:
         volume = rows.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
         return max(shuffle_parts(spark), volume * 6 // share // GROUP_BYTES + 1)
 
-    # A document has about a bit for every shingle here, and its set below.
-    members = tile_members(led, buckets(led, 8))
-    possible = members.join(signed.select("id", "n", "bits"), "id").groupBy("bucket").applyInArrow(
-        _possible_links(percent), "a long, b long")
+    # A document has some bits for every shingle here, and its set below.
+    members = stored(tile_members(led, buckets(led, 8)), "members")
+    bits = _narrowed(reps, members, "id").mapInArrow(_signed(percent), "id long, n int, bits binary")
+    possible = members.join(bits, "id").groupBy("bucket").applyInArrow(_possible_links(percent), "a long, b long")
     groups = stored(components(possible), "groups")
-    members = stored(group_members(groups, signed, buckets(groups.join(signed, "id"), 1)), "members")
+    members = stored(group_members(groups, sized, buckets(groups.join(sized, "id"), 1)), "members")
     links = _narrowed(reps, members, "id").join(members, "id").groupBy("bucket").applyInArrow(
         _exact_links(percent), "a long, b long")
     equal = sets.where("n > 0").select("digest", "id")

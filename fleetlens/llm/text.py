@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 MEMO_WORDS = 300_000
-FILTER_BITS = 1 << 23
+BITS_PER_ROW = 16
+MOST_BITS = 1 << 26
 BATCH_ROWS = 1_000
 
 
@@ -53,27 +55,36 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _position(column: Column) -> Column:
+@dataclass(frozen=True)
+class BitFilter:
+    """Which values a column has, as rows of 4 kB of bits; how many bits there are."""
+
+    rows: DataFrame
+    bits: int
+
+
+def _position(column: Column, bits: int) -> Column:
     """Where a value falls in a bit filter, from 1."""
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    return F.pmod(F.xxhash64(column), F.lit(bits)) + 1
 
 
-def bit_filter(rows: DataFrame, column: str) -> DataFrame:
-    """A bit filter of FILTER_BITS bits over a column, as at most FILTER_BITS / 2 ** 15 rows of 4 kB."""
-    at = rows.select(_position(F.col(column)).alias("at"))
-    return stored(at.groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")), "filter")
+def bit_filter(rows: DataFrame, column: str) -> BitFilter:
+    """A filter over a column with about BITS_PER_ROW bits a row, up to MOST_BITS, beyond which it tells less."""
+    bits = 1 << (max(1 << 16, min(MOST_BITS, BITS_PER_ROW * rows.count())) - 1).bit_length()
+    at = rows.select(_position(F.col(column), bits).alias("at"))
+    return BitFilter(stored(at.groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")), "filter"), bits)
 
 
-def with_filter(df: DataFrame, filtered: DataFrame, column: str, name: str) -> DataFrame:
-    """``df`` with whether the column's value may be in the filter: always true if it is, sometimes if it is not.
+def with_filter(df: DataFrame, filtered: BitFilter, column: str, name: str) -> DataFrame:
+    """``df`` with whether the column's value may be in the filter: always true if it is, seldom if it is not.
 
-    The filter is broadcast; its size is fixed, 1 MB, whatever it was made from.
+    The filter is broadcast; it has at most MOST_BITS bits, whatever it was made from.
     """
-    at = _position(F.col(column))
+    at = _position(F.col(column), filtered.bits)
     bit = F.bitmap_bit_position(at)
     byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    joined = df.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(filtered), "_bucket", "left")
+    joined = df.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(filtered.rows), "_bucket", "left")
     found = F.coalesce(F.bit_get(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
     return joined.withColumn(name, found).drop("_bucket", "_bits")
 

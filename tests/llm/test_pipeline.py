@@ -1,5 +1,6 @@
 """The pipeline's stages: what they keep, in which columns, on awkward rows."""
 
+import math
 import re
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from fleetlens.llm import jaccard
+from fleetlens.llm import jaccard, language
 from test_dedup import brute_components
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,9 +33,41 @@ def stages(spark, start, tmp_path_factory):
     return out
 
 
-def test_language_stage_drops_texts_without_letters_only(stages):
-    kept = Counter(map(tuple, stages[1]))
-    assert kept == Counter(tuple(r) for r in stages[0] if r.text and any(map(str.isalpha, r.text)))
+def phrases(word: str, sample: str) -> int:
+    """Longest matches in the sample that the word falls into, by looking for every substring."""
+    count = at = 0
+    while at < len(word):
+        size = 1
+        while at + size < len(word) and word[at:at + size + 1] in sample:
+            size += 1
+        count, at = count + 1, at + size
+    return count
+
+
+def decided(rows, samples) -> Counter:
+    """Rows that one language parses with at least half of the weight."""
+    bits = {name: math.log2(max(2, len(text))) for name, text in samples.items()}
+    costs, kept = {}, Counter()
+    for row in rows:
+        words = re.findall(r"[^\W\d_]+", (row.text or "").lower())
+        if words:
+            for word in set(words):
+                if word not in costs:
+                    costs[word] = {name: phrases(f" {word} ", sample) for name, sample in samples.items()}
+            total = {name: sum(costs[w][name] for w in words) * bits[name] for name in samples}
+            least = min(total.values())
+            weight = {name: 2.0 ** max(-1000.0, least - b) for name, b in total.items()}
+            if max(weight.values()) / sum(weight.values()) >= pipeline.LEAST_SCORE:
+                kept[tuple(row)] += 1
+    return kept
+
+
+def test_language_stage_keeps_what_is_decided(spark, start, stages):
+    samples = language.labelled_sample(start, ~language.held_out())
+    assert len(samples) == 3
+    wanted = decided(stages[0], samples)
+    assert Counter(map(tuple, stages[1])) == wanted
+    assert 0 < sum(wanted.values()) < sum(bool(r.text and any(map(str.isalpha, r.text))) for r in stages[0])
 
 
 def test_language_stage_without_labels_drops_texts_without_letters_only(spark, start):
