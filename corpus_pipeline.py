@@ -16,17 +16,24 @@ def _decided(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     return docs.join(decisions, F.col("doc_id").eqNullSafe(F.col("_id")), "inner")
 
 
+# A language is decided if its parse weighs at least as much as all others together.
+LEAST_SCORE = 0.5
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or letters go. Labels of the held-out fold are not learned from.
+    """Documents whose language is decided: the predicted one has a score of LEAST_SCORE or more.
 
-    The language found does not replace the column ``lang``: the stage only keeps or drops, one row at a time. Where no
-    label can be learned from, every text with a letter stays.
+    What no language parses more cheaply than the others goes (texts of a word or two that several languages share, and
+    what is no language), as does what has no letter. Labels of the held-out fold are not learned from, and a
+    document's own label does not count. The language found does not replace the column ``lang``. Where no label can be
+    learned from, every text with a letter stays.
     """
     model = language.fit(docs, ~language.held_out())
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model, docs.columns, pred_col="_lang", score_col="_score")
-    return found.where(F.col("_lang") != language.UNKNOWN).select(docs.columns)
+    decided = (F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)
+    return found.where(decided).select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
