@@ -19,9 +19,11 @@ from fleetlens.operators import features as X
 from fleetlens.operators import joins as J
 from fleetlens.operators import scoring as G
 from fleetlens.operators import splits as S
+from fleetlens.plans import ensembles as T
+from fleetlens.plans import flows
 from fleetlens.plans import models as M
 from fleetlens.session import scratch_path, shared_dir
-from fleetlens.sources import roles
+from fleetlens.sources import bundles, roles
 from fleetlens.sources.materialize import load_or_build, written
 from fleetlens.sources.roles import table
 
@@ -108,9 +110,19 @@ def train_rf(spark, sf_dir):
     return consistent(held_out_scores(spark, sf_dir, forest()))
 
 
-@query("train_lr", _HELD_OUT)
+# No component of a logistic fit's gradient is larger; the same bound ends the search in other libraries.
+SLOPE = 1e-4
+
+
+@query("train_lr", f"SELECT vehicle_id, in_study_repair, true AS consistent, true AS optimal FROM ({_ROWS_SQL}) WHERE is_test")
 def train_lr(spark, sf_dir):
-    return consistent(held_out_scores(spark, sf_dir, logistic()))
+    """The hold-out rows, and whether the gradient over the training rows vanishes at the fitted coefficients."""
+    split = written(S.stratified_split(training_table(spark, sf_dir)), "split")
+    train = split.where(~F.col("is_test")).drop("is_test")
+    model = M.fit(train, logistic())
+    slope = M.largest_slope(model, model.features(M.with_weight(train, logistic().weight)))
+    scored = model.score(split.where("is_test")).select(P.ID, P.LABEL, "probability", "predicted")
+    return consistent(scored).withColumn("optimal", F.lit(slope <= SLOPE))
 
 
 _SETTINGS = ", ".join(
@@ -191,6 +203,82 @@ def feature_importance(spark, sf_dir):
         ((F.min("rank") == 1) & (F.max("rank") <= n)).alias("ranked"))
 
 
+@query("node_scores", f"SELECT vehicle_id, true AS same FROM ({_POSITIONS})")
+def node_scores(spark, sf_dir):
+    """Every labelled vehicle: walking the forest's node table gives the probability that the model gives."""
+    labelled = training_table(spark, sf_dir)
+    model = M.fit(labelled, forest())
+    prepared = written(model.features(labelled).select(P.ID, "features"), "features")
+    walked = T.score_by_nodes(prepared, model.pipeline.stages[-1], P.ID).withColumnRenamed("probability", "walked")
+    return model.score(labelled).select(P.ID, "probability").join(walked, P.ID, "left").select(
+        P.ID, F.coalesce(F.abs(F.col("walked") - F.col("probability")) < 1e-9, F.lit(False)).alias("same"))
+
+
+@query("split_importance", """
+  SELECT (SELECT count(DISTINCT c_mktsegment) FROM customer WHERE c_custkey % 50 <> 0) AS segments,
+         (SELECT count(DISTINCT n_name) FROM customer JOIN nation ON c_nationkey = n_nationkey
+          WHERE c_custkey % 50 <> 0) AS companies,
+         true AS sums_to_one, true AS all_splits""")
+def split_importance(spark, sf_dir):
+    """Importance by splits: a slot per category, shares of one, and as many splits as the model's trees have."""
+    model = M.fit(training_table(spark, sf_dir), forest())
+    trees = model.pipeline.stages[-1]
+    counted = T.split_counts(T.node_table(trees)).agg(F.coalesce(F.sum("splits"), F.lit(0)).alias("counted"))
+    inner = sum(tree.numNodes // 2 for tree in trees.trees)
+    return M.split_importance(model).agg(
+        F.count_if(F.col("feature").startswith("spec_0_")).alias("segments"),
+        F.count_if(F.col("feature").startswith("company_name_")).alias("companies"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one")).crossJoin(
+        counted.select((F.col("counted") == inner).alias("all_splits")))
+
+
+@query("promotion", """
+  SELECT step, (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 0) AS scored, true AS consistent
+  FROM (VALUES ('first'), ('second')) s(step)""")
+def promotion(spark, sf_dir):
+    """What a promotion leaves: the first always publishes, the second only if it wins; each is read back and scores all.
+
+    Consistent: the number of the newest bundle follows from the decisions, and its metrics, importance and model are
+    there and belong together.
+    """
+    labelled = training_table(spark, sf_dir)
+    path = scratch_path(spark, "bundle")
+    first = M.promote(labelled, path, None, logistic())
+    second = M.promote(labelled, path, logistic(), forest())
+    rows = None
+    for step, record in (("first", first), ("second", second or first)):
+        model = M.FittedModel.read_parts(record.folder)
+        metrics = spark.read.parquet(f"{record.folder}/metrics")
+        won = metrics.where("promoted AND model = 'challenger'").count() == 1
+        slots = spark.read.parquet(f"{record.folder}/importance").count()
+        report = spark.read.json(f"{record.folder}/report").count()
+        newest = bundles.latest(spark, path).number == (2 if second else 1) and record.number == (1 if step == "first" or not second else 2)
+        fits = won and newest and slots == len(M.feature_importance(model).collect()) and report == metrics.count()
+        scored = model.score(labelled).where(F.col("probability").between(0.0, 1.0)).agg(F.count(F.lit(1)).alias("scored"))
+        row = scored.select(F.lit(step).alias("step"), "scored", F.lit(fits).alias("consistent"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+REFIT_GRID, REFIT_DRAWN = {"numTrees": [100, 300], "maxDepth": [6, 10]}, 2
+
+
+@query("refit_settings", """
+  SELECT (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 0) AS samples, true AS from_grid, true AS same_model
+""")
+def refit_settings(spark, sf_dir):
+    """The training flow's final model has the settings of the search's best, and they are what its trees have."""
+    labelled = training_table(spark, sf_dir)
+    final, _ = flows.train(labelled, forest(), REFIT_GRID, REFIT_DRAWN)
+    split = written(S.stratified_split(labelled), "refit-split")
+    folded = written(S.stratified_folds(split.where(~F.col("is_test")).drop("is_test")), "refit-folds")
+    best, _, _ = M.randomized_search(folded, forest(), REFIT_GRID, REFIT_DRAWN)
+    trees = final.pipeline.stages[-1]
+    same = final.params == best and trees.getNumTrees == best["numTrees"] and max(t.depth for t in trees.trees) <= best["maxDepth"]
+    return labelled.agg(F.count(F.lit(1)).alias("samples")).withColumns({
+        "from_grid": F.lit(best in M.sample_grid(REFIT_GRID, REFIT_DRAWN)), "same_model": F.lit(same)})
+
+
 @query("benchmark_models", """
   SELECT model, (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 0) AS samples, true AS in_range, true AS ranked
   FROM (VALUES ('RandomForest'), ('GradientBoosting'), ('LogisticRegression')) m(model)""")

@@ -12,7 +12,6 @@ import itertools
 import json
 import random
 import time
-import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -27,11 +26,17 @@ from fleetlens import params as P
 from fleetlens.operators import evaluate as E
 from fleetlens.operators import preprocess as X
 from fleetlens.operators import splits as S
+from fleetlens.operators.reports import rank_importance
+from fleetlens.plans import ensembles as T
+from fleetlens.plans.parallel import side_by_side
 from fleetlens.session import ensure_checkpoint_dir
-from fleetlens.sources.materialize import written
-from fleetlens.sources.readers import exists
+from fleetlens.sources import bundles
+from fleetlens.sources.materialize import laid_out, written
+from fleetlens.sources.writers import write_report
 
 WEIGHT = "_weight"
+# Training passes over its rows once per tree level; each pass has a task per so many written bytes.
+ROWS_BYTES = 16 << 20
 
 
 # --- weights and estimators -----------------------------------------------------------------------
@@ -70,9 +75,13 @@ def random_forest(train: P.TrainParams = P.TRAIN) -> RandomForestClassifier:
 
 
 def logistic_regression(iterations: int = 2000) -> LogisticRegression:
-    """L2 strength is left open: ``fit`` sets it to 1 / sum of weights, a unit penalty against the sum of losses."""
+    """L2 strength is left open: ``fit`` sets it to 1 / sum of weights, a unit penalty against the sum of losses.
+
+    Spark's tolerance is on the change of the loss, so it is small here; ``largest_slope`` tells whether the fit is at
+    its minimum.
+    """
     return LogisticRegression(
-        maxIter=iterations, tol=1e-4, elasticNetParam=0.0, standardization=False, **_columns()
+        maxIter=iterations, tol=1e-10, elasticNetParam=0.0, standardization=False, **_columns()
     )
 
 
@@ -140,42 +149,50 @@ class FittedModel:
             probability.alias("probability"), (probability >= F.lit(threshold)).cast("int").alias("predicted"),
         )
 
-    def save(self, path: str) -> str:
-        """Write a new version below ``path`` and make it the current one; earlier versions stay.
+    def first_trees(self, trees: int) -> FittedModel:
+        """The model after ``trees`` rounds of boosting."""
+        stages = self.pipeline.stages
+        return FittedModel(
+            self.medians, self.categorical, self.kept,
+            PipelineModel([*stages[:-1], T.first_trees(stages[-1], trees)]), {**self.params, "maxIter": trees})
 
-        A version counts only once its entry in ``versions`` is written, after all of its parts, so a save that breaks
-        off leaves the model that was there. Returns the version's folder.
-        """
+    def features(self, df: DataFrame) -> DataFrame:
+        """``df`` with the vector ``features`` that the estimator reads."""
+        return PipelineModel(self.pipeline.stages[:-1]).transform(self.prepare(df))
+
+    def write_parts(self, folder: str) -> None:
+        """The pipeline and what preparation needs, below ``folder``."""
         spark = SparkSession.active()
-        earlier = FittedModel.versions(path)
-        folder = f"{path}/model-{uuid.uuid4().hex[:12]}"
         self.pipeline.write().save(f"{folder}/pipeline")
         meta = json.dumps({
             "medians": self.medians, "categorical": self.categorical, "kept": self.kept, "params": self.params,
         })
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.text(f"{folder}/preparation")
-        entry = json.dumps({"number": len(earlier) + 1, "folder": folder})
-        spark.createDataFrame([(entry,)], "value string").coalesce(1).write.mode("append").text(f"{path}/versions")
-        return folder
+
+    def save(self, path: str) -> str:
+        """Write a new version below ``path`` and make it the current one; earlier versions stay.
+
+        A version counts only once its record is there, after all of its parts, so a save that breaks off leaves the
+        model that was there, and of two savers each gets a number of its own. Returns the version's folder.
+        """
+        return bundles.publish(SparkSession.active(), path, self.write_parts).folder
 
     @staticmethod
     def versions(path: str) -> list[str]:
         """Folders of the complete versions below ``path``, oldest first."""
-        spark = SparkSession.active()
-        if not exists(spark, f"{path}/versions"):
-            return []
-        entries = [json.loads(r[0]) for r in spark.read.text(f"{path}/versions").collect()]
-        return [e["folder"] for e in sorted(entries, key=lambda e: e["number"])]
+        return [record.folder for record in bundles.records(SparkSession.active(), path)]
 
     @staticmethod
     def load(path: str, back: int = 0) -> FittedModel:
         """The current model at ``path``, or the one ``back`` versions before it; a missing model is an error."""
-        spark = SparkSession.active()
         folders = FittedModel.versions(path)
         if len(folders) <= back:
             raise FileNotFoundError(f"no model at {path}")
-        folder = folders[-1 - back]
-        meta = json.loads(spark.read.text(f"{folder}/preparation").first()[0])
+        return FittedModel.read_parts(folders[-1 - back])
+
+    @staticmethod
+    def read_parts(folder: str) -> FittedModel:
+        meta = json.loads(SparkSession.active().read.text(f"{folder}/preparation").first()[0])
         return FittedModel(
             meta["medians"], meta["categorical"], meta["kept"], PipelineModel.load(f"{folder}/pipeline"), meta["params"]
         )
@@ -244,7 +261,7 @@ def _prepare(df: DataFrame, spec: ModelSpec) -> _Prepared:
     prepared = X.cap_categories(X.impute(df, medians, categorical), kept)
     features = Pipeline(stages=_stages(categorical, list(medians), spec.scaled)).fit(prepared)
     weighted = features.transform(with_weight(prepared, spec.weight)).select("features", P.LABEL, WEIGHT)
-    return _Prepared(medians, categorical, kept, features, written(weighted, "training-rows"))
+    return _Prepared(medians, categorical, kept, features, laid_out(weighted, "training-rows", ROWS_BYTES))
 
 
 def fit(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> FittedModel:
@@ -255,27 +272,32 @@ def fit(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> FittedMod
 # --- cross-validation, search, threshold ----------------------------------------------------------
 
 
+def _fold_numbers(folded: DataFrame) -> list[int]:
+    return sorted(r[0] for r in folded.select("fold").distinct().collect())
+
+
+def _fold_scores(folded: DataFrame, spec: ModelSpec, params: dict | None, k: int) -> DataFrame:
+    """Scores of one fold, written, so that no plan holds the trees of more than one fit."""
+    model = fit(folded.where(F.col("fold") != k).drop("fold"), spec, params)
+    scored = model.score(folded.where(F.col("fold") == k))
+    return written(scored.select(P.ID, P.LABEL, "fold", "probability", "predicted"), "fold-scores")
+
+
 def out_of_fold(folded: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
-    """Score each row with the model that did not train on its ``fold``."""
+    """Score each row with the model that did not train on its ``fold``. The folds are fitted side by side."""
     folded = written(folded, "folds")
-    folds = sorted(r[0] for r in folded.select("fold").distinct().collect())
-    parts = []
-    for k in folds:
-        model = fit(folded.where(F.col("fold") != k).drop("fold"), spec, params)
-        parts.append(model.score(folded.where(F.col("fold") == k)).select(
-            P.ID, P.LABEL, "fold", "probability", "predicted"
-        ))
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    return scored
+    parts = side_by_side(folded.sparkSession, [
+        functools.partial(_fold_scores, folded, spec, params, k) for k in _fold_numbers(folded)])
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def cross_validated_metrics(folded: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
     """One row: the six metrics averaged over the folds, with the model name."""
-    scored = written(out_of_fold(folded, spec, params), "out-of-fold")
-    per_fold = E.evaluation(scored, by=["fold"])
-    return E.mean_over_folds(per_fold.withColumn("model", F.lit(spec.name)))
+    return _mean_metrics(out_of_fold(folded, spec, params), spec)
+
+
+def _mean_metrics(scored: DataFrame, spec: ModelSpec) -> DataFrame:
+    return E.mean_over_folds(E.evaluation(scored, by=["fold"]).withColumn("model", F.lit(spec.name)))
 
 
 TREE_GRID, CHALLENGER_GRID = P.TREE_GRID, P.CHALLENGER_GRID
@@ -289,30 +311,53 @@ def sample_grid(grid: dict[str, list], n: int, seed: int = P.TRAIN.seed) -> list
     return [dict(zip(names, values)) for values in chosen]
 
 
+def _staged(settings: Sequence[dict]) -> list[tuple[dict, dict[int, list[int]]]]:
+    """Settings that differ in their number of rounds only, as one: the longest, and which settings want how many."""
+    groups: dict[tuple, dict[int, list[int]]] = {}
+    for number, setting in enumerate(settings):
+        others = tuple(sorted((k, v) for k, v in setting.items() if k != "maxIter"))
+        groups.setdefault(others, {}).setdefault(setting.get("maxIter", 0), []).append(number)
+    return [({**dict(others), **({"maxIter": max(rounds)} if max(rounds) else {})}, rounds) for others, rounds in groups.items()]
+
+
 def randomized_search(
     folded: DataFrame, spec: ModelSpec, grid: dict[str, list], n: int, seed: int = P.TRAIN.seed
 ) -> tuple[dict, float, list[tuple[dict, float]]]:
     """Best setting, its mean ROC AUC and every sampled setting with its score.
 
     Imputation, categories, scaling and weights are fitted inside each fold, on its training rows alone, and shared by
-    the settings. The areas are exact. Nothing is refitted on all rows; ``fit`` does that where it is wanted.
+    the settings. Boosted settings that differ in ``maxIter`` alone are one fit a fold, scored after as many trees as
+    each of them asks for. Fits run side by side. The areas are exact. Nothing is refitted on all rows; ``fit`` does
+    that where it is wanted.
     """
     settings = sample_grid(grid, n, seed)
     folded = written(folded, "search-folds")
-    scored = []
-    for k in sorted(r[0] for r in folded.select("fold").distinct().collect()):
-        prepared = _prepare(folded.where(F.col("fold") != k).drop("fold"), spec)
-        test = folded.where(F.col("fold") == k)
-        for number, setting in enumerate(settings):
-            part = prepared.model(spec, setting).score(test).select(P.LABEL, "probability", "predicted")
+    spark, folds = folded.sparkSession, _fold_numbers(folded)
+    prepared = dict(zip(folds, side_by_side(spark, [
+        functools.partial(_prepare, folded.where(F.col("fold") != k).drop("fold"), spec) for k in folds])))
+    boosted = isinstance(spec.estimator(), GBTClassifier)
+    stages = _staged(settings) if boosted else [(s, {0: [i]}) for i, s in enumerate(settings)]
+
+    def scores(k: int, longest: dict, rounds: dict[int, list[int]]) -> list[DataFrame]:
+        model = prepared[k].model(spec, longest)
+        test, parts = folded.where(F.col("fold") == k), []
+        for trees, numbers in rounds.items():
+            part = (model.first_trees(trees) if trees else model).score(test).select(P.LABEL, "probability", "predicted")
             # Written at once, so that no plan holds the trees of more than one setting.
-            scored.append(written(part.withColumns({"fold": F.lit(k), "setting": F.lit(number)}), "search-scores"))
+            parts.append(written(part.withColumns({
+                "fold": F.lit(k), "setting": F.explode(F.array(*[F.lit(i) for i in numbers]))}), "search-scores"))
+        return parts
+
+    # The longest fits first, so that none of them is left over at the end.
+    tasks = [(k, longest, rounds) for longest, rounds in sorted(
+        stages, key=lambda s: -s[0].get("maxIter", 0) * s[0].get("maxDepth", 1)) for k in folds]
+    scored = [part for parts in side_by_side(spark, [functools.partial(scores, *t) for t in tasks]) for part in parts]
     everything = functools.reduce(DataFrame.unionByName, scored)
     areas = E.ranking_metrics(everything, by=["setting", "fold"]).groupBy("setting").agg(F.avg("roc_auc").alias("roc_auc"))
     means = {r["setting"]: r["roc_auc"] for r in areas.collect()}
-    scores = [(setting, means.get(number)) for number, setting in enumerate(settings)]
-    best, score = max(scores, key=lambda pair: -1.0 if pair[1] is None else pair[1])
-    return best, score, scores
+    found = [(setting, means.get(number)) for number, setting in enumerate(settings)]
+    best, score = max(found, key=lambda pair: -1.0 if pair[1] is None else pair[1])
+    return best, score, found
 
 
 def optimal_threshold(df: DataFrame, spec: ModelSpec, params: dict | None = None) -> DataFrame:
@@ -326,19 +371,13 @@ def optimal_threshold(df: DataFrame, spec: ModelSpec, params: dict | None = None
 # --- importance -----------------------------------------------------------------------------------
 
 
-def feature_importance(model: FittedModel) -> DataFrame:
-    """(feature, importance) named from the vector metadata; one row per vector slot.
-
-    A linear model reports the size of its coefficients.
-    """
+def _slot_names(model: FittedModel) -> list[tuple[int, str]]:
+    """(slot, name) of the feature vector, from its metadata."""
     spark = SparkSession.active()
-    classifier = model.pipeline.stages[-1]
-    sample = {**dict.fromkeys(model.medians, "double"), **dict.fromkeys(model.categorical, "string")}
-    empty = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in sample.items()))
+    empty = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in model.input_columns().items()))
     transformed = PipelineModel(model.pipeline.stages[:-1]).transform(empty)
     groups = transformed.schema["features"].metadata["ml_attr"]["attrs"]
     attributes = sorted((a for group in groups.values() for a in group), key=lambda a: a["idx"])
-    weights = classifier.featureImportances if hasattr(classifier, "featureImportances") else classifier.coefficients
     numeric = list(model.medians)
 
     def name_of(attribute: dict) -> str:
@@ -349,45 +388,151 @@ def feature_importance(model: FittedModel) -> DataFrame:
                 return numeric[int(tail)] if prefix != "_hot_" and tail.isdigit() else tail
         return name
 
-    rows = [(name_of(a), float(abs(weights[a["idx"]]))) for a in attributes]
-    return spark.createDataFrame(rows, "feature string, importance double")
+    return [(a["idx"], name_of(a)) for a in attributes]
+
+
+def split_importance(model: FittedModel) -> DataFrame:
+    """(feature, importance) by the share of the ensemble's splits that ask for a feature, counted on its node table."""
+    spark = SparkSession.active()
+    counts = T.split_counts(T.node_table(model.pipeline.stages[-1]))
+    total = counts.agg(F.sum("splits").alias("total"))
+    names = spark.createDataFrame(_slot_names(model), "slot int, name string")
+    splits = F.coalesce(F.col("splits"), F.lit(0))
+    return names.join(counts, F.col("slot") == F.col("feature"), "left").crossJoin(F.broadcast(total)).select(
+        F.col("name").alias("feature"), F.coalesce(splits / F.col("total"), F.lit(0.0)).alias("importance"))
+
+
+def feature_importance(model: FittedModel) -> DataFrame:
+    """(feature, importance) named from the vector metadata; one row per vector slot.
+
+    A tree model reports gains, or shares of splits where no split has a gain; a linear model reports the size of its
+    coefficients.
+    """
+    classifier = model.pipeline.stages[-1]
+    by_gain = hasattr(classifier, "featureImportances")
+    weights = classifier.featureImportances if by_gain else classifier.coefficients
+    if by_gain and not any(weights.toArray()):
+        return split_importance(model)
+    rows = [(name, float(abs(weights[slot]))) for slot, name in _slot_names(model)]
+    return SparkSession.active().createDataFrame(rows, "feature string, importance double")
+
+
+def largest_slope(model: FittedModel, rows: DataFrame) -> float:
+    """The largest component of the gradient of the logistic loss at the model's coefficients, over its training rows.
+
+    The loss is the weighted mean of the rows' losses and half of ``regParam`` times the squared coefficients, without
+    the intercept. Zero means that no change of the coefficients lowers it. One pass: every vector slot's share of a
+    row is summed where the row is, so what is shuffled is one row per slot and task.
+    """
+    fitted = model.pipeline.stages[-1]
+    total = rows.agg(F.sum(WEIGHT)).first()[0]
+    if not total:
+        return 0.0
+    coefficients = [float(c) for c in fitted.coefficients]
+    cells = vector_to_array("features")
+    betas = F.array(*[F.lit(c) for c in coefficients])
+    margin = F.aggregate(F.zip_with(cells, betas, lambda x, c: x * c), F.lit(fitted.intercept), lambda a, b: a + b)
+    off = F.col(WEIGHT) * (1.0 / (1.0 + F.exp(-margin)) - F.col(P.LABEL)) / total
+    # The intercept is a slot whose cell is always one.
+    slots = rows.select(off.alias("off"), F.posexplode(F.concat(cells, F.array(F.lit(1.0)))).alias("slot", "cell"))
+    slopes = slots.groupBy("slot").agg(F.sum(F.col("off") * F.col("cell")).alias("slope"))
+    pull = fitted.getRegParam() * F.coalesce(F.try_element_at(betas, F.col("slot") + 1), F.lit(0.0))
+    return slopes.agg(F.max(F.abs(F.col("slope") + pull))).first()[0]
 
 
 # --- comparison -----------------------------------------------------------------------------------
 
 
-def champion_challenger(
+@dataclass
+class Comparison:
+    """Metrics of both models on one hold-out with the flag ``promoted``, the fitted challenger, and the decision."""
+
+    metrics: DataFrame
+    challenger: FittedModel
+    promoted: bool
+
+
+def compare_models(
     df: DataFrame, champion: ModelSpec | None, challenger: ModelSpec, challenger_params: dict | None = None
-) -> tuple[DataFrame, bool]:
-    """Metrics of both models on one hold-out, and whether the challenger is promoted.
+) -> Comparison:
+    """Both models on one hold-out.
 
-    Both train on the same training rows. The challenger wins with a strictly higher ROC AUC, or without a champion.
+    Both train on the same training rows, side by side. The challenger wins with a strictly higher ROC AUC, or without
+    a champion.
     """
     split = written(S.stratified_split(df), "comparison-split")
     train, test = split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
-    scored = None
-    for role, spec, params in (("champion", champion, None), ("challenger", challenger, challenger_params)):
-        if spec is None:
-            continue
-        part = fit(train, spec, params).score(test).select(P.ID, P.LABEL, "probability", "predicted")
-        part = part.withColumn("model", F.lit(role))
-        scored = part if scored is None else scored.unionByName(part)
-    metrics = E.evaluation(written(scored, "hold-out-scores"), by=["model"])
+    roles = [r for r in (("champion", champion, None), ("challenger", challenger, challenger_params)) if r[1] is not None]
+    models = side_by_side(df.sparkSession, [functools.partial(fit, train, spec, params) for _, spec, params in roles])
+    scored = functools.reduce(DataFrame.unionByName, [
+        written(model.score(test).select(P.ID, P.LABEL, "probability", "predicted"), "hold-out-scores")
+        .withColumn("model", F.lit(role)) for model, (role, _, _) in zip(models, roles)])
+    metrics = E.evaluation(scored, by=["model"])
     areas = {r["model"]: r["roc_auc"] for r in metrics.select("model", "roc_auc").collect()}
     promoted = champion is None or (areas["challenger"] or 0.0) > (areas["champion"] or 0.0)
-    return metrics.withColumn("promoted", (F.col("model") == "challenger") & F.lit(promoted)), promoted
+    flagged = metrics.withColumn("promoted", (F.col("model") == "challenger") & F.lit(promoted))
+    return Comparison(flagged, models[-1], promoted)
+
+
+def champion_challenger(
+    df: DataFrame, champion: ModelSpec | None, challenger: ModelSpec, challenger_params: dict | None = None
+) -> tuple[DataFrame, bool]:
+    """Metrics of both models on one hold-out, and whether the challenger is promoted."""
+    found = compare_models(df, champion, challenger, challenger_params)
+    return found.metrics, found.promoted
+
+
+def promote(
+    df: DataFrame, path: str, champion: ModelSpec | None, challenger: ModelSpec, challenger_params: dict | None = None
+) -> bundles.Record | None:
+    """Compare, and publish the challenger at ``path`` if it wins: model, metrics, importance and report as one bundle.
+
+    The challenger is refitted on all labelled rows before it is published, as the model that was there was. What was
+    there stays as the version before. The bundle appears with its record, after all of its parts; if another bundle
+    was published since this comparison began, nothing is, and ``bundles.Conflict`` is raised. None if it does not win.
+    """
+    spark = df.sparkSession
+    before = bundles.latest(spark, path)
+    found = compare_models(df, champion, challenger, challenger_params)
+    if not found.promoted:
+        return None
+    final = fit(df, challenger, challenger_params)
+
+    def parts(folder: str) -> None:
+        final.write_parts(folder)
+        found.metrics.write.parquet(f"{folder}/metrics")
+        rank_importance(feature_importance(final)).write.parquet(f"{folder}/importance")
+        write_report(found.metrics, f"{folder}/report")
+
+    return bundles.publish(
+        spark, path, parts, {"model": challenger.name, "params": challenger_params or {}}, expected=before.number if before else 0)
 
 
 def benchmark(folded: DataFrame, specs: Sequence[ModelSpec]) -> DataFrame:
-    """Cross-validated metrics, best F2 threshold and wall time per model, ranked by ROC AUC."""
-    results = None
-    for spec in specs:
+    """Cross-validated metrics, best F2 threshold and time of the fits per model, ranked by ROC AUC.
+
+    The folds and thresholds of all models are fitted side by side; a model's time is the sum of its folds' times.
+    """
+    folded = written(folded, "benchmark-folds")
+    spark, folds = folded.sparkSession, _fold_numbers(folded)
+
+    def timed(spec: ModelSpec, k: int) -> tuple[DataFrame, float]:
         started = time.monotonic()
-        metrics = cross_validated_metrics(folded, spec).first().asDict()
-        elapsed = round(time.monotonic() - started, 1)
-        best = optimal_threshold(folded.drop("fold"), spec).first().asDict()
-        row = {**metrics, **best, "train_time_s": elapsed}
+        return _fold_scores(folded, spec, None, k), time.monotonic() - started
+
+    def threshold(spec: ModelSpec) -> dict:
+        return optimal_threshold(folded.drop("fold"), spec).first().asDict()
+
+    tasks = [functools.partial(timed, spec, k) for spec in specs for k in folds]
+    tasks += [functools.partial(threshold, spec) for spec in specs]
+    done = side_by_side(spark, tasks)
+    results = None
+    for number, spec in enumerate(specs):
+        parts = done[number * len(folds):(number + 1) * len(folds)]
+        scored = functools.reduce(DataFrame.unionByName, [part for part, _ in parts])
+        metrics = _mean_metrics(scored, spec).first().asDict()
+        row = {**metrics, **done[len(specs) * len(folds) + number], "train_time_s": round(sum(t for _, t in parts), 1)}
         schema = "model string, " + ", ".join(f"{k} double" for k in row if k != "model")
-        one = folded.sparkSession.createDataFrame([[row["model"], *[v for k, v in row.items() if k != "model"]]], schema)
+        one = spark.createDataFrame([[row["model"], *[v for k, v in row.items() if k != "model"]]], schema)
         results = one if results is None else results.unionByName(one)
     return E.rank_models(results)

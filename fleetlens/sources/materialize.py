@@ -77,3 +77,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def laid_out(df: DataFrame, name: str, part_bytes: int) -> DataFrame:
+    """``written``, read back in as many partitions as its bytes ask for, and no more than reading gives by itself.
+
+    For relations that very many short jobs pass over: a job over a small relation is then one task, not one per file.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    wanted = max(1, -(-_listing(df.sparkSession, path)[1] // part_bytes))
+    return df.sparkSession.read.schema(df.schema).parquet(path).coalesce(wanted)

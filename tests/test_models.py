@@ -7,7 +7,10 @@ from fleetlens import params as P
 from fleetlens.catalog import learning
 from fleetlens.operators import splits as S
 from fleetlens.plans import flows
+from fleetlens.plans import ensembles as T
 from fleetlens.plans import models as M
+from fleetlens.plans.parallel import side_by_side
+from fleetlens.sources import bundles
 
 TINY = P.TrainParams(trees=5, depth=3, min_leaf=1)
 
@@ -166,3 +169,139 @@ def test_the_challenger_is_searched_over_all_its_axes(labelled, monkeypatch):
     found = {r.model: (r.held_out, r.consistent) for r in learning.champion_challenger(labelled.sparkSession, "").collect()}
     assert found == {"champion": (40, True), "challenger": (40, True)}
     assert taken[0] in M.sample_grid(few, 2) and set(taken[0]) == set(P.CHALLENGER_GRID)
+
+
+# --- ensembles, side by side, bundles ---------------------------------------------------------------
+
+
+def boosted(trees=6, depth=3):
+    return M.ModelSpec("boosted", lambda: M.boosted_trees(P.TrainParams(trees=trees, depth=depth, min_leaf=1)), weight="ratio")
+
+
+@pytest.fixture(scope="module")
+def boosted_model(labelled):
+    return M.fit(labelled, boosted())
+
+
+def probabilities(model, rows):
+    return {r[0]: r[1] for r in model.score(rows).select("vehicle_id", "probability").collect()}
+
+
+@pytest.mark.parametrize("sampled", [{}, {"subsamplingRate": 0.7, "featureSubsetStrategy": "0.6"}])
+def test_the_first_trees_are_the_model_of_fewer_rounds(labelled, sampled):
+    prepared = M._prepare(labelled, boosted())
+    longest = prepared.model(boosted(), sampled)
+    for trees in (1, 4, 6):
+        alone = prepared.model(boosted(), {**sampled, "maxIter": trees})
+        cut = longest.first_trees(trees)
+        assert cut.pipeline.stages[-1].getNumTrees == trees and cut.params["maxIter"] == trees
+        assert probabilities(cut, labelled) == pytest.approx(probabilities(alone, labelled), abs=1e-12)
+
+
+def test_staged_search_equals_separate_fits(labelled):
+    grid = {"maxIter": [2, 3, 5], "maxDepth": [2]}
+    folded = S.stratified_folds(labelled, folds=2)
+    assert len(M._staged(M.sample_grid(grid, 3))) == 1
+    best, score, scores = M.randomized_search(folded, boosted(), grid, 3)
+    assert len(scores) == 3 and score == max(s for _, s in scores)
+    for setting, area in scores:
+        metrics = M.cross_validated_metrics(folded, boosted(), setting).first()
+        assert area == pytest.approx(metrics["roc_auc"], abs=1e-12)
+
+
+def test_node_tables_score_as_their_models(labelled, model, boosted_model):
+    for fitted in (model, boosted_model):
+        trees = fitted.pipeline.stages[-1]
+        nodes = T.node_table(trees)
+        assert nodes.count() == sum(t.numNodes for t in trees.trees)
+        assert nodes.where("feature >= 0").count() == sum(t.numNodes // 2 for t in trees.trees)
+        walked = T.score_by_nodes(fitted.features(labelled), trees, "vehicle_id").collect()
+        assert {r[0]: r[1] for r in walked} == pytest.approx(probabilities(fitted, labelled), abs=1e-9)
+    assert T.score_by_nodes(model.features(labelled).where("false"), model.pipeline.stages[-1], "vehicle_id").count() == 0
+
+
+def test_importance_falls_back_to_splits(labelled, model):
+    shares = {r.feature: r.importance for r in M.split_importance(model).collect()}
+    assert set(shares) == {"num1", "num2", "cat1_A", "cat1_B"} and sum(shares.values()) == pytest.approx(1.0)
+    stump = M.fit(labelled, M.ModelSpec("stump", lambda: M.random_forest(P.TrainParams(trees=2, depth=0, min_leaf=1))))
+    assert {r.importance for r in M.feature_importance(stump).collect()} == {0.0}
+
+
+def test_a_logistic_fit_is_at_its_minimum(labelled):
+    spec = M.ModelSpec("lr", M.logistic_regression, weight="balanced", scaled=True)
+    fitted = M.fit(labelled, spec)
+    rows = fitted.features(M.with_weight(labelled, "balanced"))
+    assert M.largest_slope(fitted, rows) < learning.SLOPE
+    early = M.fit(labelled, M.ModelSpec("lr", lambda: M.logistic_regression(1), weight="balanced", scaled=True))
+    assert M.largest_slope(early, rows) > learning.SLOPE
+
+
+def test_side_by_side_keeps_order_and_bounds(spark):
+    import threading
+    import time
+
+    running, most, lock = [], [], threading.Lock()
+
+    def task(k):
+        with lock:
+            running.append(k)
+            most.append(len(running))
+        time.sleep(0.05)
+        with lock:
+            running.remove(k)
+        return spark.range(k).count()
+
+    assert side_by_side(spark, [lambda k=k: task(k) for k in range(7)], most=3) == list(range(7))
+    assert 1 < max(most) <= 3
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1 // 0, lambda: 1])
+
+
+def test_small_training_rows_are_one_task(labelled):
+    prepared = M._prepare(labelled.repartition(6), forest())
+    assert prepared.rows.rdd.getNumPartitions() == 1
+
+
+def test_bundles_take_a_number_each(spark, tmp_path):
+    path = str(tmp_path / "bundles")
+    write = lambda folder: spark.range(2).write.parquet(f"{folder}/part")
+    assert bundles.latest(spark, path) is None
+    first = bundles.publish(spark, path, write, {"by": "one"}, expected=0)
+    assert (first.number, bundles.latest(spark, path)) == (1, first)
+    # Two writers that began from the same state: one gets its number, the other nothing.
+    raced = []
+
+    def slow(folder):
+        write(folder)
+        raced.append(bundles.publish(spark, path, write, {"by": "other"}, expected=1).number)
+
+    with pytest.raises(bundles.Conflict):
+        bundles.publish(spark, path, slow, expected=1)
+    assert raced == [2] and bundles.latest(spark, path).note == {"by": "other"}
+    together = side_by_side(spark, [lambda: bundles.publish(spark, path, write).number for _ in range(4)], most=4)
+    assert sorted(together) == [3, 4, 5, 6]
+
+    def broken(folder):
+        write(folder)
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        bundles.publish(spark, path, broken)
+    assert [r.number for r in bundles.records(spark, path)] == [1, 2, 3, 4, 5, 6]
+
+
+def test_promotion_publishes_all_parts_or_nothing(spark, labelled, tmp_path, monkeypatch):
+    path = str(tmp_path / "champion")
+    blind = M.ModelSpec("blind", lambda: M.random_forest(P.TrainParams(trees=1, depth=0, min_leaf=1)))
+    first = M.promote(labelled, path, None, blind)
+    second = M.promote(labelled, path, blind, forest())
+    assert (first.number, second.number) == (1, 2) and second.note["model"] == "forest"
+    assert M.promote(labelled, path, forest(), blind) is None and bundles.latest(spark, path) == second
+    assert spark.read.parquet(f"{second.folder}/metrics").where("promoted").count() == 1
+    assert spark.read.parquet(f"{second.folder}/importance").count() == 4
+    assert spark.read.json(f"{second.folder}/report").count() == 2
+    assert M.FittedModel.load(path).score(labelled).count() == 200
+    monkeypatch.setattr(M, "write_report", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        M.promote(labelled, path, blind, forest())
+    assert bundles.latest(spark, path) == second and M.FittedModel.load(path).params == {}
