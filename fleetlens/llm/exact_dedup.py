@@ -2,9 +2,9 @@
 
 The history's digests are dealt into buckets by their leading bytes. Every bucket gets its own minimal perfect hash: a
 ladder of bit arrays, in which a digest owns the first level where it falls alone; the rank of that bit is its slot.
-A slot stores the full digest, where the winner is and how many copies there are. A digest that is looked up lands on one slot; only if the bytes
-of the digest there are equal is it a member. Members are settled in their slot, which keeps the winner and the number of
-copies; nonmembers are grouped by digest on their own.
+A slot stores the full digest, where the winner is and how many copies there are. A digest that is looked up lands on
+one slot; only if the bytes of the digest there are equal is it a member. Members are settled in their slot, which keeps
+the winner and the number of copies; nonmembers are grouped by digest on their own.
 """
 
 from __future__ import annotations

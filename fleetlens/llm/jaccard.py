@@ -197,12 +197,25 @@ def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 
 
 def led_documents(reps: DataFrame, sized: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """(leader, id, n, band), stored: each document with the leaders of those of its first shingles that it shares."""
+    """(leader, id, n, band, key), stored: each document with the leaders of those of its first shingles that it shares."""
     entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
     shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
         "leader < other").select("shingle", "leader"), "shared")
     led = _narrowed(entries, shared, "shingle").join(shared, "shingle").select("leader", "id").distinct()
-    return stored(led.join(sized.distinct(), "id"), "led")
+    return _together(stored(led.join(sized.distinct(), "id"), "led"))
+
+
+def _together(led: DataFrame) -> DataFrame:
+    """``led`` with ``key``: tiles of one key are worked on by one task, so a document of several comes there once.
+
+    A leader goes with the first of its own leaders, unless more than CHUNK_DOCS documents would then come together.
+    """
+    firsts = led.groupBy("id").agg(F.min("leader").alias("key")).withColumnRenamed("id", "leader")
+    keyed = led.join(firsts, "leader")
+    few = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") <= CHUNK_DOCS).select(
+        "key", F.lit(True).alias("few"))
+    return stored(keyed.join(few, "key", "left").withColumn(
+        "key", F.when(F.col("few"), F.col("key")).otherwise(F.col("leader"))).drop("few"), "led")
 
 
 def _parted(df: DataFrame) -> DataFrame:
@@ -231,9 +244,8 @@ def tile_members(led: DataFrame, buckets: int) -> DataFrame:
     there = _parted(
         led.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + one))).join(tiles, ["leader", "tile"]))
     member = F.struct(
-        F.xxhash64("leader", "tile", "part").alias("tile"), F.col("tile").alias("band"),
-        (F.col("tile") == F.col("band")).alias("home"), F.col("chunk").cast("long").alias("chunk"))
-    return there.groupBy(F.pmod(F.xxhash64("leader", "part"), F.lit(buckets)).alias("bucket"), "id").agg(
+        F.xxhash64("leader", "tile", "part").alias("tile"), (F.col("tile") == F.col("band")).alias("home"), F.col("chunk").cast("long").alias("chunk"))
+    return there.groupBy(F.pmod(F.xxhash64("key", "part"), F.lit(buckets)).alias("bucket"), "id").agg(
         F.collect_list(member).alias("tiles"))
 
 
@@ -243,7 +255,7 @@ def group_members(groups: DataFrame, sized: DataFrame, buckets: int) -> DataFram
     sizes = known.groupBy("component").agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("volume")).select("component", _chunks("docs", "volume"))
     member = F.struct(
-        F.xxhash64("component", "part").alias("tile"), F.lit(0).alias("band"), F.lit(True).alias("home"),
+        F.xxhash64("component", "part").alias("tile"), F.lit(True).alias("home"),
         F.col("chunk").cast("long").alias("chunk"))
     return _parted(known.select("id", "component").distinct().join(sizes, "component")).groupBy(
         F.pmod(F.xxhash64("component", "part"), F.lit(buckets)).alias("bucket"), "id").agg(F.collect_list(member).alias("tiles"))
@@ -285,12 +297,12 @@ def _sized(percent: int):
 
 
 def _signed(percent: int):
-    """(id, n, bits) of every set; the bitmap is as wide as the band above needs it."""
+    """(id, n, bits) of every set; the bitmap is as wide as its band needs it."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, values, ends in _per_set(stream):
             sizes = np.diff(ends)
-            bits = [signature(values[lo:hi], signature_words(_band(hi - lo, percent) + 1, percent)).tobytes()
+            bits = [signature(values[lo:hi], signature_words(_band(hi - lo, percent), percent)).tobytes()
                     for lo, hi in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["id", "n", "bits"])
@@ -315,17 +327,17 @@ class _Bucket:
         self.root = np.arange(len(order))
         self.links: list[tuple[int, int]] = []
 
-    def tiles(self) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
-        """(documents, band, whether at home, chunk) of every tile in which not all are joined yet."""
+    def tiles(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(documents, whether at home, chunk) of every tile in which not all are joined yet."""
         lists = self.table.column("tiles").combine_chunks()
         docs = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-        tile, band, home, chunk = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+        tile, home, chunk = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
         order = np.lexsort((docs, tile))
-        docs, tile, band, home, chunk = (c[order] for c in (docs, tile, band, home, chunk))
+        docs, tile, home, chunk = (c[order] for c in (docs, tile, home, chunk))
         starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])[:len(tile)])
         for lo, hi in zip(starts, [*starts[1:], len(tile)]):
             if (self.root[docs[lo:hi]] != self.root[docs[lo]]).any():
-                yield docs[lo:hi], int(band[lo]), home[lo:hi], chunk[lo:hi]
+                yield docs[lo:hi], home[lo:hi], chunk[lo:hi]
 
     def join(self, one: int, others: np.ndarray) -> None:
         for other in others.tolist():
@@ -359,8 +371,9 @@ def _possible_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = _Bucket(table, table.column("n").to_numpy().astype(np.int64), percent)
         blobs = [np.frombuffer(b, np.uint64) for b in bucket.table.column("bits").to_pylist()]
-        for docs, band, home, chunk in bucket.tiles():
-            bits = folded([blobs[k] for k in docs], signature_words(band, percent))
+        for docs, home, chunk in bucket.tiles():
+            mine = [blobs[k] for k in docs]
+            bits = folded(mine, min(map(len, mine)))
             bucket.work(docs, bits, home, chunk, bucket.join)
         return bucket.found()
 
@@ -387,7 +400,7 @@ def _exact_links(percent: int):
                 overlap = np.add.reduceat(_in_sorted(values[at], mine).astype(np.int64), starts)
                 bucket.join(one, some[_links(overlap, len(mine), lengths, percent)])
 
-        for docs, _, home, chunk in bucket.tiles():
+        for docs, home, chunk in bucket.tiles():
             words = int(2 ** np.ceil(np.log2(max(1.0, 2 * bucket.sizes[docs[-1]] / 64))))
             bits = np.stack([signature(values[ends[k]:ends[k + 1]], words) for k in docs])
             bucket.work(docs, bits, home, chunk, intersect)
