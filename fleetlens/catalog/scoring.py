@@ -13,6 +13,7 @@ from fleetlens.operators import joins as J
 from fleetlens.operators import reports as D
 from fleetlens.operators import scoring as G
 from fleetlens.sources import roles
+from fleetlens.sources.materialize import written
 from fleetlens.sources.roles import table
 
 STAMP = "2024-01-01T00:00:00+00:00"
@@ -49,6 +50,19 @@ def fleet_scores(spark, sf_dir):
     return fleet_scores_of(roles.scored(table(spark, sf_dir, "customer")))
 
 
+@query("scored_now", "SELECT c_custkey AS vehicle_id, true AS of_this_run FROM customer")
+def scored_now(spark, sf_dir):
+    """The stamp of a run without a given one: the same for every vehicle, and between the run's start and its end."""
+    now = lambda: spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")").first()[0]
+    begun = now()
+    scores = written(G.fleet_scores(roles.scored(table(spark, sf_dir, "customer"))), "scored-now")
+    ended = now()
+    stamp = F.to_timestamp("prediction_timestamp")
+    one = scores.agg(F.count_distinct("prediction_timestamp").alias("stamps"))
+    within = stamp.between(F.to_timestamp(F.lit(begun)), F.to_timestamp(F.lit(ended)))
+    return scores.crossJoin(F.broadcast(one)).select("vehicle_id", (within & (F.col("stamps") == 1)).alias("of_this_run"))
+
+
 def _row_mean_sql(columns) -> str:
     cells = ", ".join(f'"{c}"' for c in columns)
     return f"round_even(list_avg(list_filter([{cells}], lambda x: x IS NOT NULL)), 2)"

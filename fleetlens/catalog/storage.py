@@ -12,11 +12,12 @@ from fleetlens.catalog.registry import query, rounded, rounded_sql
 from fleetlens.catalog.scoring import RANKED_SQL, _EXTRACT_SQL, extract, importance
 from fleetlens.operators import evaluate as E
 from fleetlens.operators import reports as D
+from fleetlens.operators.features import running_state
 from fleetlens.session import scratch_path
 from fleetlens.sources import materialize, readers, roles, writers
 from fleetlens.sources.roles import table
 from fleetlens.streaming import (
-    compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
+    FeatureSink, compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
 )
 
 
@@ -126,6 +127,16 @@ def streaming_features(spark, sf_dir):
     return rounded(features_so_far(spark, target, roles.SENSORS), 6)
 
 
+@query("streaming_sink", rounded_sql(pivoted_statistics_sql(roles.SENSORS), double_features(roles.SENSORS), 6))
+def streaming_sink(spark, sf_dir):
+    """The feature table as five batches left it, the last of them written twice."""
+    events = table(spark, sf_dir, "events")
+    sink = FeatureSink(spark, scratch_path(spark, "sink"), roles.SENSORS)
+    for batch_id in (0, 1, 2, 3, 4, 4):
+        sink.upsert(running_state(roles.readouts_long(events.where(F.col("event_id") % 5 == batch_id))), batch_id)
+    return rounded(sink.features(), 6)
+
+
 @query("created_tables", f"SELECT CAST(vehicle_id AS INTEGER) AS vehicle_id, CAST(account_id AS INTEGER) AS account_id, vehicle_age_years FROM ({roles.VEHICLES})")
 def created_tables(spark, sf_dir):
     """Drop and create the master tables, append all vehicles to the empty one, read it."""

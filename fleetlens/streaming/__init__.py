@@ -1,7 +1,8 @@
 from fleetlens.streaming.incremental import (
     compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
 )
+from fleetlens.streaming.sink import FeatureSink, run_features
 
 __all__ = [
-    "compact_states", "features_so_far", "latest_statistics", "run_state_deltas", "run_statistics", "states_so_far",
+    "FeatureSink", "run_features", "compact_states", "features_so_far", "latest_statistics", "run_state_deltas", "run_statistics", "states_so_far",
 ]

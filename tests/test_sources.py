@@ -7,7 +7,8 @@ from fleetlens.operators import features as X
 from fleetlens.plans import flows
 from fleetlens.sources import materialize, readers, writers
 from fleetlens.streaming import (
-    compact_states, features_so_far, latest_statistics, run_state_deltas, run_statistics, states_so_far,
+    FeatureSink, compact_states, features_so_far, latest_statistics, run_features, run_state_deltas, run_statistics,
+    states_so_far,
 )
 
 
@@ -166,3 +167,42 @@ def test_compacted_states_take_later_batches(spark, tmp_path, readouts):
     for a, b in zip(found, expected, strict=True):
         for c, v in b.asDict().items():
             assert a[c] == (pytest.approx(v) if isinstance(v, float) else v), c
+
+
+def same_rows(found, expected):
+    for a, b in zip(found.orderBy("vehicle_id").collect(), expected.orderBy("vehicle_id").collect(), strict=True):
+        for c, v in b.asDict().items():
+            assert a[c] == (pytest.approx(v) if isinstance(v, float) else v), c
+
+
+def test_the_sink_updates_touched_buckets_only(spark, tmp_path, readouts):
+    sensors = ["397_0", "397_1", "459_0"]
+    sink = FeatureSink(spark, str(tmp_path / "sink"), sensors, buckets=5)
+    with pytest.raises(FileNotFoundError):
+        sink.features()
+    long = X.to_long(readouts)
+    first = long.where("time_step < 1")
+    assert sink.upsert(X.running_state(first), 0)
+    same_rows(sink.features(), X.features_from_long(first, sensors))
+    before = sink.files()
+    vehicle = readouts.where("time_step >= 1").select("vehicle_id").first()[0]
+    second = long.where("time_step >= 1").where(f"vehicle_id = {vehicle}")
+    touched = sink.upsert(X.running_state(second), 1)
+    assert len(touched) == 1
+    assert set(before) - set(sink.files()) == {f for f in before if f.endswith(f"bucket={touched[0]}")}
+    both = X.features_from_long(first.unionByName(second), sensors)
+    same_rows(sink.features(), both)
+    # Replayed, out of date, and empty batches change nothing.
+    assert sink.upsert(X.running_state(second), 1) == touched
+    assert sink.upsert(X.running_state(second), 0) == [] and sink.upsert(X.running_state(second.where("false")), 2) == []
+    same_rows(sink.features(), both)
+
+
+def test_a_stream_into_the_sink(spark, tmp_path, readouts):
+    sensors = ["397_0", "397_1", "459_0"]
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
+    sink = FeatureSink(spark, str(tmp_path / "sink"), sensors, buckets=3)
+    for time_step in (0, 1):
+        readouts.where(f"time_step = {time_step}").coalesce(1).write.mode("append").parquet(source)
+        run_features(spark, source, readouts.schema, X.to_long, sink, checkpoint)
+    same_rows(sink.features(), X.features_from_long(X.to_long(readouts.where("time_step < 2")), sensors))
