@@ -262,9 +262,9 @@ def group_members(groups: DataFrame, sized: DataFrame, buckets: int) -> DataFram
 
 
 def signature_words(band: int, percent: int) -> int:
-    """64-bit words of a band's bitmaps: about two bits for every shingle of its largest set."""
+    """64-bit words of a band's bitmaps: one and a half to three bits for every shingle of its largest set."""
     largest = (100.0 / percent) ** (band + 1)
-    return int(2 ** np.ceil(np.log2(max(1.0, 2 * largest / 64))))
+    return int(2 ** np.ceil(np.log2(max(1.0, 1.5 * largest / 64))))
 
 
 def signature(values: np.ndarray, words: int) -> np.ndarray:
