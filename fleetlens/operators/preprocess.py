@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -45,54 +46,106 @@ def _folded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+# Cells a bracket is counted in, and rows that are few enough to be put in order.
+CELLS = 64
+ORDERED = 1_000
+_LARGEST = 1.7976931348623157e308
+
+
+@dataclass(frozen=True)
+class _Bracket:
+    """Where the values of some ranks of a column lie; ranks count from 1 inside it. ``whole`` also counts what is outside."""
+
+    position: int
+    low: float
+    high: float
+    ranks: tuple[int, ...] = ()
+    whole: bool = False
+
+
 def fit_medians(df: DataFrame, columns: Sequence[str], error: float = 0.001) -> dict[str, float | None]:
     """Exact medians, None for an all-missing column.
 
-    An approximate quantile pass brackets each median; a second pass counts the values below, above and, one by one,
-    inside the bracket (a share of about ``4 * error`` of the rows). A median that falls outside its bracket is
-    looked for in a four times wider one, in the end in the whole range, so the result never depends on the sketch.
+    A quantile sketch brackets each median. Every pass counts the rows of all brackets in CELLS cells, with the
+    smallest and the largest value of each cell, and goes on with the cells that hold the middle ranks, until a cell is
+    one value or has at most ORDERED rows, which are put in order. The first pass also counts what is outside, so a
+    sketch that misses costs passes and no exactness. What is shuffled and brought to the driver is at most CELLS + 2
+    rows per column and task.
     """
     columns = list(columns)
     numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(str(i)) for i, c in enumerate(columns)])
-    medians: dict[str, float | None] = dict.fromkeys(columns)
-    pending, width = list(range(len(columns))), 2 * error
+    sketch = numeric.approxQuantile([str(i) for i in range(len(columns))], [0.5 - 2 * error, 0.5 + 2 * error], error)
+    pending = [_Bracket(i, q[0], q[1], whole=True) for i, q in enumerate(sketch) if q]
+    found: dict[int, list[float]] = {b.position: [] for b in pending}
+    few: list[_Bracket] = []
     while pending:
-        if width < 0.5:
-            names = [str(i) for i in pending]
-            sketch = numeric.approxQuantile(names, [0.5 - width, 0.5 + width], error)
-            brackets = {i: (q[0], q[1]) for i, q in zip(pending, sketch) if q}
-        else:
-            brackets = {i: (None, None) for i in pending}
-        found = _medians_within(df, columns, brackets) if brackets else {}
-        medians |= {columns[i]: m for i, m in found.items() if math.isfinite(m)}
-        pending = [i for i in brackets if width < 0.5 and medians[columns[i]] is None]
-        width *= 4
+        going: list[_Bracket] = []
+        for bracket, cells in zip(pending, _counted_cells(df, columns, pending)):
+            total = sum(n for _, n, _, _ in cells)
+            if not total:
+                continue
+            ranks = bracket.ranks or ((total + 1) // 2, (total + 2) // 2)
+            passed = 0
+            for _, n, low, high in sorted(cells):
+                inside = tuple(r - passed for r in ranks if passed < r <= passed + n)
+                passed += n
+                if not inside:
+                    continue
+                if low == high:
+                    found[bracket.position] += [low] * len(inside)
+                else:
+                    (few if n <= ORDERED else going).append(_Bracket(bracket.position, low, high, inside))
+        pending = going
+    for bracket, values in zip(few, _ordered_values(df, columns, few)):
+        found[bracket.position] += values
+    medians: dict[str, float | None] = dict.fromkeys(columns)
+    for position, values in found.items():
+        if values and math.isfinite(middle := (min(values) + max(values)) / 2.0):
+            medians[columns[position]] = middle
     return medians
 
 
-def _medians_within(df: DataFrame, columns: Sequence[str], brackets: Mapping[int, tuple]) -> dict[int, float]:
-    spark = df.sparkSession
-    bounds = spark.createDataFrame(
-        [(i, low, high) for i, (low, high) in brackets.items()], "position int, low double, high double"
-    )
+def _in_brackets(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket]) -> DataFrame:
+    """(bracket, value, low, high) of the cells in each bracket."""
+    rows = [(k, b.position, b.low, b.high, b.whole) for k, b in enumerate(brackets)]
+    bounds = df.sparkSession.createDataFrame(rows, "bracket int, position int, low double, high double, whole boolean")
+    used = sorted({b.position for b in brackets})
+    number = {p: k for k, p in enumerate(used)}
+    bounds = bounds.replace(number, subset=["position"]) if used != list(range(len(columns))) else bounds
+    cells = _folded(df, [columns[p] for p in used])
+    # Two brackets per column of the table at most.
+    return cells.join(F.broadcast(bounds), "position").where(F.col("whole") | F.col("value").between(F.col("low"), F.col("high")))
+
+
+def _counted_cells(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket]) -> list[list[tuple]]:
+    """Per bracket (cell, rows, smallest, largest) of its cells that have rows; -1 and CELLS are what is outside."""
     value = F.col("value")
-    counted = (
-        _folded(df, columns).join(F.broadcast(bounds), "position", "inner")  # one row per column of the table
-        .select("position", F.when(value < F.col("low"), F.lit(float("-inf")))
-                             .when(value > F.col("high"), F.lit(float("inf"))).otherwise(value).alias("value"))
-        .groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = W.partitionBy("position").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counted.withColumns({
-        "upto": F.sum("n").over(ordered), "total": F.sum("n").over(W.partitionBy("position"))
-    })
-    lower_rank, upper_rank = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    before = F.col("upto") - F.col("n")
-    middle = ranked.groupBy("position").agg(
-        F.max(F.when((before < lower_rank) & (F.col("upto") >= lower_rank), value)).alias("lower"),
-        F.max(F.when((before < upper_rank) & (F.col("upto") >= upper_rank), value)).alias("upper"),
-    )
-    return {r["position"]: (r["lower"] + r["upper"]) / 2.0 for r in middle.collect()}
+    low, high = F.greatest(F.col("low"), F.lit(-_LARGEST)), F.least(F.col("high"), F.lit(_LARGEST))
+    # Halves, as the distance of two large values may be too large for a double.
+    at = F.floor(F.try_divide(value / 2 - low / 2, high / 2 - low / 2) * CELLS)
+    # The ends are in different cells however close they are, so every pass splits a bracket.
+    cell = (
+        F.when(value < low, -1).when(value > high, CELLS).when(value == low, 0).when(value == high, CELLS - 1)
+        .otherwise(F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), at))).cast("int"))
+    counted = _in_brackets(df, columns, brackets).groupBy("bracket", cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("smallest"), F.max("value").alias("largest"))
+    found: list[list[tuple]] = [[] for _ in brackets]
+    for r in counted.collect():
+        found[r["bracket"]].append((r["cell"], r["n"], r["smallest"], r["largest"]))
+    return found
+
+
+def _ordered_values(df: DataFrame, columns: Sequence[str], brackets: Sequence[_Bracket]) -> list[list[float]]:
+    """Per bracket the values of its ranks; a bracket has at most ORDERED rows."""
+    if not brackets:
+        return []
+    listed = _in_brackets(df, columns, brackets).groupBy("bracket").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    wanted = df.sparkSession.createDataFrame(
+        [(k, list(b.ranks)) for k, b in enumerate(brackets)], "bracket int, ranks array<int>")
+    picked = listed.join(F.broadcast(wanted), "bracket").select(
+        "bracket", F.transform("ranks", lambda r: F.element_at("values", r)).alias("values"))
+    found = {r["bracket"]: list(r["values"]) for r in picked.collect()}
+    return [found[k] for k in range(len(brackets))]
 
 
 def impute(df: DataFrame, medians: Mapping[str, float | None], categorical: Sequence[str] = ()) -> DataFrame:

@@ -26,6 +26,35 @@ def test_median_widens_a_wrong_bracket(spark, monkeypatch):
     assert X.fit_medians(df, ["a"]) == {"a": 50.0}
 
 
+def test_median_of_many_distinct_values(spark):
+    """More passes than one, no order of a whole column, and few rows for any task to put in order."""
+    n = 300_001
+    df = spark.range(n).selectExpr("CAST(id * id AS DOUBLE) AS a", "CAST(pow(1.002, id) AS DOUBLE) AS b", "-CAST(id % 2 AS DOUBLE) AS c")
+    found = X.fit_medians(df, ["a", "b", "c"], error=0.05)
+    rows = df.selectExpr("percentile(a, 0.5) AS a", "percentile(b, 0.5) AS b", "percentile(c, 0.5) AS c").first()
+    assert found == {"a": rows.a, "b": pytest.approx(rows.b), "c": rows.c}
+
+
+def test_medians_are_counted_without_windows(spark):
+    df = spark.range(50).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b")
+    brackets = [X._Bracket(0, 10.0, 40.0, whole=True), X._Bracket(1, 0.0, 6.0, whole=True)]
+    plan = X._in_brackets(df, ["a", "b"], brackets)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    cells = X._counted_cells(df, ["a", "b"], brackets)
+    assert sum(n for _, n, _, _ in cells[0]) == 50 and dict((c, n) for c, n, _, _ in cells[0])[-1] == 10
+    assert len(cells[1]) == 7
+
+
+@pytest.mark.parametrize("values", [
+    [-1.7e308, 1.7e308, 5.0], [float("inf")] * 3 + [1.0], [float("-inf"), 1.0, 2.0], [0.0, 5e-324], [float("inf"), 1.0],
+    [-0.0, 0.0, 3.0], [7.0]])
+def test_medians_of_extreme_values(spark, values, monkeypatch):
+    monkeypatch.setattr(X, "ORDERED", 1)
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    wanted = statistics.median(values)
+    assert X.fit_medians(df, ["a"]) == {"a": wanted if abs(wanted) != float("inf") else None}
+
+
 def test_impute(spark):
     df = spark.createDataFrame([(1, None, None), (2, 4.0, "A"), (3, float("nan"), "B")], "id int, a double, c string")
     rows = X.impute(df, {"a": 9.0}, ["c"]).orderBy("id").collect()
