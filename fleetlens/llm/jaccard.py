@@ -33,6 +33,7 @@ SHINGLE = 5
 PERCENT = 80
 COMMON_SHARE = 2_000
 COMMON_MOST = 500_000
+EXTRA = 3
 CHUNK_DOCS = 2_000
 CHUNK_BYTES = 8_000_000
 GROUP_BYTES = 32_000_000
@@ -151,9 +152,13 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _first_shingles(values: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in the common order (common ones last, by hash), one of which every partner has among its first."""
+    """The first shingles in the common order (common ones last, by hash).
+
+    A partner lacks at most n - percent * n / 100 of a document's shingles. So of the first shingles of both, one more
+    than EXTRA are the same, or all that the two have in common if that is less.
+    """
     n = len(values)
-    count = n - -(-percent * n // 100) + 1
+    count = n - -(-percent * n // 100) + 1 + EXTRA
     if common.any():
         values = values[np.argsort(common, kind="stable")]
     return values[:count]
@@ -201,8 +206,13 @@ def led_documents(reps: DataFrame, sized: DataFrame, common: np.ndarray, percent
     entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
     shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
         "leader < other").select("shingle", "leader"), "shared")
-    led = _narrowed(entries, shared, "shingle").join(shared, "shingle").select("leader", "id").distinct()
-    return _together(stored(led.join(sized.distinct(), "id"), "led"))
+    led = stored(_narrowed(entries, shared, "shingle").join(shared, "shingle").groupBy("leader", "id").agg(
+        F.count(F.lit(1)).alias("times")), "shared-first")
+    # Who shares fewer first shingles than any partner has with it has none.
+    least = F.least(F.lit(EXTRA + 1), F.ceil(F.col("n") * percent / 100))
+    enough = led.groupBy("id").agg(F.sum("times").alias("times")).join(sized.distinct(), "id").where(
+        F.col("times") >= least).select("id", "n", "band")
+    return _together(stored(led.select("leader", "id").join(enough, "id"), "led"))
 
 
 def _together(led: DataFrame) -> DataFrame:
@@ -211,7 +221,8 @@ def _together(led: DataFrame) -> DataFrame:
     A leader goes with the first of its own leaders, unless more than CHUNK_DOCS documents would then come together.
     """
     firsts = led.groupBy("id").agg(F.min("leader").alias("key")).withColumnRenamed("id", "leader")
-    keyed = led.join(firsts, "leader")
+    # A leader may have been left out itself, as sharing too little; it goes with nobody then.
+    keyed = led.join(firsts, "leader", "left").withColumn("key", F.coalesce("key", "leader"))
     few = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") <= CHUNK_DOCS).select(
         "key", F.lit(True).alias("few"))
     return stored(keyed.join(few, "key", "left").withColumn(

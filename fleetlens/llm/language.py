@@ -86,6 +86,10 @@ class LanguageModel:
                 self._steps.append(steps)
         return self._steps
 
+    def forget(self) -> None:
+        """Frees the tables; a worker keeps a broadcast model from task to task, and from run to run."""
+        self._steps = None
+
     def _codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
@@ -187,6 +191,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_
             columns = [batch.column(name) for name in keep]
             columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, pred_col, score_col])
+        known.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
     return source.mapInArrow(run, f"{schema}, `{pred_col}` string, `{score_col}` double")

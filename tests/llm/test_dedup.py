@@ -135,6 +135,17 @@ def test_jaccard_chains_and_chunks(spark, monkeypatch):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows, 4, percent)
 
 
+def test_leaders_that_share_too_little_lead_all_the_same(spark):
+    """Every shingle of two near copies is also in one other document of smaller id, which links with nothing."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(f"u{k}x{j}" for j in range(30)) + " " + " ".join(words[k:k + 4])) for k in range(57)]
+    rows += [(100, " ".join(words)), (101, " ".join(words[:-1] + ["other"]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard.jaccard_components(frame, 4, 85).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows, 4, 85)
+    assert {r.component_id for r in found if r.doc_id >= 100} == {100}
+
+
 def test_rows_without_an_id_stand_for_themselves(spark):
     text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
     copies = text(1) + " more"
