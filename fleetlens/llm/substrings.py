@@ -20,7 +20,6 @@ arrives once per batch. Two suffixes are equal if two independent hashes over th
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
