@@ -11,7 +11,7 @@ from fleetlens.catalog.registry import query, rounded, rounded_sql
 from fleetlens.operators import features as X
 from fleetlens.operators import profile as R
 from fleetlens.sources import roles
-from fleetlens.sources.roles import spread_table, table
+from fleetlens.sources.roles import table
 
 _DOUBLES = ("mean", "max", "min", "std", "last", "range", "trend_slope", "coeff_variation")
 
@@ -174,7 +174,8 @@ def sensor_features_from_long(spark, sf_dir):
     wide_statistics_sql(roles.fleet_readouts_sql(), roles.fleet_sensors()), double_features(roles.fleet_sensors()), 3))
 def fleet_sensor_features(spark, sf_dir):
     """Production width: 105 sensors, 945 feature columns per vehicle."""
-    return rounded(X.wide_features(roles.fleet_readouts(spread_table(spark, sf_dir, "lineitem"))), 3)
+    return rounded(X.wide_features(
+        roles.fleet_rows(table(spark, sf_dir, "lineitem")), measures=roles.fleet_measures()), 3)
 
 
 _DIFFERENCES = f"""
@@ -238,7 +239,7 @@ _FLEET_MONOTONICITY = f"""
 
 @query("fleet_sensor_profile", profile_sql(_FLEET_MONOTONICITY))
 def fleet_sensor_profile(spark, sf_dir):
-    profile = R.wide_sensor_profile(roles.fleet_readouts(spread_table(spark, sf_dir, "lineitem")))
+    profile = R.wide_sensor_profile(roles.fleet_rows(table(spark, sf_dir, "lineitem")), measures=roles.fleet_measures())
     return rounded(profile.withColumn("sensors", F.concat_ws(",", "sensors")))
 
 

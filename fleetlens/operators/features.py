@@ -8,7 +8,7 @@ and task, whatever share of the rows it has. The (vehicle_id, time_step) pair is
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fleetlens import params as P
 from fleetlens.functions.naming import bin_of, family_of, feature_name, sensor_columns
 from fleetlens.functions.numeric import finite_or_null
+from fleetlens.operators.running import default_parts, heavy_groups
 
 _MIN_DENOMINATOR = 1e-12
 _MIN_MEAN = 1e-10
@@ -46,19 +47,32 @@ def select_family(df: DataFrame, family: str) -> DataFrame:
     return df.select(*ids, *sensor_columns(df.columns, family))
 
 
-def _numbered(wide: DataFrame, sensors: Sequence[str], *carried: str) -> DataFrame:
+def _together(rows: DataFrame) -> DataFrame:
+    """Rows of a vehicle in one partition and next to each other.
+
+    Vehicles with more than an even share of the rows are dealt by time over all partitions, and the aggregation that
+    follows combines theirs where they lie. Of all others no partial result is ever shuffled, however many partitions.
+    """
+    heavy, by = heavy_groups(rows, P.ID), [P.ID]
+    if heavy:
+        by.append(F.when(F.col(P.ID).isin(heavy), F.xxhash64(P.TIME)).otherwise(F.lit(0).cast("long")))
+    return rows.repartition(default_parts(rows), *by).sortWithinPartitions(P.ID)
+
+
+def _numbered(
+    wide: DataFrame, sensors: Sequence[str], measures: Mapping[str, Column] | None, *carried: str
+) -> DataFrame:
     """One row per readout and sensor position.
 
-    Sorting the wide rows inside their partition first lets the partial hash aggregation that follows touch one
-    vehicle's entries at a time. The sort handles one row per readout, not one per readout and sensor, and moves
-    no data.
+    What is moved and sorted is one row per readout, as wide as the columns that ``measures`` are worked out from and
+    not as the sensors. Sorted rows let the hash aggregation that follows touch one vehicle's entries at a time.
     """
-    packed = wide.where(F.col(P.ID).isNotNull()).select(
-        P.ID, P.TIME, *carried, F.array(*[F.col(f"`{s}`").cast("double") for s in sensors]).alias("_values")
-    )
+    cells = [measures[s] if measures else F.col(f"`{s}`") for s in sensors]
+    kept = [c for c in wide.columns if c not in (P.ID, P.TIME, *carried)] if measures else sensors
+    rows = _together(wide.where(F.col(P.ID).isNotNull()).select(P.ID, P.TIME, *carried, *[F.col(f"`{c}`") for c in kept]))
+    packed = rows.select(P.ID, P.TIME, *carried, F.array(*[c.cast("double") for c in cells]).alias("_values"))
     return (
-        packed.sortWithinPartitions(P.ID)
-        .select(
+        packed.select(
             P.ID, P.TIME, *carried, "_values",
             F.explode(F.sequence(F.lit(0), F.lit(len(sensors) - 1))).alias(_POSITION),
         )
@@ -153,11 +167,16 @@ def features_of_statistics(statistics: DataFrame, sensors: Sequence[str]) -> Dat
     return _pivoted(statistics, sensors).fillna(absent)
 
 
-def wide_statistics(wide: DataFrame, sensors: Sequence[str] | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+def wide_statistics(
+    wide: DataFrame, sensors: Sequence[str] | None = None, tie_break: Sequence[str] = (),
+    measures: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """``long_statistics`` of wide readouts."""
-    sensors = list(sensors) if sensors else sensor_columns(wide.columns)
+    if not sensors:
+        sensors = measures if measures is not None else sensor_columns(wide.columns)
+    sensors = list(sensors)
     aggregated = (
-        _numbered(wide, sensors, *tie_break)
+        _numbered(wide, sensors, measures, *tie_break)
         .withColumn("value", finite_or_null(F.col("value")))
         .groupBy(P.ID, _POSITION).agg(*_aggregates(tie_break))
     )
@@ -165,17 +184,21 @@ def wide_statistics(wide: DataFrame, sensors: Sequence[str] | None = None, tie_b
 
 
 def wide_features(
-    wide: DataFrame, sensors: Sequence[str] | None = None, tie_break: Sequence[str] = ()
+    wide: DataFrame, sensors: Sequence[str] | None = None, tie_break: Sequence[str] = (),
+    measures: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Wide feature table, one row per vehicle and nine columns per sensor, from wide readouts.
 
     ``sensors`` defaults to every ``<family>_<bin>`` column. Without any sensor the result is empty and has
-    ``vehicle_id`` only.
+    ``vehicle_id`` only. With ``measures`` the sensors are its names, worked out from the other columns of ``wide``
+    once its rows are in place, so that rows of few columns are moved and sorted.
     """
-    sensors = list(sensors) if sensors is not None else sensor_columns(wide.columns)
+    if sensors is None:
+        sensors = measures if measures is not None else sensor_columns(wide.columns)
+    sensors = list(sensors)
     if not sensors:
         return wide.select(P.ID).limit(0)
-    statistics = wide_statistics(wide, sensors, tie_break)
+    statistics = wide_statistics(wide, sensors, tie_break, measures)
     return _pivoted(statistics.withColumn("_prefix", F.concat(F.lit("s_"), "sensor")), sensors)
 
 

@@ -36,6 +36,18 @@ def quantile_boundaries(df: DataFrame, column: str, parts: int | None = None) ->
     return sorted(set(numeric.approxQuantile(column, probabilities, min(0.001, 0.25 / parts))))
 
 
+def heavy_groups(df: DataFrame, column: str, parts: int | None = None) -> list:
+    """Values of the column with more rows than an even share of the parts; there are fewer of them than parts.
+
+    All other values can be brought together by hash without one task holding more than about two shares.
+    """
+    parts = parts or default_parts(df)
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    whole = counts.agg(F.sum("_rows").alias("_all"))
+    heavy = counts.crossJoin(F.broadcast(whole)).where(F.col("_rows") * F.lit(parts) > F.col("_all"))
+    return [row[0] for row in heavy.select(column).collect()]
+
+
 def with_range_bucket(df: DataFrame, column: str, boundaries: Sequence[float], output: str) -> DataFrame:
     """Add the number of ``boundaries`` at or below the column."""
     if not boundaries:

@@ -5,7 +5,7 @@ Each role exists twice: as a DataFrame and as the SQL text of the same relation,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_SENSORS = {"click": "397_0", "error": "397_1", "view": "459_0", "purchase": "291_0", "signup": "100_0"}
@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table for work that unfolds each row many times, dealt evenly over the shuffle partitions.
-
-    A Parquet row group is read by one task, so a table of few large row groups would otherwise be unfolded by few
-    cores. The narrow rows are moved once, whatever the number of files.
-    """
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return table(spark, sf_dir, name).repartition(parts)
-
-
 def readouts_long(events: DataFrame) -> DataFrame:
     """Every eleventh reading is missing."""
     sensor = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_SENSORS.items()])
@@ -57,23 +47,34 @@ def fleet_sensors(count: int = FLEET_SENSOR_COUNT) -> list[str]:
     return [f"{100 + i // 8}_{i % 8}" for i in range(count)]
 
 
-def fleet_readouts(lineitem: DataFrame, count: int = FLEET_SENSOR_COUNT) -> DataFrame:
-    """Production-width readouts: suppliers as vehicles, four measures scaled into ``count`` sensors.
+def fleet_measures(count: int = FLEET_SENSOR_COUNT) -> dict[str, Column]:
+    """The ``count`` sensors over the columns of ``fleet_rows``: four measures, scaled."""
+    measures = {}
+    for i, name in enumerate(fleet_sensors(count)):
+        measure = F.col(_BENCH_MEASURES[i % 4]) / F.lit(1000.0 if i % 4 == 1 else 1.0)
+        measures[name] = F.when((F.col("l_partkey") + i) % 11 != 0, measure * F.lit(_GAIN * (1.0 + i)))
+    return measures
+
+
+def fleet_rows(lineitem: DataFrame) -> DataFrame:
+    """Suppliers as vehicles, and what their sensors are worked out from.
 
     Line numbers repeat within an order, so part and quantity complete the time to a key.
     """
-    columns = []
-    for i, name in enumerate(fleet_sensors(count)):
-        measure = F.col(_BENCH_MEASURES[i % 4]) / F.lit(1000.0 if i % 4 == 1 else 1.0)
-        columns.append(F.when((F.col("l_partkey") + i) % 11 != 0, measure * F.lit(_GAIN * (1.0 + i))).alias(name))
     return lineitem.select(
         F.col("l_suppkey").alias("vehicle_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.col("l_partkey") / F.lit(1048576.0)
          + F.col("l_quantity") / F.lit(1073741824.0)).alias("time_step"),
-        *columns,
+        "l_partkey", *_BENCH_MEASURES,
     )
 
 
+def fleet_readouts(lineitem: DataFrame, count: int = FLEET_SENSOR_COUNT) -> DataFrame:
+    """Production-width readouts: every sensor a column."""
+    return fleet_rows(lineitem).select(
+        "vehicle_id", "time_step", *[cell.alias(name) for name, cell in fleet_measures(count).items()])
+
+
 def fleet_readouts_sql(count: int = FLEET_SENSOR_COUNT) -> str:
     columns = []
     for i, name in enumerate(fleet_sensors(count)):

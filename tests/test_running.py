@@ -3,8 +3,10 @@ import random
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fleetlens.operators import features as X
 from fleetlens.operators import profile as R
-from fleetlens.operators.running import quantile_boundaries, running_totals, with_previous, with_range_bucket
+from fleetlens.operators.features import to_long
+from fleetlens.operators.running import heavy_groups, quantile_boundaries, running_totals, with_previous, with_range_bucket
 
 
 def skewed(spark, n=2000):
@@ -67,3 +69,26 @@ def test_wide_profile_equals_long(spark, readouts):
     from fleetlens.operators.features import to_long
 
     assert R.wide_sensor_profile(readouts).collect() == R.sensor_profile(to_long(readouts)).collect()
+
+def test_heavy_vehicle_is_cut_and_others_lie_together(spark):
+    rows = spark.range(900).selectExpr("if(id < 400, 1, id % 50) AS vehicle_id", "cast(id AS double) AS time_step", "id % 7 AS a")
+    assert heavy_groups(rows, "vehicle_id", 8) == [1]
+    measures = {"100_0": F.col("a") * 2.0, "100_1": F.when(F.col("a") != 3, F.col("a") + 0.5)}
+    wide = rows.select("vehicle_id", "time_step", *[c.alias(n) for n, c in measures.items()])
+    for part in (rows, rows.where("vehicle_id <> 1")):
+        full = wide.join(part.select("vehicle_id", "time_step"), ["vehicle_id", "time_step"])
+        want = R.step_differences(to_long(full))
+        got = R.wide_step_differences(part, measures=measures).select(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert sorted(map(str, X.wide_features(part, measures=measures).collect())) == sorted(map(str, X.wide_features(full).collect()))
+
+
+def test_narrow_rows_are_moved(spark):
+    """Sensors are worked out after the one exchange of readouts, and no partial result a vehicle and sensor is shuffled."""
+    rows = spark.range(600).selectExpr("id % 50 AS vehicle_id", "cast(id AS double) AS time_step", "id % 7 AS a")
+    measures = {f"100_{i}": F.col("a") * float(i) for i in range(8)}
+    features = X.wide_features(rows, measures=measures)._jdf.queryExecution().executedPlan().toString()
+    assert features.count("Exchange hashpartitioning") == 1
+    profile = R.wide_step_differences(rows, measures=measures)._jdf.queryExecution().executedPlan().toString()
+    assert profile.count("Exchange") == 1 and profile.count("Sort ") == 1
+    assert profile.index("array(") < profile.index("Exchange")
