@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.operators.running import default_parts
 from fleetlens.session import scratch_path
 
 Ensemble = GBTClassificationModel | RandomForestClassificationModel
@@ -63,24 +64,42 @@ def node_table(model: Ensemble) -> DataFrame:
         F.col(f"{node}.rawCount").alias("rows"), F.when(leaf, 0.0).otherwise(F.col(f"{node}.gain")).alias("gain"), "weight")
 
 
-def tree_outputs(rows: DataFrame, nodes: DataFrame, depth: int, key: str, features: str = "features") -> DataFrame:
-    """(key, tree, value, share, weight): the leaf of every row in every tree.
+def _dealt(rows: DataFrame, key: str, features: str) -> DataFrame:
+    """(_key, _cells) over all shuffle partitions: a row becomes one per tree, and a few written files would be a few tasks."""
+    dealt = rows.select(F.col(key).alias("_key"), F.col(features).alias("_vector")).repartition(default_parts(rows))
+    return dealt.select("_key", vector_to_array("_vector").alias("_cells"))
+
+
+def _walked(state: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
+    """(_key, tree, _value, _share, _weight) with every tree as one broadcast row of arrays, indexed by node number.
 
-    All trees are walked side by side, one join with the node table per level; a row that has come to a leaf stays. The
-    table is sent to the executors up to BROADCAST_NODES nodes, so rows do not move.
+    Numbers of a tree's nodes are those of its nodes in preorder, without gaps, so a step down is a few array look-ups.
     """
+    columns = ("feature", "threshold", "categories", "left", "right", "value", "share")
+    listed = nodes.groupBy("tree").agg(
+        F.sort_array(F.collect_list(F.struct("node", *columns))).alias("_nodes"), F.first("weight").alias("_weight"))
+    trees = listed.select("tree", "_weight", *[F.col(f"_nodes.{c}").alias(f"_{c}") for c in columns])
+
+    def below(at: Column) -> Column:
+        cell = F.col("_cells")[F.col("_feature")[at]]
+        goes_left = F.coalesce(cell <= F.col("_threshold")[at], F.array_contains(F.col("_categories")[at], cell))
+        return F.when(F.col("_feature")[at] < 0, at).when(goes_left, F.col("_left")[at]).otherwise(F.col("_right")[at])
+
+    # One expression whatever the depth: a column per level makes a method too long for the JVM to compile.
+    leaf = F.aggregate(F.sequence(F.lit(0), F.lit(depth)), F.lit(0), lambda at, _: below(at))
+    return state.crossJoin(F.broadcast(trees)).withColumn("_at", leaf).select(
+        "_key", "tree", F.col("_value")[F.col("_at")].alias("_value"), F.col("_share")[F.col("_at")].alias("_share"), "_weight")
+
+
+def _joined_down(state: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
+    """What ``_walked`` gives, by one join with the node table per level, for ensembles too large to be sent around."""
     table = nodes.select(*[F.col(c).alias(f"_{c}") for c in nodes.columns])
-    if nodes.count() <= BROADCAST_NODES:
-        table = F.broadcast(table)
-    trees = nodes.select("tree").distinct().agg(F.sort_array(F.collect_set("tree")).alias("trees"))
-    cells = vector_to_array(features)
-    state = rows.select(F.col(key).alias("_key"), cells.alias("_cells")).crossJoin(F.broadcast(trees)).select(
-        "_key", "_cells", F.explode("trees").alias("tree"), F.lit(0).alias("node"))
+    trees = nodes.select("tree").distinct()
+    state = state.crossJoin(F.broadcast(trees)).withColumn("node", F.lit(0))
     for level in range(depth + 1):
         found = state.join(table, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")))
         if level == depth:
-            return found.select(F.col("_key").alias(key), "tree", F.col("_value").alias("value"),
-                                F.col("_share").alias("share"), F.col("_weight").alias("weight"))
+            return found.select("_key", "tree", "_value", "_share", "_weight")
         cell = F.col("_cells")[F.col("_feature")]
         goes_left = F.coalesce(cell <= F.col("_threshold"), F.array_contains("_categories", cell))
         below = F.when(goes_left, F.col("_left")).otherwise(F.col("_right"))
@@ -88,6 +107,18 @@ def tree_outputs(rows: DataFrame, nodes: DataFrame, depth: int, key: str, featur
     raise AssertionError
 
 
+def tree_outputs(rows: DataFrame, nodes: DataFrame, depth: int, key: str, features: str = "features") -> DataFrame:
+    """(key, tree, value, share, weight): the leaf of every row in every tree.
+
+    All trees are walked side by side; a row that has come to a leaf stays. The trees are sent to the executors up to
+    BROADCAST_NODES nodes, beyond which every level is a join.
+    """
+    walk = _walked if nodes.count() <= BROADCAST_NODES else _joined_down
+    found = walk(_dealt(rows, key, features), nodes, depth)
+    return found.select(F.col("_key").alias(key), "tree", F.col("_value").alias("value"),
+                        F.col("_share").alias("share"), F.col("_weight").alias("weight"))
+
+
 def score_by_nodes(rows: DataFrame, model: Ensemble, key: str, features: str = "features") -> DataFrame:
     """(key, probability) of class 1, from the node table alone.
 

@@ -305,3 +305,16 @@ def test_promotion_publishes_all_parts_or_nothing(spark, labelled, tmp_path, mon
     with pytest.raises(ZeroDivisionError):
         M.promote(labelled, path, blind, forest())
     assert bundles.latest(spark, path) == second and M.FittedModel.load(path).params == {}
+
+
+def test_trees_are_walked_alike_by_arrays_and_by_joins(spark, labelled, model, monkeypatch):
+    """Both walks give the model's probabilities; rows of one file are dealt over the shuffle partitions."""
+    trees, rows = model.pipeline.stages[-1], model.features(labelled).coalesce(1)
+    by_arrays = {r["vehicle_id"]: r["probability"] for r in T.score_by_nodes(rows, trees, "vehicle_id").collect()}
+    outputs = T.tree_outputs(rows, T.node_table(trees), max(t.depth for t in trees.trees), "vehicle_id")
+    assert outputs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(T, "BROADCAST_NODES", 0)
+    by_joins = {r["vehicle_id"]: r["probability"] for r in T.score_by_nodes(rows, trees, "vehicle_id").collect()}
+    want = {r["vehicle_id"]: r["probability"] for r in model.score(labelled).collect()}
+    assert by_arrays.keys() == by_joins.keys() == want.keys()
+    assert all(abs(by_arrays[k] - p) < 1e-9 and abs(by_joins[k] - p) < 1e-9 for k, p in want.items())
