@@ -42,7 +42,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LINE = re.compile(r"[^\x0A-\x0D]+")
-_SIGNAL = re.compile(r"(?:[0-9@]|[\[({<\x20\x09][dD][oO][tT](?=[\])}>\x20\x09]))[^\x20\x09-\x0D]*")
+_SIGNAL = re.compile(r"(?:[0-9@]|[\[({<\s](?:[dD][oO]|[aA])[tT](?=[\])}>\s]))[^\x20\x09-\x0D]*")
 
 
 # --- patterns -------------------------------------------------------------------------------------
@@ -124,6 +124,18 @@ def islands(text: str) -> list[tuple[int, int]]:
     return [line.span() for lo, hi in found for line in _LINE.finditer(text, lo, min(hi, len(text)))]
 
 
+def readable_lines(text: str) -> list[tuple[int, int]]:
+    """Lines with a digit, an @ or a spelled-out at or dot, whole; a line without any cannot hold a plausible span."""
+    found, done = [], 0
+    while match := _SIGNAL.search(text, done):
+        lo = max(map(text.rfind, "\x0A\x0B\x0C\x0D", [done] * 4, [match.start()] * 4), default=-1) + 1
+        line = _LINE.match(text, max(lo, done))
+        done = max(line.end() if line else 0, match.start() + 1)
+        if line:
+            found.append(line.span())
+    return found
+
+
 def tagged_words(text: str, spans: list[Span]) -> tuple[list[str], list[str]]:
     """Words of a text and their tags. A word belongs to the first span it overlaps."""
     words, tags, last = [], [], None
@@ -318,7 +330,7 @@ def find_personal_data(docs: DataFrame, model: crf.Crf, id_col: str = "doc_id",
             base = [base_spans(t) for t in texts]
             owners, places = [], []
             for k, text in enumerate(texts):
-                for lo, hi in islands(text):
+                for lo, hi in readable_lines(text):
                     owners.append(k)
                     places.append([m.span() for m in _WORD.finditer(text, lo, hi)])
             decoded = model.decode([[texts[k][a:b] for a, b in words] for k, words in zip(owners, places)], table)

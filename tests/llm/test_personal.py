@@ -216,3 +216,44 @@ def test_expected_tags_by_enumeration():
         assert np.allclose(marginal[lo:lo + n], mine / total)
         all_pairs += links / total
     assert np.allclose(pairs, all_pairs) and np.allclose(begun, marginal[starts].sum(axis=0))
+
+
+def test_every_place_of_a_plausible_span_is_read():
+    """Lines without digits that spell out an address are read, and lines are read whole, however long."""
+    far = "word " * 40
+    text = f"nothing here\nwrite to ana [at] host.org or\n{far}ana at host.org{far}\nana(AT)host.org\x0bmore 7 {far}end\nno"
+    lines = [text[lo:hi] for lo, hi in personal.readable_lines(text)]
+    assert lines == [line for line in re.split("[\n\x0b]", text)[1:-1]]
+    assert personal.readable_lines("") == [] and personal.readable_lines("Look at\nthis.\n") in ([], [(0, 7)])
+
+
+def marks():
+    class Marks:
+        """In place of a field: everything from a word with mia to one with org is an address."""
+
+        tags = crf.tags_of(personal.KINDS)
+
+        def table(self):
+            return None
+
+        def decode(self, sequences, table):
+            begun, inside = self.tags.index("B-email"), self.tags.index("I-email")
+            found = []
+            for words in sequences:
+                tags = np.zeros(len(words), dtype=np.int64)
+                lo = next((k for k, w in enumerate(words) if "mia" in w), None)
+                hi = next((k for k, w in enumerate(words) if "org" in w), None)
+                if lo is not None and hi is not None:
+                    tags[lo:hi + 1] = inside
+                    tags[lo] = begun
+                found.append(tags)
+            return found
+
+    return Marks()
+
+
+def test_the_field_is_asked_about_every_place(spark):
+    far = "x" * 80
+    docs = spark.createDataFrame([(1, "to mia.lund [at] lund.org today"), (2, f"to mia{far} at {far}.{far}.org today")], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in personal.find_personal_data(docs, marks()).collect()}
+    assert found == {1: "email:3:25", 2: f"email:3:{3 + 3 + 80 + 4 + 80 + 1 + 80 + 4}"}
