@@ -318,3 +318,52 @@ def test_trees_are_walked_alike_by_arrays_and_by_joins(spark, labelled, model, m
     want = {r["vehicle_id"]: r["probability"] for r in model.score(labelled).collect()}
     assert by_arrays.keys() == by_joins.keys() == want.keys()
     assert all(abs(by_arrays[k] - p) < 1e-9 and abs(by_joins[k] - p) < 1e-9 for k, p in want.items())
+
+
+# --- layout of training rows ------------------------------------------------------------------------
+
+
+def test_a_forest_has_its_rows_evenly_on_every_core(spark, labelled, monkeypatch):
+    """One file of few rows is a task for every core where it is worth one; boosting keeps it in one."""
+    monkeypatch.setattr(M, "FOREST_BYTES", 1)
+    rows = M._prepare(labelled.coalesce(1), forest()).rows
+    sizes = [r[1] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= 2 and sum(sizes) == 200
+    assert M._prepare(labelled.coalesce(1), boosted()).rows.rdd.getNumPartitions() == 1
+
+
+def test_many_bytes_are_whole_rounds_of_the_cores(spark):
+    from fleetlens.sources.materialize import laid_out, written, written_bytes
+
+    few = laid_out(spark.range(1000).repartition(3), "rows", 1 << 30, 1 << 30)
+    assert few.rdd.getNumPartitions() == 1 and few.agg(F.sum("id")).first()[0] == 499500
+    rows = written(spark.range(100_000).repartition(3), "rows")
+    cores, size = spark.sparkContext.defaultParallelism, written_bytes(rows)
+    assert size > 100_000
+    dealt = laid_out(rows, "rows", 1, size // cores // 3)
+    parts = dealt.rdd.getNumPartitions()
+    assert parts >= cores and parts % cores == 0 and dealt.agg(F.sum("id")).first()[0] == 4999950000
+
+
+def test_forests_keep_the_node_of_every_row(labelled):
+    """Kept nodes change the time and not the trees."""
+    assert learning.forest().estimator().getCacheNodeIds()
+    prepared = M._prepare(labelled, forest())
+    plain = lambda: M.random_forest(TINY).setCacheNodeIds(False)
+    walked = prepared.model(M.ModelSpec("walked", plain, weight="balanced"))
+    kept = prepared.model(forest())
+    assert [t.toDebugString.split("\n", 1)[1] for t in walked.pipeline.stages[-1].trees] == [
+        t.toDebugString.split("\n", 1)[1] for t in kept.pipeline.stages[-1].trees]
+
+
+def test_large_forests_are_fitted_one_after_the_other(labelled, monkeypatch):
+    from fleetlens.sources.materialize import written
+
+    rows = written(labelled, "rows")
+    assert M._abreast(rows, forest()) == M._abreast(rows, boosted()) == M.MOST
+    monkeypatch.setattr(M, "ROWS_BYTES", 1 << 10)
+    assert M._abreast(rows, boosted(), forest()) == 1 and M._abreast(rows, boosted()) == M.MOST
+    taken = []
+    monkeypatch.setattr(M, "side_by_side", lambda _, tasks, most=M.MOST: (taken.append(most), [t() for t in tasks])[1])
+    assert M.out_of_fold(S.stratified_folds(labelled, folds=2), forest()).count() == 200
+    assert taken == [1]
