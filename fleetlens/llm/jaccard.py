@@ -140,8 +140,9 @@ def common_shingles(sets: DataFrame) -> np.ndarray:
                 [pa.array(found[keep].astype(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["shingle", "n"])
 
     least = max(50, sets.count() // COMMON_SHARE)
-    rows = sets.where("set IS NOT NULL").select("set").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= least).orderBy(F.col("n").desc(), "shingle").limit(COMMON_MOST).collect()
+    found = stored(sets.where("set IS NOT NULL").select("set").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(
+        F.sum("n").alias("n")).where(F.col("n") >= least), "common")
+    rows = found.orderBy(F.col("n").desc(), "shingle").limit(COMMON_MOST).collect()
     return np.sort(np.array([r["shingle"] for r in rows], dtype=np.int64).astype(np.uint64))
 
 
@@ -186,14 +187,15 @@ def _entries(common: np.ndarray, percent: int):
 def distinct_sets(sets: DataFrame) -> DataFrame:
     """(id, set), one row for equal sets: the smallest id of those that have the set with them.
 
-    Sets that may occur again are known from a bit filter; only these are shuffled.
+    Sets that may occur again are known from a bit filter; only these are shuffled, once, and what is left of them is
+    stored, as every pass over the result would shuffle them again.
     """
     held = sets.where("set IS NOT NULL")
     again = stored(held.groupBy("digest").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("digest"), "again")
     marked = with_filter(held, bit_filter(again, "digest"), "digest", "again")
     once = marked.where(~F.col("again")).select("id", "set")
-    return once.unionByName(marked.where("again").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("set").alias("set")).select("id", "set"))
+    return once.unionByName(stored(marked.where("again").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("set").alias("set")).select("id", "set"), "again-sets"))
 
 
 def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -202,8 +204,11 @@ def _narrowed(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 
 
 def led_documents(reps: DataFrame, sized: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """(leader, id, n, band, key), stored: each document with the leaders of those of its first shingles that it shares."""
-    entries = stored(reps.mapInArrow(_entries(common, percent), "shingle long, id long"), "entries")
+    """(leader, id, n, band, key), stored: each document with the leaders of those of its first shingles that it shares.
+
+    The first shingles are taken from the sets in either pass; stored, they would take a third of the documents' bytes.
+    """
+    entries = reps.mapInArrow(_entries(common, percent), "shingle long, id long")
     shared = stored(entries.groupBy("shingle").agg(F.min("id").alias("leader"), F.max("id").alias("other")).where(
         "leader < other").select("shingle", "leader"), "shared")
     led = stored(_narrowed(entries, shared, "shingle").join(shared, "shingle").groupBy("leader", "id").agg(

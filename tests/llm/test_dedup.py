@@ -161,6 +161,16 @@ def test_jaccard_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
 
+def test_repeated_sets_are_shuffled_once(spark):
+    texts = [f"the same words in document {k // 3} and its copies" for k in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    sets = jaccard.stored(jaccard.shingle_sets(frame, F.col("doc_id")), "sets")
+    found = jaccard.distinct_sets(sets)
+    assert sorted(r.id for r in found.collect()) == list(range(0, 30, 3))
+    # What is read again and again holds no shuffle of sets; the bit filter alone is sent around.
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sets_survive_packing():
     values = np.array([1, 2, (1 << 48) - 1], dtype=np.uint64)
     back, ends = jaccard.unpack_sets([jaccard.pack_set(values), b"", jaccard.pack_set(values[:1])])
