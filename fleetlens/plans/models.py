@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import math
 import random
 import time
 from collections.abc import Callable, Sequence
@@ -19,6 +20,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -443,23 +445,28 @@ def largest_slope(model: FittedModel, rows: DataFrame) -> float:
     """The largest component of the gradient of the logistic loss at the model's coefficients, over its training rows.
 
     The loss is the weighted mean of the rows' losses and half of ``regParam`` times the squared coefficients, without
-    the intercept. Zero means that no change of the coefficients lowers it. One pass: every vector slot's share of a
-    row is summed where the row is, so what is shuffled is one row per slot and task.
+    the intercept. Zero means that no change of the coefficients lowers it. One pass: vectors are summed whole where
+    the rows are, those that pull up and those that pull down on their own, as weights of a sum are not negative; a
+    task sends two vectors on. NaN where a row's loss has no slope.
     """
     fitted = model.pipeline.stages[-1]
     total = rows.agg(F.sum(WEIGHT)).first()[0]
     if not total:
         return 0.0
-    coefficients = [float(c) for c in fitted.coefficients]
-    cells = vector_to_array("features")
-    betas = F.array(*[F.lit(c) for c in coefficients])
-    margin = F.aggregate(F.zip_with(cells, betas, lambda x, c: x * c), F.lit(fitted.intercept), lambda a, b: a + b)
-    off = F.col(WEIGHT) * (1.0 / (1.0 + F.exp(-margin)) - F.col(P.LABEL)) / total
+    claimed = fitted.transform(rows.select("features", P.LABEL, WEIGHT))
+    off = F.col(WEIGHT) * (vector_to_array(fitted.getProbabilityCol())[1] - F.col(P.LABEL)) / total
+    sized = claimed.select("features", off.alias("off")).where("off <> 0").withColumn("size", F.nanvl(F.abs("off"), F.lit(0.0)))
+    halves = sized.groupBy(F.when(F.col("off") < 0, -1.0).otherwise(1.0).alias("sign")).agg(
+        F.count_if(F.isnan("off")).alias("unknown"), F.sum("size").alias("sizes"),
+        Summarizer.sum(F.col("features"), F.col("size")).alias("cells")).collect()
+    if any(half["unknown"] for half in halves):
+        return math.nan
+    slopes = fitted.getRegParam() * fitted.coefficients.toArray()
+    for half in halves:
+        slopes = slopes + half["sign"] * half["cells"].toArray()
     # The intercept is a slot whose cell is always one.
-    slots = rows.select(off.alias("off"), F.posexplode(F.concat(cells, F.array(F.lit(1.0)))).alias("slot", "cell"))
-    slopes = slots.groupBy("slot").agg(F.sum(F.col("off") * F.col("cell")).alias("slope"))
-    pull = fitted.getRegParam() * F.coalesce(F.try_element_at(betas, F.col("slot") + 1), F.lit(0.0))
-    return slopes.agg(F.max(F.abs(F.col("slope") + pull))).first()[0]
+    intercept = sum(half["sign"] * half["sizes"] for half in halves)
+    return float(max(abs(slopes).max(initial=0.0), abs(intercept)))
 
 
 # --- comparison -----------------------------------------------------------------------------------

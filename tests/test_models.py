@@ -236,6 +236,26 @@ def test_a_logistic_fit_is_at_its_minimum(labelled):
     assert M.largest_slope(early, rows) > learning.SLOPE
 
 
+def test_the_slope_is_summed_without_unfolding_rows(labelled, monkeypatch):
+    """Equal to the gradient worked out row by row, with no row for every slot of a vector."""
+    import math
+
+    spec = M.ModelSpec("lr", lambda: M.logistic_regression(1), weight="balanced", scaled=True)
+    fitted = M.fit(labelled, spec)
+    rows = fitted.features(M.with_weight(labelled, "balanced"))
+    monkeypatch.delattr(F, "posexplode")
+    line = fitted.pipeline.stages[-1]
+    betas, listed = list(line.coefficients), rows.select("features", P.LABEL, M.WEIGHT).collect()
+    total, slopes = sum(w for _, _, w in listed), [line.getRegParam() * b for b in betas] + [0.0]
+    for cells, y, w in listed:
+        cells = [*cells.toArray(), 1.0]
+        off = w * (1.0 / (1.0 + math.exp(-sum(x * b for x, b in zip(cells, [*betas, line.intercept])))) - y) / total
+        slopes = [s + off * x for s, x in zip(slopes, cells)]
+    assert M.largest_slope(fitted, rows) == pytest.approx(max(map(abs, slopes)), abs=1e-12)
+    assert M.largest_slope(fitted, rows.where(F.col(P.LABEL) == 1)) > 0
+    assert M.largest_slope(fitted, rows.where("false")) == 0.0
+
+
 def test_side_by_side_keeps_order_and_bounds(spark):
     import threading
     import time
