@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from fleetlens.operators.running import default_parts
 from fleetlens.session import scratch_path
@@ -14,6 +20,9 @@ Ensemble = GBTClassificationModel | RandomForestClassificationModel
 # Nodes up to which the table is sent to every executor; beyond, the walk shuffles.
 BROADCAST_NODES = 1_000_000
 
+# What a task runs is sent along, so that it needs no package on the executors' path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def first_trees(model: GBTClassificationModel, trees: int) -> GBTClassificationModel:
     """The ensemble of the first ``trees`` trees of a boosted one.
@@ -70,25 +79,69 @@ def _dealt(rows: DataFrame, key: str, features: str) -> DataFrame:
     return dealt.select("_key", vector_to_array("_vector").alias("_cells"))
 
 
+def _tree_arrays(nodes: DataFrame) -> dict[int, dict[str, np.ndarray]]:
+    """The arrays of every tree, indexed by node number; a row that has come to a leaf stays there on either side."""
+    table = nodes.orderBy("tree", "node").toArrow()
+    columns = {c: table[c].to_numpy() for c in ("tree", "node", "feature", "left", "right")}
+    columns |= {c: table[c].cast("double").to_numpy().astype(float) for c in ("threshold", "value", "share", "weight")}
+    nominal = np.flatnonzero(table["categories"].is_valid().to_numpy())
+    listed = [table["categories"][int(k)].as_py() for k in nominal]
+    known = np.zeros((len(nominal), 1 + int(max((max(c, default=0) for c in listed), default=0))), bool)
+    for k, categories in enumerate(listed):
+        known[k, [int(c) for c in categories]] = True
+    columns["nominal"] = np.full(table.num_rows, -1)
+    columns["nominal"][nominal] = np.arange(len(nominal))
+    leaf = columns["feature"] < 0
+    for side in ("left", "right"):
+        columns[side] = np.where(leaf, columns["node"], columns[side])
+    columns["feature"] = np.where(leaf, 0, columns["feature"])
+    trees, starts = np.unique(columns["tree"], return_index=True)
+    found = {}
+    for tree, start, end in zip(trees.tolist(), starts, [*starts[1:], table.num_rows]):
+        found[tree] = {c: v[start:end] for c, v in columns.items() if c not in ("tree", "node")}
+        own = found[tree]["nominal"]
+        found[tree]["known"] = known[own[own >= 0]]
+        found[tree]["nominal"] = np.where(own >= 0, np.cumsum(own >= 0) - 1, -1)
+    return found
+
+
+def _leaves(cells: np.ndarray, tree: dict[str, np.ndarray], depth: int) -> np.ndarray:
+    """The leaf that each row of ``cells`` comes to."""
+    flat, starts, at = cells.reshape(-1), np.arange(len(cells)) * cells.shape[1], np.zeros(len(cells), np.int64)
+    for _ in range(depth):
+        cell = flat[starts + tree["feature"][at]]
+        goes_left = cell <= tree["threshold"][at]
+        if len(tree["known"]):
+            kind = tree["nominal"][at]
+            rows = np.flatnonzero(kind >= 0)
+            asked, width = cell[rows], tree["known"].shape[1]
+            whole = (asked >= 0) & (asked < width) & (asked == np.floor(asked))
+            goes_left[rows] = whole & tree["known"][kind[rows], np.where(whole, asked, 0).astype(np.int64)]
+        at = np.where(goes_left, tree["left"][at], tree["right"][at])
+    return at
+
+
 def _walked(state: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
-    """(_key, tree, _value, _share, _weight) with every tree as one broadcast row of arrays, indexed by node number.
+    """(_key, tree, _value, _share, _weight) with every tree sent around as arrays, indexed by node number.
 
-    Numbers of a tree's nodes are those of its nodes in preorder, without gaps, so a step down is a few array look-ups.
+    Numbers of a tree's nodes are those of its nodes in preorder, without gaps, so a step down of a batch of rows is a few
+    look-ups in arrays.
     """
-    columns = ("feature", "threshold", "categories", "left", "right", "value", "share")
-    listed = nodes.groupBy("tree").agg(
-        F.sort_array(F.collect_list(F.struct("node", *columns))).alias("_nodes"), F.first("weight").alias("_weight"))
-    trees = listed.select("tree", "_weight", *[F.col(f"_nodes.{c}").alias(f"_{c}") for c in columns])
-
-    def below(at: Column) -> Column:
-        cell = F.col("_cells")[F.col("_feature")[at]]
-        goes_left = F.coalesce(cell <= F.col("_threshold")[at], F.array_contains(F.col("_categories")[at], cell))
-        return F.when(F.col("_feature")[at] < 0, at).when(goes_left, F.col("_left")[at]).otherwise(F.col("_right")[at])
-
-    # One expression whatever the depth: a column per level makes a method too long for the JVM to compile.
-    leaf = F.aggregate(F.sequence(F.lit(0), F.lit(depth)), F.lit(0), lambda at, _: below(at))
-    return state.crossJoin(F.broadcast(trees)).withColumn("_at", leaf).select(
-        "_key", "tree", F.col("_value")[F.col("_at")].alias("_value"), F.col("_share")[F.col("_at")].alias("_share"), "_weight")
+    trees = state.sparkSession.sparkContext.broadcast(_tree_arrays(nodes))
+    key = state.schema["_key"]
+    schema = StructType([key, StructField("tree", IntegerType()), *[StructField(c, DoubleType()) for c in ("_value", "_share", "_weight")]])
+
+    def run(batches):
+        for batch in (b for b in batches if b.num_rows):
+            # Vectors of one model are alike long; a row without one is refused before.
+            cells = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for number, tree in trees.value.items():
+                at = _leaves(cells, tree, depth)
+                outputs = [pa.array(tree[c][at], from_pandas=True) for c in ("value", "share", "weight")]
+                numbers = pa.array(np.full(batch.num_rows, number, np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0), numbers, *outputs], ["_key", "tree", "_value", "_share", "_weight"])
+
+    return state.select("_key", "_cells").mapInArrow(run, schema)
 
 
 def _joined_down(state: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:

@@ -387,3 +387,27 @@ def test_large_forests_are_fitted_one_after_the_other(labelled, monkeypatch):
     monkeypatch.setattr(M, "side_by_side", lambda _, tasks, most=M.MOST: (taken.append(most), [t() for t in tasks])[1])
     assert M.out_of_fold(S.stratified_folds(labelled, folds=2), forest()).count() == 200
     assert taken == [1]
+
+
+def test_a_batch_of_rows_goes_down_a_tree_together(spark, labelled, model, boosted_model, monkeypatch):
+    """The walk is a few look-ups for a batch, not an expression for every row and step; odd rows go where they went."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType([StructField("k", LongType()), StructField("features", VectorUDT())])
+    nan = float("nan")
+    odd = spark.createDataFrame([
+        (1, Vectors.dense(nan, nan, nan, nan)), (None, Vectors.dense(1.0, 0.2, 1.0, 0.0)), (3, Vectors.dense(0.5, -1.0, 2.0, 1.0)),
+        (4, Vectors.dense(2.5, 0.4, 0.5, -1.0)), (5, Vectors.sparse(4, [0], [3.0])), (5, Vectors.dense(-2.0, 0.9, 0.0, 1.0))], schema)
+    for fitted in (model, boosted_model):
+        trees = fitted.pipeline.stages[-1]
+        assert trees.numFeatures == 4
+        depth = max(t.depth for t in trees.trees)
+        outputs = T.tree_outputs(odd, T.node_table(trees), depth, "k")
+        assert "MapInArrow" in outputs._jdf.queryExecution().toString()
+        by_arrays = sorted(map(str, outputs.collect()))
+        with monkeypatch.context() as patched:
+            patched.setattr(T, "BROADCAST_NODES", 0)
+            assert by_arrays == sorted(map(str, T.tree_outputs(odd, T.node_table(trees), depth, "k").collect()))
+        assert len(by_arrays) == 6 * trees.getNumTrees
+        assert T.tree_outputs(odd.where("false"), T.node_table(trees), depth, "k").count() == 0
